@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from .exact_dedup import OP1_SQL, op1_exact_dedup
+from .packing import op4_packing
+from .token_planes import op5_token_planes
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_packing": op4_packing,
+    "op5_token_planes": op5_token_planes,
 }
 
 SQL = {
