@@ -20,8 +20,13 @@ from pyspark.sql import functions as F
 
 from .common import scratch, store
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: The state is kept by RocksDB on disk; each batch commits its changes rather than whole files,
+#: and logs are not allocated ahead, which would cost each state partition megabytes.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -65,8 +70,9 @@ def _run_stream(spark: SparkSession, arrivals: str, schema, state: str, out: str
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")  # a batch that runs again replaces itself
         seen.append(number)
 
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         query = (
             keyed.writeStream.outputMode("update").foreachBatch(write)
@@ -74,7 +80,8 @@ def _run_stream(spark: SparkSession, arrivals: str, schema, state: str, out: str
         )
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return len(seen)
 
 
