@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from .exact_dedup import OP1_SQL, op1_exact_dedup
+from .matroska import op8_matroska
 from .packing import op4_packing
+from .secrets import op6_secrets
 from .token_planes import op5_token_planes
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_packing": op4_packing,
     "op5_token_planes": op5_token_planes,
+    "op6_secrets": op6_secrets,
+    "op8_matroska": op8_matroska,
 }
 
 SQL = {
