@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .exact_dedup import OP1_SQL, op1_exact_dedup
+from .language_id import op2_language_id
 from .matroska import op8_matroska
 from .packing import op4_packing
 from .secrets import op6_secrets
@@ -10,6 +11,7 @@ from .token_planes import op5_token_planes
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_language_id": op2_language_id,
     "op4_packing": op4_packing,
     "op5_token_planes": op5_token_planes,
     "op6_secrets": op6_secrets,
