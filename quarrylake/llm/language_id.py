@@ -32,7 +32,7 @@ HIDDEN, WINDOW, BATCH, STEPS = 8, 64, 64, 300
 SEGMENT, SIDE_BY_SIDE = 256, 2048
 
 
-def _half_tanh(x: np.ndarray) -> np.ndarray:
+def _logistic(x: np.ndarray) -> np.ndarray:
     """The logistic function, in place."""
     x *= 0.5
     np.tanh(x, out=x)
@@ -57,12 +57,13 @@ class Gru:
         hidden = self.recurrent.shape[0]
         states = np.empty((*text.shape, hidden), np.float32)
         h = np.zeros((text.shape[1], hidden), np.float32)
+        given, back = (np.empty((text.shape[1], 3 * hidden), self.inputs.dtype) for _ in range(2))
+        gates, candidate = given[:, : 2 * hidden], given[:, 2 * hidden :]
         for t, column in enumerate(text):
-            given, back = self.inputs[column], h @ self.recurrent
-            gates = given[:, : 2 * hidden]
+            np.take(self.inputs, column, axis=0, out=given, mode="clip")
+            np.matmul(h, self.recurrent, out=back)
             gates += back[:, : 2 * hidden]
-            _half_tanh(gates)
-            candidate = given[:, 2 * hidden :]
+            _logistic(gates)
             candidate += gates[:, :hidden] * back[:, 2 * hidden :]
             np.tanh(candidate, out=candidate)
             if trace is not None:
@@ -121,17 +122,31 @@ class Network:
         return [*a, *b, d_out, p.sum((0, 1))]
 
     def label(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Probabilities (bytes x languages) of all bytes of segments that lie one after another."""
+        """Probabilities (languages x bytes) of all bytes of some segments, one after another."""
         hidden, longest, count = self.out.shape[0] // 2, int(lengths.max()), len(starts)
-        at = np.arange(longest)[:, None]
-        inside = at < lengths
-        ahead = data[np.where(inside, starts + at, 0)]
-        behind = data[np.where(inside, starts + lengths - 1 - at, 0)]
-        scores = (self.ahead.run(ahead).reshape(-1, hidden) @ self.out[:hidden] + self.bias).reshape(longest, count, -1)
-        reverse = (self.behind.run(behind).reshape(-1, hidden) @ self.out[hidden:]).reshape(longest, count, -1)
-        segment = np.repeat(np.arange(count), lengths)
-        place = np.arange(len(segment)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        return _softmax(scores[place, segment] + reverse[lengths[segment] - 1 - place, segment])
+        at = np.arange(longest)
+        even = bool((lengths == longest).all())
+        inside = at < lengths[:, None]
+        ahead = data[starts[:, None] + at if even else np.where(inside, starts[:, None] + at, 0)]
+        if even:
+            behind = ahead[:, ::-1]
+        else:
+            behind = data[np.where(inside, (starts + lengths - 1)[:, None] - at, 0)]
+        both = []
+        for gru, text, out in ((self.ahead, ahead, self.out[:hidden]), (self.behind, behind, self.out[hidden:])):
+            states = gru.run(np.ascontiguousarray(text.T)).reshape(-1, hidden)
+            both.append((out.T @ states.T).reshape(-1, longest, count).transpose(0, 2, 1))
+        if even:
+            s = (both[0] + both[1][:, :, ::-1]).reshape(len(self.bias), -1)
+        else:
+            segment = np.repeat(np.arange(count), lengths)
+            place = np.arange(len(segment)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            s = both[0][:, segment, place] + both[1][:, segment, lengths[segment] - 1 - place]
+        s += self.bias[:, None]
+        s -= s.max(axis=0)
+        np.exp(s, out=s)
+        s /= s.sum(axis=0)
+        return s
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -177,24 +192,33 @@ def label_texts(net: Network, texts: pa.Array, spans: bool = False) -> tuple[np.
     owner = np.repeat(np.arange(len(sizes)), parts)
     offset = (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)) * SEGMENT
     starts, lengths = (np.cumsum(sizes) - sizes)[owner] + offset, np.minimum(SEGMENT, sizes[owner] - offset)
+    order = np.argsort(-lengths, kind="stable")  # whole segments run without padding
     total, runs = np.zeros((len(sizes), len(net.languages))), [[] for _ in sizes]
-    for a in range(0, len(owner), SIDE_BY_SIDE):
-        s, n, o = starts[a : a + SIDE_BY_SIDE], lengths[a : a + SIDE_BY_SIDE], owner[a : a + SIDE_BY_SIDE]
-        p = net.label(data, s, n)
+    whole = int((lengths == SEGMENT).sum())
+    cuts = [*range(0, whole, SIDE_BY_SIDE), *range(whole, len(order), SIDE_BY_SIDE)]
+    for a, b in zip(cuts, [*cuts[1:], len(order)]):
+        these = order[a:b]
+        n = lengths[these]
         first = np.cumsum(n) - n
-        np.add.at(total, o, np.add.reduceat(p, first, axis=0))
+        p = net.label(data, starts[these], n)
+        np.add.at(total, owner[these], np.add.reduceat(p, first, axis=1).T)
         if spans:
-            best = p.argmax(axis=1)
-            for i, doc in enumerate(o):
+            best = p.argmax(axis=0)
+            for i, k in enumerate(these):
                 here = best[first[i] : first[i] + n[i]]
-                cuts = np.r_[0, np.flatnonzero(np.diff(here)) + 1, len(here)]
-                for x, y in zip(cuts[:-1], cuts[1:]):
-                    name, at = net.languages[here[x]], int(offset[a + i])
-                    if runs[doc] and runs[doc][-1][2] == name and runs[doc][-1][1] == at + x:
-                        runs[doc][-1] = (runs[doc][-1][0], int(at + y), name)
-                    else:
-                        runs[doc].append((int(at + x), int(at + y), name))
-    return total / np.maximum(sizes, 1)[:, None], runs
+                turns = np.r_[0, np.flatnonzero(np.diff(here)) + 1, len(here)]
+                runs[owner[k]] += [(int(offset[k] + x), int(offset[k] + y), net.languages[here[x]]) for x, y in zip(turns[:-1], turns[1:])]
+    return total / np.maximum(sizes, 1)[:, None], [_merged(sorted(r)) for r in runs]
+
+
+def _merged(runs: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    out: list[tuple[int, int, str]] = []
+    for a, b, name in runs:
+        if out and out[-1][2] == name:
+            out[-1] = (out[-1][0], b, name)
+        else:
+            out.append((a, b, name))
+    return out
 
 
 def sample(docs: DataFrame, seed: int = 7, key: str = "doc_id", text: str = "text", lang: str = "lang") -> list:
