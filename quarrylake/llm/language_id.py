@@ -29,7 +29,7 @@ SAMPLE_DOCS, SAMPLE_CHARS = 150, 1200
 MOST_LANGUAGES = 200
 HIDDEN, WINDOW, BATCH, STEPS = 8, 64, 64, 300
 #: Bytes after which the recurrence starts anew, and segments that run side by side.
-SEGMENT, SIDE_BY_SIDE = 256, 2048
+SEGMENT, SIDE_BY_SIDE = 256, 1024
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
@@ -57,17 +57,25 @@ class Gru:
         hidden = self.recurrent.shape[0]
         states = np.empty((*text.shape, hidden), np.float32)
         h = np.zeros((text.shape[1], hidden), np.float32)
-        given, back = (np.empty((text.shape[1], 3 * hidden), self.inputs.dtype) for _ in range(2))
-        gates, candidate = given[:, : 2 * hidden], given[:, 2 * hidden :]
+        # Gates and candidate lie apart, each in one piece of memory.
+        kind, count = self.inputs.dtype, text.shape[1]
+        in_gates, in_candidate = (np.ascontiguousarray(x) for x in (self.inputs[:, : 2 * hidden], self.inputs[:, 2 * hidden :]))
+        to_gates, to_candidate = (np.ascontiguousarray(x) for x in (self.recurrent[:, : 2 * hidden], self.recurrent[:, 2 * hidden :]))
+        gates, candidate = np.empty((count, 2 * hidden), kind), np.empty((count, hidden), kind)
+        back_gates, back = np.empty_like(gates), np.empty_like(candidate)
         for t, column in enumerate(text):
-            np.take(self.inputs, column, axis=0, out=given, mode="clip")
-            np.matmul(h, self.recurrent, out=back)
-            gates += back[:, : 2 * hidden]
+            np.take(in_gates, column, axis=0, out=gates, mode="clip")
+            np.take(in_candidate, column, axis=0, out=candidate, mode="clip")
+            gates += np.matmul(h, to_gates, out=back_gates)
+            np.matmul(h, to_candidate, out=back)
             _logistic(gates)
-            candidate += gates[:, :hidden] * back[:, 2 * hidden :]
+            if trace is not None:
+                kept = back.copy()
+            back *= gates[:, :hidden]
+            candidate += back
             np.tanh(candidate, out=candidate)
             if trace is not None:
-                trace.append((h, gates.copy(), candidate.copy(), back[:, 2 * hidden :].copy()))
+                trace.append((h, gates.copy(), candidate.copy(), kept))
             new = states[t]
             np.subtract(h, candidate, out=new)
             new *= gates[:, hidden:]
