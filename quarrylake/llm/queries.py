@@ -8,6 +8,7 @@ from .matroska import op8_matroska
 from .packing import op4_packing
 from .secrets import op6_secrets
 from .token_planes import op5_token_planes
+from .toxicity import op10_toxicity
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_token_planes": op5_token_planes,
     "op6_secrets": op6_secrets,
     "op8_matroska": op8_matroska,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL = {
