@@ -5,6 +5,7 @@ from __future__ import annotations
 from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .language_id import op2_language_id
 from .matroska import op8_matroska
+from .mixing import op3_mixing
 from .packing import op4_packing
 from .quality import op9_quality
 from .secrets import op6_secrets
@@ -14,6 +15,7 @@ from .toxicity import op10_toxicity
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
+    "op3_mixing": op3_mixing,
     "op4_packing": op4_packing,
     "op5_token_planes": op5_token_planes,
     "op6_secrets": op6_secrets,
