@@ -6,6 +6,7 @@ from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .language_id import op2_language_id
 from .matroska import op8_matroska
 from .mixing import op3_mixing
+from .near_dedup import op7_near_dedup
 from .packing import op4_packing
 from .quality import op9_quality
 from .secrets import op6_secrets
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_token_planes": op5_token_planes,
     "op6_secrets": op6_secrets,
+    "op7_near_dedup": op7_near_dedup,
     "op8_matroska": op8_matroska,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
