@@ -53,5 +53,5 @@ def merge_postings(source: str, target: DataFrame, incoming: DataFrame) -> DataF
     newest = latest_per_key(incoming, ["id"], [F.col("landed_at").desc(), F.xxhash64("raw").asc()])
     if source != "workable":
         return merge_current_state(target, newest)
-    newest = newest.withColumn("detail_fetched_at", F.when("has_detail", F.col("last_seen_at")))
+    newest = newest.withColumn("detail_fetched_at", F.when(F.col("has_detail"), F.col("last_seen_at")))
     return merge_current_state(target, newest, guarded=DETAIL_COLUMNS, guard="has_detail")
