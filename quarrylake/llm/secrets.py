@@ -69,11 +69,6 @@ def entropy_spans(run: str, window: int = WINDOW) -> list[tuple[int, int]]:
     term = [0.0] + [n * math.log2(n) for n in range(1, window + 1)]
     whole, counts, total, digits, letters, spans = math.log2(window), {}, 0.0, 0, 0, []
     for i, c in enumerate(run):
-        n = counts.get(c, 0)
-        counts[c] = n + 1
-        total += term[n + 1] - term[n]
-        digits += c.isdigit()
-        letters += c.isalpha()
         if i >= window:
             gone = run[i - window]
             n = counts[gone]
@@ -84,6 +79,11 @@ def entropy_spans(run: str, window: int = WINDOW) -> list[tuple[int, int]]:
                 del counts[gone]
             else:
                 counts[gone] = n - 1
+        n = counts.get(c, 0)
+        counts[c] = n + 1
+        total += term[n + 1] - term[n]
+        digits += c.isdigit()
+        letters += c.isalpha()
         if i >= window - 1 and digits >= 2 and letters >= 2:
             if whole - total / window >= CLASSES[_narrowest(counts)][2]:
                 a = i - window + 1
