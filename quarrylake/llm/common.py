@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,35 +17,43 @@ from pyspark.sql import DataFrame, SparkSession
 SLICE_BYTES = 4 << 20
 
 
+#: Scratch tables of this process; ``release`` deletes them, at exit at the latest.
+_made: list[tuple[SparkSession, str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a folder of our own only where none is set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if spark.sparkContext.master.split("[")[0] == "local":
-            base = "file://" + tempfile.mkdtemp(prefix="quarrylake-")
+            own = tempfile.mkdtemp(prefix="quarrylake-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            base = f"file://{own}"
         else:
             base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         spark.conf.set("spark.checkpoint.dir", base)
-        atexit.register(_drop, spark, base)
     return base.rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path in the shared folder, kept until ``release``: plans that read it may still run."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append((spark, path))
+    return path
 
 
-def _drop(spark: SparkSession, path: str) -> None:
-    try:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-    except Exception:  # at interpreter exit the JVM may be gone already
-        pass
+def release() -> None:
+    """Delete all scratch tables; call it when no result that reads them is needed any more."""
+    while _made:
+        spark, path = _made.pop()
+        try:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        except Exception:  # at exit the session may have ended
+            return
 
 
-def drop(spark: SparkSession, path: str) -> None:
-    """Delete a scratch table that no pending plan reads."""
-    _drop(spark, path)
+atexit.register(release)
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
