@@ -101,7 +101,7 @@ def files_per_company(files: DataFrame) -> DataFrame:
     return files.groupBy("company_slug").agg(F.count(F.lit(1)).alias("files"))
 
 
-def stale_details(details: DataFrame, date: str, days: int) -> DataFrame:
+def fresh_details(details: DataFrame, date: str, days: int) -> DataFrame:
     """Ids whose details were fetched within ``days`` before a date and need no new call."""
     since = F.to_timestamp(F.lit(checked_date(date))) - F.make_dt_interval(F.lit(days))
     return details.where(F.col("detail_fetched_at") >= since).select("id")

@@ -288,7 +288,7 @@ def test_extract(spark, tmp_path):
 
 def test_details_to_fetch(spark):
     details = spark.createDataFrame([("a", datetime(2026, 1, 9)), ("b", datetime(2026, 1, 1)), ("c", None)], "id string, detail_fetched_at timestamp")
-    fresh = landing.stale_details(details, "2026-01-10", 7)
+    fresh = landing.fresh_details(details, "2026-01-10", 7)
     assert [r.id for r in fresh.collect()] == ["a"]
     wanted = spark.createDataFrame([(0, "x"), (1, "a"), (2, "y"), (3, "x"), (4, "z")], "pos int, id string")
     assert [r.id for r in landing.to_fetch(wanted, fresh, 2).orderBy("pos").collect()] == ["x", "y"] and landing.to_fetch(wanted, fresh, -1).count() == 0
