@@ -10,10 +10,12 @@ A document's set holds a 64-bit hash of each distinct run of five words; its ske
    the rest it is enough to look at the a - s + 1 rarest of its a such values: two linked classes
    meet in the inverted list of at least one of them.  Passages that many documents share are the
    most frequent values and drop out.
-3. Inverted lists give candidates.  First each class meets the smallest and largest member of its
-   lists, so a group of thousands of near copies needs a few pairs for each; then, in lists that
-   still hold several components, pairs across components meet: short lists by a join, long ones
-   in blocks within tasks, which emit only pairs that pass the estimate.
+3. Inverted lists give candidates.  First each class meets the first and the most typical member of
+   its lists (the one with the fewest values of its own), so a group of thousands of near copies
+   needs a few pairs for each; then, in lists that still hold several components, pairs across
+   components meet.  Short lists are joined.  Classes that long lists hold together are a family;
+   two blocks of a family with their full sets meet in one task, which counts all overlaps at
+   once as a product of matrices and emits only links that join components.
 4. The union of two sketches estimates the index and drops pairs that are far below 0.75.
 5. The others are decided exactly on full sets, which a second pass over the texts makes for the
    classes that still matter; links give components.
@@ -48,8 +50,10 @@ WIDTH, K, RISK = 5, 64, 1e-10
 HUNDREDTHS = 75
 #: A pair whose estimate lies this many standard deviations below the limit is dropped.
 SPREAD = 6.5
-#: Longest inverted list whose pairs are joined, and members of a block of a longer one.
-SHORT_LIST, BLOCK = 48, 400
+#: The same for a class's values that others hold too, which scatter more.
+WIDE = 8.0
+#: Longest inverted list whose pairs are joined; classes of a family's block, and hashes that a task lays out at a time.
+SHORT_LIST, BLOCK, COLUMNS = 48, 400, 4096
 #: Bits of the filter that tells the second pass which classes matter; a fuller filter only passes more.
 FILTER_BITS = 1 << 26
 
@@ -210,28 +214,96 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, hundredths: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b").mapInArrow(rows, "a bigint, b bigint")
 
 
-def _in_blocks(members: DataFrame, classes: DataFrame, k: int, hundredths: int) -> DataFrame:
-    """Pairs across components of long lists.  Two blocks of a list meet in one task; it emits what may link."""
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("length") / BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    placed = members.join(classes.select("id", "sketch"), "id").withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
-    placed = placed.select("value", "id", "n", "component", "sketch", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+def _mixed_lists(members: DataFrame) -> DataFrame:
+    """Members (value, id, n, component, ...) of those lists that hold several components."""
+    several = members.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+    return members.join(several.select("value"), "value", "left_semi")
+
+
+def _able(k: int, hundredths: int):
+    """Whether ``a`` values shared with others suffice for a link in a list with sizes from low to high.
+
+    Sets that are linked overlap in 75/175 of their sizes' sum.  A set within its sketch can lose of
+    that only what a larger partner's sketch leaves out; of larger sets the sketches share a part
+    that scatters, hence ``WIDE`` standard deviations.
+    """
+    share, n, a = hundredths / (100 + hundredths), F.col("n"), F.col("a")
+    low, high = F.greatest(F.col("low"), n * hundredths / 100), F.least(F.col("high"), n * 100 / hundredths)
+    part = share * (1 + F.least(low / n, n / high))
+    sure = F.least(share * (n + low), F.when(high > k, share * n - (1 - share) * high + k).otherwise(share * (n + low)))
+    return F.when(n > k, a >= k * part - WIDE * F.sqrt(k * part * (1 - part))).otherwise(a >= sure - 0.01)
+
+
+def _near_in_size(x: str, y: str, hundredths: int):
+    return F.lit(100) * F.least(x, y) >= F.lit(hundredths) * F.greatest(x, y)
+
+
+def _met_most(ends: DataFrame, hundredths: int) -> DataFrame:
+    """Pairs of each class (id, n, end) with the three ends of near size that it meets most often."""
+    met = ends.where("id != end.id").where(_near_in_size("n", "end.n", hundredths)).groupBy("id", F.col("end.id").alias("end")).agg(F.count(F.lit(1)).alias("times"))
+    order = F.sort_array(F.collect_list(F.struct("times", (-F.col("end")).alias("end"))), False)  # as many ends as a class has lists
+    best = met.groupBy("id").agg(F.slice(order, 1, 3).alias("best"))
+    first = best.select("id", F.explode("best.end").alias("end")).withColumn("end", -F.col("end"))
+    return first.select(F.least("id", "end").alias("a"), F.greatest("id", "end").alias("b")).distinct()
+
+
+def _across(members: DataFrame, hundredths: int) -> DataFrame:
+    """Pairs across components of short lists."""
+    x, y = members.alias("x"), members.alias("y")
+    apart = x.join(y, "value").where("x.id < y.id AND x.component != y.component").where(_near_in_size("x.n", "y.n", hundredths))
+    return apart.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
+def _overlaps(sets: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets ``rows`` with all sets."""
+    values, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    column = np.cumsum(counts > 1) - 1
+    several = counts[place] > 1
+    owner, place = owner[several], column[place[several]]
+    total = np.zeros((len(rows), len(sets)), np.float32)
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    for a in range(0, int((counts > 1).sum()), COLUMNS):
+        x, y = np.searchsorted(place, [a, a + COLUMNS])
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[owner[x:y], place[x:y] - a] = 1
+        total += has[rows] @ has.T
+    return total
+
+
+def _in_blocks(members: DataFrame, sets: DataFrame, hundredths: int) -> DataFrame:
+    """Links that join components of a family (columns family, id, component)."""
+    sizes = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    placed = members.join(sizes, "family").withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(sets, "id")
+    placed = placed.select("family", "id", "component", "own", "hashes", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id", ignore_index=True)
-        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-        ids, n, comp, own = (pdf[c].to_numpy() for c in ("id", "n", "component", "own"))
-        sketch = [np.asarray(s, np.int64).view(np.uint64) for s in pdf["sketch"]]
-        found = []
-        for x in range(len(ids)):
-            y = np.arange(x + 1, len(ids))
-            y = y[(comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= hundredths * np.maximum(n[y], n[x]))]
-            if i != j:
-                y = y[own[y] != own[x]]
-            found += [(ids[x], ids[z]) for z in y if may_link(*shared_of_union(sketch[x], sketch[z], k), hundredths)]
+        ids, comp, own = (pdf[c].to_numpy() for c in ("id", "component", "own"))
+        each = [np.frombuffer(h, np.uint64) for h in pdf["hashes"]]
+        n = np.array([len(x) for x in each])
+        names, comp, counts = np.unique(comp, return_inverse=True, return_counts=True)
+        rows = np.flatnonzero(comp != counts.argmax())  # of two in different components one is not in the largest
+        found, parent = [], list(range(len(names)))
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        if len(rows):
+            common = _overlaps(each, rows)
+            linked = 100 * common >= hundredths * (n[rows][:, None] + n - common)
+            for r, y in zip(*np.nonzero(linked & (comp[rows][:, None] != comp))):
+                x = rows[r]
+                u, v = find(comp[x]), find(comp[y])
+                if u != v:
+                    parent[max(u, v)] = min(u, v)
+                    found.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return placed.groupBy("value", "i", "j").applyInPandas(meet, "a bigint, b bigint")
+    return placed.groupBy("family", "i", "j").applyInPandas(meet, "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -252,41 +324,37 @@ def near_duplicates(
     own = retained.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("shared"))  # at most k values
     least = F.when(F.col("n") > k, enough).otherwise(F.get(small, F.col("n").cast("int")))
     own = own.withColumn("take", F.size("shared") - least + 1).where("take > 0")
-    prefix = own.select("id", "n", F.explode(F.slice("shared", F.lit(1), F.col("take"))).alias("x")).select("id", "n", "x.value")
-    prefix = store(prefix, "prefix")
+    prefix = own.select("id", "n", F.size("shared").alias("a"), F.explode(F.slice("shared", F.lit(1), F.col("take"))).alias("x"))
+    prefix = store(prefix.select("id", "n", "a", "x.value"), "prefix")
+
+    # A class stays in a list if its shared values allow a link with a class of the list's sizes.
+    sizes = prefix.groupBy("value").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("length")).where("length > 1")
+    prefix = store(prefix.join(sizes, "value").where(_able(k, hundredths)).select("id", "n", "a", "value"), "able")
 
     lists = prefix.groupBy("value").agg(
-        F.count(F.lit(1)).alias("length"), F.min(F.struct("id", "n")).alias("low"), F.max(F.struct("id", "n")).alias("high")
+        F.count(F.lit(1)).alias("length"), F.min(F.struct("id", "n")).alias("first"), F.max(F.struct("a", "id", "n")).alias("typical")
     ).where("length > 1")
-    lists = store(lists, "lists")
-    listed = prefix.join(lists, "value")
+    lists = lists.select("value", "length", "first", F.struct("typical.id", "typical.n").alias("typical"))
+    listed = store(prefix.drop("a").join(lists, "value"), "listed")
     wanted = store(listed.select("id").distinct(), "wanted")
     sets = store(full_sets(docs, wanted, key, text, width), "sets")
 
-    # First round: each class and the ends of its lists, the three that it meets most often.
-    ends = listed.select("id", "n", F.explode(F.array("low", "high")).alias("end")).where("id != end.id")
-    alike = F.lit(100) * F.least("n", "end.n") >= F.lit(hundredths) * F.greatest("n", "end.n")
-    met = ends.where(alike).groupBy("id", F.col("end.id").alias("end")).agg(F.count(F.lit(1)).alias("times"))
-    best = met.groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct("times", (-F.col("end")).alias("end"))), False), 1, 3).alias("best"))  # at most 2k ends
-    first = best.select("id", F.explode("best.end").alias("end")).withColumn("end", -F.col("end")).select(F.least("id", "end").alias("a"), F.greatest("id", "end").alias("b")).distinct()
-    tested = store(first, "tested")
+    # First round: each class and those two of its lists.
+    tested = store(_met_most(listed.select("id", "n", F.explode(F.array("first", "typical")).alias("end")), hundredths), "tested")
     links = store(_confirmed(_estimated(tested, classes, k), sets, hundredths), "linked")
     known = store(components(links), "components")
 
     # Second round: pairs across components, in lists that hold several.
-    members = listed.select("value", "id", "n", "length").join(known.withColumnRenamed("node", "id"), "id", "left")
-    members = members.withColumn("component", F.coalesce("component", "id"))
-    several = members.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("value")
-    members = store(members.join(several, "value", "left_semi"), "members")
-    short = members.where(F.col("length") <= SHORT_LIST)
-    x, y = short.alias("x"), short.alias("y")
-    apart = x.join(y, "value").where("x.id < y.id AND x.component != y.component").where(
-        F.lit(100) * F.least("x.n", "y.n") >= F.lit(hundredths) * F.greatest("x.n", "y.n")
-    )
-    pairs = apart.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+    members = listed.select("value", "id", "n", "length", F.col("first.id").alias("head")).join(known.withColumnRenamed("node", "id"), "id", "left")
+    members = store(_mixed_lists(members.withColumn("component", F.coalesce("component", "id"))), "members")
+    pairs = _across(members.where(F.col("length") <= SHORT_LIST), hundredths)
+
+    pairs = pairs.distinct().join(tested, ["a", "b"], "left_anti")
     long = members.where(F.col("length") > SHORT_LIST)
-    blocks = _in_blocks(long, classes, k, hundredths).distinct().join(tested, ["a", "b"], "left_anti")
-    more = _confirmed(store(_estimated(pairs, classes, k).union(blocks).distinct(), "candidates"), sets, hundredths)
+    families = store(components(long.select(F.col("head").alias("a"), F.col("id").alias("b"))), "families")
+    family = long.select("id", "component").distinct().join(families.select(F.col("node").alias("id"), F.col("component").alias("family")), "id")
+    blocks = _in_blocks(family, sets, hundredths)
+    more = _confirmed(_estimated(pairs, classes, k), sets, hundredths).union(blocks)
     known = components(links.union(more))
 
     ids = made.join(classes.select("digest", F.col("id").alias("class")), "digest", "left")
