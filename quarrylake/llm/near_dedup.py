@@ -23,9 +23,10 @@ A document's set holds a 64-bit hash of each distinct run of five words; its ske
 Nothing is dropped for being frequent: step 3 leaves out only pairs in one component already.
 
 Rows: a null text or one without words has an empty set and is linked with nothing.  Fewer than
-five words make one run.  Rows of one key with different texts count as one document (what links
-one links all); a null key is never linked, its component is null and it is kept.  Equal rows get
-equal results.  An empty table gives an empty result; other columns are never read.
+five words make one run.  Of a key's different texts the one whose set has the smallest digest is
+compared; a row with another text has the component of an equal set, if there is one, else its
+own key.  A null key is never linked, its component is null and it is kept.  Equal rows get equal
+results.  An empty table gives an empty result; other columns are never read.
 """
 
 from __future__ import annotations
@@ -140,7 +141,7 @@ def _filter(ids: DataFrame) -> np.ndarray:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """(id, hashes) of the wanted ids.  A filter keeps most other texts out before the shuffle."""
+    """(id, hashes) of the wanted classes (id, digest).  A filter keeps most other texts out before the shuffle."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(_filter(wanted))
 
@@ -151,12 +152,13 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: in
             hit = (words_[place // 64] >> (place % 64).astype(np.uint64)) & np.uint64(1)
             for part in slices(batch.filter(pa.array(hit.astype(bool))), "text"):
                 made = [own.tobytes() for own in shingle_sets(strings(part.column("text")), width)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(made, pa.binary())], names=["id", "hashes"])
+                digests = [xxhash.xxh3_128_digest(own) for own in made]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(digests, pa.binary()), pa.array(made, pa.binary())], names=["id", "digest", "hashes"])
 
     body = docs.where(docs[key].isNotNull()).select(docs[key].cast("long").alias("id"), docs[text].alias("text"))
     body = body.select("id", F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).alias("place"), "text")
-    made = body.mapInArrow(rows, "id bigint, hashes binary")
-    return made.join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    made = body.mapInArrow(rows, "id bigint, digest binary, hashes binary")
+    return made.join(wanted, ["id", "digest"], "left_semi").dropDuplicates(["id"]).drop("digest")
 
 
 def shared_of_union(a: np.ndarray, b: np.ndarray, k: int) -> tuple[int, int]:
@@ -313,7 +315,8 @@ def near_duplicates(
     """Per row: id, n_shingles, component_id (the smallest id reachable), kept; and columns to carry."""
     made = store(sketches(docs, key, text, width, k, carry), "sketches")
     full = made.where("n > 0 AND id IS NOT NULL")
-    # Rows of one set have one sketch; of one id with several texts the sketches are all compared.
+    twice = store(full.groupBy("id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least != most"), "twice")
+    full = full.alias("f").join(twice.alias("t"), (F.col("f.id") == F.col("t.id")) & (F.col("f.digest") != F.col("t.least")), "left_anti")
     classes = store(full.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
 
     values = classes.select("id", "n", F.explode("sketch").alias("value"))
@@ -336,7 +339,7 @@ def near_duplicates(
     ).where("length > 1")
     lists = lists.select("value", "length", "first", F.struct("typical.id", "typical.n").alias("typical"))
     listed = store(prefix.drop("a").join(lists, "value"), "listed")
-    wanted = store(listed.select("id").distinct(), "wanted")
+    wanted = store(listed.select("id").distinct().join(classes.select("id", "digest"), "id"), "wanted")
     sets = store(full_sets(docs, wanted, key, text, width), "sets")
 
     # First round: each class and those two of its lists.
