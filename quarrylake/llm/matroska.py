@@ -24,14 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 FRAME, RATE, LACED, BLOCKS = 192, 8000, 8, 24
-FRAME_MS = FRAME * 1000 // RATE
 
 # Element ids as the Matroska specification (RFC 9559) fixes them.
 EBML, SEGMENT, INFO, TRACKS, CLUSTER, CUES = 0x1A45DFA3, 0x18538067, 0x1549A966, 0x1654AE6B, 0x1F43B675, 0x1C53BB6B
 TRACK_ENTRY, AUDIO, BLOCK_GROUP, CUE_POINT, CUE_POSITIONS = 0xAE, 0xE1, 0xA0, 0xBB, 0xB7
 DOC_TYPE, SCALE, DURATION = 0x4282, 0x2AD7B1, 0x4489
 TRACK_NUMBER, TRACK_UID, TRACK_TYPE, CODEC, LACING = 0xD7, 0x73C5, 0x83, 0x86, 0x9C
-RATE_ID, CHANNELS, DEPTH = 0xB5, 0x9F, 0x6264
+FRAME_DURATION, RATE_ID, CHANNELS, DEPTH = 0x23E383, 0xB5, 0x9F, 0x6264
 TIMESTAMP, SIMPLE_BLOCK, BLOCK = 0xE7, 0xA3, 0xA1
 CUE_TIME, CUE_TRACK, CUE_CLUSTER = 0xB3, 0xF7, 0xF1
 MASTERS = {SEGMENT, INFO, TRACKS, CLUSTER, CUES, TRACK_ENTRY, AUDIO, BLOCK_GROUP, CUE_POINT, CUE_POSITIONS}
@@ -74,6 +73,7 @@ def encode(payload: bytes, frame: int = FRAME, kind: int = 2) -> bytes:
     info = element(INFO, number(SCALE, 1_000_000) + element(DURATION, struct.pack(">d", len(payload) * 1000 / RATE)))
     sound = element(RATE_ID, struct.pack(">d", RATE)) + number(CHANNELS, 1) + number(DEPTH, 8)
     track = number(TRACK_NUMBER, 1) + number(TRACK_UID, 1) + number(TRACK_TYPE, 2) + number(LACING, int(kind > 0))
+    track += number(FRAME_DURATION, frame * 1_000_000_000 // RATE)
     track += element(CODEC, b"A_PCM/INT/LIT") + element(AUDIO, sound)
     parts = [info, element(TRACKS, element(TRACK_ENTRY, track))]
     at, cues, laced = sum(map(len, parts)), [], LACED if kind else 1
@@ -99,7 +99,7 @@ def encode(payload: bytes, frame: int = FRAME, kind: int = 2) -> bytes:
 
 class Packet(NamedTuple):
     track: int
-    timestamp: int  # in the segment's scale; frames of one lace share their block's
+    timestamp: int  # in the segment's scale; of a lace's later frames by the track's frame duration
     start: int
     length: int
     cluster: int
@@ -193,7 +193,8 @@ def parse(data: bytes) -> Media:
             continue
         if name in (SIMPLE_BLOCK, BLOCK):
             number_, time, ranges = frames_of(data, body, end)
-            packets += [Packet(number_, base + time, a, n, len(clusters) - 1) for a, n in ranges]
+            step = tracks.get(number_, {}).get("frame_ns", 0)
+            packets += [Packet(number_, base + time + i * step // scale, a, n, len(clusters) - 1) for i, (a, n) in enumerate(ranges)]
         elif name in (DOC_TYPE, CODEC):
             value = data[body:end].decode("ascii")
             if name == DOC_TYPE:
@@ -206,7 +207,7 @@ def parse(data: bytes) -> Media:
                 duration = value
             else:
                 track["rate"] = value
-        elif name in (SCALE, TIMESTAMP, TRACK_NUMBER, TRACK_TYPE, CHANNELS, DEPTH, CUE_TIME, CUE_TRACK, CUE_CLUSTER):
+        elif name in (SCALE, TIMESTAMP, TRACK_NUMBER, TRACK_TYPE, FRAME_DURATION, CHANNELS, DEPTH, CUE_TIME, CUE_TRACK, CUE_CLUSTER):
             value = int.from_bytes(data[body:end], "big")
             if name == SCALE:
                 scale = value
@@ -221,7 +222,7 @@ def parse(data: bytes) -> Media:
             elif name == CUE_CLUSTER:
                 cues.append((cue[0], cue[1], segment + value))
             else:
-                track[{TRACK_TYPE: "type", CHANNELS: "channels", DEPTH: "depth"}[name]] = value
+                track[{TRACK_TYPE: "type", FRAME_DURATION: "frame_ns", CHANNELS: "channels", DEPTH: "depth"}[name]] = value
         at = end
     return Media(doc_type, scale, duration, tracks, packets, cues, clusters)
 
