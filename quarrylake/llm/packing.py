@@ -28,7 +28,7 @@ from .tokens import word_ids
 
 WIDTH = 4096
 #: Pieces of one length that one task ranks, about.
-RANKED = 50_000
+RANKED = 1000
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -89,13 +89,14 @@ def place(pieces: DataFrame, width: int = WIDTH) -> DataFrame:
     spark = pieces.sparkSession
     lengths = pieces.groupBy("length").count().collect()  # at most ``width`` rows
     histogram = {r["length"]: r["count"] for r in lengths}
-    whole = histogram.pop(width, 0)
+    histogram.pop(width, None)  # full already
     plan, sequences = shortest_pack_first(histogram, width)
     plan = plan[np.lexsort((plan[:, 1], plan[:, 0]))]
     shared = spark.sparkContext.broadcast((plan[:, 0] << 44 | plan[:, 1], plan))  # at most width**2 rows, for any corpus
 
-    buckets = max(1, max(histogram.values(), default=0) // RANKED, whole // RANKED)
-    salted = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)))
+    buckets = spark.createDataFrame([(r["length"], max(1, r["count"] // RANKED)) for r in lengths], "length bigint, buckets bigint")
+    salted = pieces.join(F.broadcast(buckets), "length")  # at most ``width`` rows
+    salted = salted.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), "buckets")).drop("buckets")
     counts = salted.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("lower"))
