@@ -37,17 +37,33 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with columns ``_file`` and ``_row``, which find a row's content again.
-
-    Rows that do not come straight from files are first written to the shared folder.
-    """
-    at = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+def on_files(docs: DataFrame) -> DataFrame:
+    """``docs`` if its rows come straight from files, else a copy in the shared folder."""
     try:
-        return docs.select(*[docs[c] for c in docs.columns], *at)
+        docs.select("_metadata.file_path")
+        return docs
     except AnalysisException:
-        kept = store(docs, "content")
-        return kept.select(*[kept[c] for c in kept.columns], *at)
+        return store(docs, "content")
+
+
+def _locator() -> list[Column]:
+    return [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+
+
+def located(docs: DataFrame) -> DataFrame:
+    """``docs`` with columns ``_file`` and ``_row``, which find a row's content again."""
+    docs = on_files(docs)
+    return docs.select(*[docs[c] for c in docs.columns], *_locator())
+
+
+def rows_at(docs: DataFrame) -> DataFrame:
+    """Whole rows (a struct, so that no column's name clashes) with their locators."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *_locator())
+
+
+def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (on files) at the locators in ``kept``."""
+    return rows_at(docs).join(kept.select("_file", "_row"), ["_file", "_row"], "left_semi").select("row.*")
 
 
 def fingerprints(content: DataFrame, key: str, text: str, digest_bytes: int) -> DataFrame:
@@ -155,6 +171,5 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of equal texts one row stays, with all its columns."""
-    content = located(docs)
-    kept = exact_dedup(docs).where("kept").select("_file", "_row")
-    return content.join(kept, ["_file", "_row"], "left_semi").select(*docs.columns)
+    docs = on_files(docs)
+    return only(docs, exact_dedup(docs).where("kept"))

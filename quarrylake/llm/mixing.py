@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import store
-from .exact_dedup import located
+from .exact_dedup import located, on_files, rows_at
 
 #: Documents that one task draws from at a time; patterns that the driver solves for at most.
 BUCKET, MOST_PATTERNS = 2000, 50_000
@@ -233,8 +233,9 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def take_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: each document as often as the mix takes it."""
-    content = located(docs)
+    docs = on_files(docs)
+    content = located(docs.select("doc_id", "text", "source"))
     mixed, _ = mix(content, F.array(content["source"]), carry=("_file", "_row"))
-    copies = mixed.where("size(routes) > 0").select("_file", "_row", F.size("routes").alias("_copies"))
-    rows = content.join(copies, ["_file", "_row"])
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    copies = mixed.where("size(routes) > 0").select("_file", "_row", F.size("routes").alias("copies"))
+    rows = rows_at(docs).join(copies, ["_file", "_row"])
+    return rows.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .common import slices, store, strings, words
 from .components import components
-from .exact_dedup import located
+from .exact_dedup import located, on_files, only
 
 WIDTH, K, RISK = 5, 64, 1e-10
 #: Linked: ``HUNDREDTHS`` * union <= 100 * intersection.
@@ -374,6 +374,5 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each near-duplicate group stays."""
-    content = located(docs)
-    kept = near_duplicates(content, carry=("_file", "_row")).where("kept").select("_file", "_row")
-    return content.join(kept, ["_file", "_row"], "left_semi").select(*docs.columns)
+    docs = on_files(docs)
+    return only(docs, near_duplicates(located(docs.select("doc_id", "text")), carry=("_file", "_row")).where("kept"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import slices, store, strings, words
-from .exact_dedup import located
+from .exact_dedup import located, on_files, only
 
 #: Bound of the scorer's training sample, and its hashed dimensions.
 SAMPLE_DOCS, DIMENSIONS, CACHE_WORDS = 4000, 4096, 300_000
@@ -251,6 +251,6 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the classifier rejects go."""
-    content = located(docs)
-    kept = store(classify(content, carry=("_file", "_row")).where("kept").select("_file", "_row"), "kept")
-    return content.join(kept, ["_file", "_row"], "left_semi").select(*docs.columns)
+    docs = on_files(docs)
+    found = classify(located(docs.select("doc_id", "text")), carry=("_file", "_row"))
+    return only(docs, store(found.where("kept").select("_file", "_row"), "kept"))
