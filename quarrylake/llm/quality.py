@@ -21,9 +21,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import slices, store, strings, words
-from .exact_dedup import located, on_files, only
+from .common import slices, strings, words
 
 #: Bound of the scorer's training sample, and its hashed dimensions.
 SAMPLE_DOCS, DIMENSIONS, CACHE_WORDS = 4000, 4096, 300_000
@@ -188,10 +188,13 @@ def fit(features: list[tuple[list[int], list[float]]], target: np.ndarray, steps
     return w, float(bias)
 
 
-def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int = 11, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: doc_id, score, kept, posterior (of its votes alone), votes; and columns to carry."""
+def classify(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int = 11, carry: tuple[str, ...] = (), with_text: bool = False,
+) -> DataFrame:
+    """Per row: doc_id, score, kept, posterior (of its votes alone), votes; on demand the text; and columns to carry."""
     spark = docs.sparkSession
     rows = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"), *carry)
+    carry = ("text", *carry) if with_text else carry
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,9 +243,8 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int
                 columns = [part.column("id"), pa.array(p), pa.array(p >= 0.5), pa.array([of.get(c, good) for c in code.tolist()]), pa.array(said)]
                 yield pa.RecordBatch.from_arrays([*columns, *(part.column(c) for c in carry)], names=["doc_id", "score", "kept", "posterior", "votes", *carry])
 
-    schema = "doc_id bigint, score double, kept boolean, posterior double, votes string"
-    kinds = dict(docs.dtypes)
-    return rows.mapInArrow(score, ", ".join([schema, *(f"{c} {kinds[c]}" for c in carry)]))
+    schema = StructType.fromDDL("doc_id bigint, score double, kept boolean, posterior double, votes string")
+    return rows.mapInArrow(score, StructType([*schema, *(rows.schema[c] for c in carry)]))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,7 +252,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that the classifier rejects go."""
-    docs = on_files(docs)
-    found = classify(located(docs.select("doc_id", "text")), carry=("_file", "_row"))
-    return only(docs, store(found.where("kept").select("_file", "_row"), "kept"))
+    """Pipeline stage: documents that the classifier rejects go.
+
+    Rows pass through the scorer whole (other columns in a struct, so that no name clashes), so
+    this stage shuffles nothing.
+    """
+    rest = [docs[c] for c in docs.columns if c != "text"]
+    found = classify(docs.select("doc_id", "text", F.struct(*rest).alias("rest")), carry=("rest",), with_text=True).where("kept")
+    return found.select(*[F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns])
