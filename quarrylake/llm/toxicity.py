@@ -7,8 +7,10 @@ word without such characters has a lattice of one path and is its own restoratio
 text is scored by log odds of its distinct words (or their most specific known beginnings), which
 are learnt from labels and calibrated by a logistic model.
 
-Learning reads a bounded, documented sample of labelled documents (``SAMPLE_ROWS``); scoring reads
-every word of every text, each distinct word once for each batch.
+The language model and its vocabulary are counted over the words of all documents (no labels are
+read for that) and are kept as arrays by 64-bit hashes of words and n-grams, 12 bytes each.  Only
+the weights and their calibration are learnt from a bounded, documented sample of labelled documents
+(``SAMPLE_ROWS``).  Scoring reads every word of every text, each distinct word once for each batch.
 
 Rows: a null or empty text gets the score of a text without any known word.  Rows of one key each
 give a row; an empty table gives an empty result.  Without labels of both kinds all scores are 0.
@@ -17,11 +19,12 @@ Null labels are not learnt from; of several labels of one key each counts.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,11 +33,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ragged, slices, strings, words
+from .common import ragged, slices, store, strings, words
 from .language_id import remainder
 
-#: Bounds: labelled documents that are learnt from, features of the model, words a worker remembers.
+#: Bounds: labelled documents that weights are learnt from, features of the model, words a worker remembers.
 SAMPLE_ROWS, FEATURES, CACHE_WORDS = 6_000, 1500, 300_000
+#: Costs a worker remembers, names that a counting task adds up before it hands them to Spark.
+CACHE_COSTS, COUNTED = 1_000_000, 200_000
 ORDER = 4
 #: Evidence beyond this adds nothing, so a long text is judged as a short one.
 MOST = 15.0
@@ -55,35 +60,67 @@ LEADING = set("$@!|(€£")
 LONGEST = 40
 
 
+def hashed(name: str) -> int:
+    return int.from_bytes(hashlib.blake2b(name.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+class Table:
+    """Numbers by the hashes of their names: two arrays, sorted by hash."""
+
+    def __init__(self, hashes: np.ndarray, values: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes, self.values = hashes[order], values[order].astype(np.float32)
+
+    def get(self, name: str, default: float | None = None) -> float | None:
+        h = hashed(name)
+        i = int(self.hashes.searchsorted(h))
+        return float(self.values[i]) if i < len(self.hashes) and self.hashes[i] == h else default
+
+    def __contains__(self, name: str) -> bool:
+        return self.get(name) is not None
+
+
+def grams_of(word: str) -> Iterator[str]:
+    """A word's n-grams, and their contexts as followed by anything."""
+    padded = "^" * (ORDER - 1) + word + "$"
+    for i in range(ORDER - 1, len(padded)):
+        for k in range(ORDER):
+            yield padded[i - k : i + 1]
+            yield padded[i - k : i] + "\0"
+
+
 @dataclass
 class CharModel:
     """Interpolated character n-grams with a known vocabulary's bonus."""
 
-    counts: dict[str, int] = field(default_factory=dict)
-    lexicon: dict[str, float] = field(default_factory=dict)
+    counts: dict[str, int] | Table = field(default_factory=dict)
+    lexicon: dict[str, float] | Table = field(default_factory=dict)
+    costs: dict[tuple[str, str], float] = field(default_factory=dict)
 
     @classmethod
     def of(cls, frequencies: Counter) -> CharModel:
         model, grams = cls(), Counter()
         total = sum(frequencies.values()) or 1
         for word, n in frequencies.items():
-            padded = "^" * (ORDER - 1) + word + "$"
-            for i in range(ORDER - 1, len(padded)):
-                for k in range(ORDER):
-                    grams[padded[i - k : i + 1]] += n
-                    grams[padded[i - k : i] + "\0"] += n  # how often a context is followed by anything
+            for gram in grams_of(word):
+                grams[gram] += n
         model.counts = dict(grams)
         model.lexicon = {w: math.log(n / total) for w, n in frequencies.items() if n >= 2}
         return model
 
     def cost(self, context: str, letter: str) -> float:
-        p = 1e-4
-        for k in range(ORDER):
-            seen = self.counts.get(context[len(context) - k :] + "\0", 0)
-            if not seen:
-                break
-            p = (self.counts.get(context[len(context) - k :] + letter, 0) + 2.0 * p) / (seen + 2.0)
-        return -math.log(p)
+        got = self.costs.get((context, letter))
+        if got is None:
+            p = 1e-4
+            for k in range(ORDER):
+                seen = self.counts.get(context[len(context) - k :] + "\0", 0)
+                if not seen:
+                    break
+                p = (self.counts.get(context[len(context) - k :] + letter, 0) + 2.0 * p) / (seen + 2.0)
+            if len(self.costs) >= CACHE_COSTS:
+                self.costs.clear()
+            got = self.costs[context, letter] = -math.log(p)
+        return got
 
 
 def readings(word: str, i: int) -> list[tuple[str, float]]:
@@ -244,23 +281,78 @@ def apart(texts: list[str], labels: list[int]) -> tuple[list[str], list[int]]:
     return [texts[i] for i in kept], [labels[i] for i in kept]
 
 
-def learn(texts: list[str], labels: list[int]) -> Scorer:
-    """Fit the character model, choose features by their information, and calibrate log odds."""
-    texts, labels = apart(texts, labels)
-    vocabulary: dict[str, int] = {}
-    bags = []  # each text's distinct words, by number
-    occurrences = Counter()
-    for text in texts:
-        found = text.split()
-        occurrences.update(found)
-        bags.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in set(found)], np.int64))
+def frequencies_of(seen: Iterable[tuple[str, int]]) -> Counter:
+    """Counts of words by their cores, of letters only."""
     frequencies = Counter()
-    for w, n in occurrences.items():
+    for w, n in seen:
         plain = core(w)
         if plain.isalpha():
             frequencies[plain] += n
-    del occurrences
-    model = CharModel.of(frequencies)
+    return frequencies
+
+
+def tally(batches: Iterator[pa.RecordBatch], counts: Callable[[pa.RecordBatch], Iterator[Counter]]) -> Iterator[pa.RecordBatch]:
+    """(name, n) of all batches; a task adds up about ``COUNTED`` names at a time."""
+    total: Counter = Counter()
+    for batch in batches:
+        for found in counts(batch):
+            total.update(found)
+            if len(total) >= COUNTED:
+                yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["name", "n"])
+                total = Counter()
+    yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["name", "n"])
+
+
+def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(name, n): how often each word occurs in all texts."""
+
+    def counts(batch: pa.RecordBatch) -> Iterator[Counter]:
+        for part in slices(batch, "text"):
+            seen = words(strings(part.column("text")))[0].value_counts()
+            yield frequencies_of(zip(seen.field("values").to_pylist(), seen.field("counts").to_pylist()))
+
+    one = docs.select(docs[text].alias("text")).where("text IS NOT NULL")
+    return one.mapInArrow(lambda batches: tally(batches, counts), "name string, n bigint").groupBy("name").agg(F.sum("n").alias("n"))
+
+
+def corpus_model(docs: DataFrame, text: str = "text") -> CharModel:
+    """The character model of all texts.  Only hashes and numbers come to the driver."""
+    vocabulary = store(count_words(docs, text), "words")
+
+    def counts(batch: pa.RecordBatch) -> Iterator[Counter]:
+        grams = Counter()
+        for word, n in zip(batch.column("name").to_pylist(), batch.column("n").to_pylist()):
+            for gram in grams_of(word):
+                grams[gram] += n
+            if len(grams) >= COUNTED:
+                yield grams
+                grams = Counter()
+        yield grams
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = pa.array([hashed(x) for x in batch.column("name").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([names, batch.column("n")], names=["key", "n"])
+
+    def table(named: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        got = named.mapInArrow(keys, "key bigint, n bigint").toArrow()
+        return got.column("key").to_numpy(), got.column("n").to_numpy()
+
+    grams = vocabulary.mapInArrow(lambda batches: tally(batches, counts), "name string, n bigint").groupBy("name").agg(F.sum("n").alias("n"))
+    total = vocabulary.agg(F.sum("n")).first()[0] or 1
+    known, n = table(vocabulary.where("n >= 2"))
+    return CharModel(Table(*table(grams)), Table(known, np.log(n / total)))
+
+
+def learn(texts: list[str], labels: list[int], model: CharModel | None = None) -> Scorer:
+    """Choose features by their information and calibrate log odds; without a model, one of these texts."""
+    if model is None:
+        model = CharModel.of(frequencies_of(Counter(w for text in texts for w in text.split()).items()))
+    texts, labels = apart(texts, labels)
+    vocabulary: dict[str, int] = {}
+    bags = []  # each text's distinct words, by number
+    for text in texts:
+        bags.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in set(text.split())], np.int64))
     y, n = np.array(labels, float), len(texts)
     if not 0 < y.sum() < n:
         return Scorer(model, {}, -50.0)
@@ -341,7 +433,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     learnt = sample(docs, labels.where(remainder(F.col("doc_id"), 5) != 0))
-    scorer = learn([t for _, t, _ in learnt], [x for _, _, x in learnt])
+    scorer = learn([t for _, t, _ in learnt], [x for _, _, x in learnt], corpus_model(docs))
     return score_texts(docs, scorer).select(
         "doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )

@@ -130,3 +130,15 @@ def test_quality(spark, odd, empty):
     rows = QUERIES["op9_quality"](spark, odd).collect()
     assert len(rows) == len(ODD) and all(not r.kept and r.score == 0 for r in rows if r.doc_id in (3, 4, 5))
     assert QUERIES["op9_quality"](spark, empty).count() == 0
+
+
+def test_corpus_statistics_read_all_documents(spark, table):
+    rows = made(60)
+    texts = [t for t, _ in rows] + ["dunderhead " * 3] * 2  # a word that no labelled text holds
+    docs = spark.read.parquet(f"{table(list(enumerate(texts)))}/documents.parquet")
+    model = toxicity.corpus_model(docs)
+    own = toxicity.CharModel.of(toxicity.frequencies_of((w, 1) for t in texts for w in t.split()))
+    assert "dunderhead" in model.lexicon and toxicity.restored_core("dund3rh34d", model) == "dunderhead"
+    assert len(model.lexicon.hashes) == len(own.lexicon) and len(model.counts.hashes) == len(own.counts)
+    assert all(model.lexicon.get(w) == pytest.approx(x, rel=1e-5) for w, x in own.lexicon.items())
+    assert all(model.counts.get(g) == n for g, n in own.counts.items())
