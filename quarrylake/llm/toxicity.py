@@ -26,6 +26,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ SAMPLE_ROWS, FEATURES, CACHE_WORDS = 6_000, 1500, 300_000
 #: Costs a worker remembers, names that a counting task adds up before it hands them to Spark.
 CACHE_COSTS, COUNTED = 1_000_000, 200_000
 ORDER = 4
+BEGIN = "^" * (ORDER - 1)
 #: Evidence beyond this adds nothing, so a long text is judged as a short one.
 MOST = 15.0
 #: What a character may stand for besides itself, and the cost of each reading in nats.
@@ -57,7 +59,9 @@ EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 REPEATED = re.compile(r"(.)\1\1")
 #: Signs that stand for a letter at a word's beginning too.
 LEADING = set("$@!|(€£")
-LONGEST = 40
+#: Paths that a run of pieces keeps in each state (they differ in where their last words begin), and
+#: the cost of joining two pieces.
+RUN_PATHS, JOIN = 8, 0.3
 
 
 def hashed(name: str) -> int:
@@ -82,7 +86,7 @@ class Table:
 
 def grams_of(word: str) -> Iterator[str]:
     """A word's n-grams, and their contexts as followed by anything."""
-    padded = "^" * (ORDER - 1) + word + "$"
+    padded = BEGIN + word + "$"
     for i in range(ORDER - 1, len(padded)):
         for k in range(ORDER):
             yield padded[i - k : i + 1]
@@ -140,23 +144,41 @@ def readings(word: str, i: int) -> list[tuple[str, float]]:
     return found
 
 
+#: A path's letters, the last first: (letters before, letters); None at a word's beginning.
+Letters = tuple | None
+
+
+def spelling(letters: Letters) -> str:
+    out = []
+    while letters:
+        letters, last = letters
+        out.append(last)
+    return "".join(reversed(out))
+
+
+def ended(cost: float, context: str, out: str, model: CharModel) -> float:
+    """A word's cost at its end: by its letters, or by the vocabulary if that holds it."""
+    known = model.lexicon.get(out)
+    return min(cost + model.cost(context, "$"), 2.0 - known if known is not None else math.inf)
+
+
 def restore(word: str, model: CharModel) -> str:
-    """The likeliest letters of a lower-case word by Viterbi over its lattice."""
-    paths: dict[str, list[tuple[float, str]]] = {"^" * (ORDER - 1): [(0.0, "")]}
+    """The likeliest letters of a lower-case word by Viterbi over its lattice, in time linear in its length."""
+    paths: dict[str, list[tuple[float, Letters]]] = {BEGIN: [(0.0, None)]}
     for i in range(len(word)):
-        new: dict[str, list[tuple[float, str]]] = {}
+        new: dict[str, list[tuple[float, Letters]]] = {}
         for letters, paid in readings(word, i):
             for context, kept in paths.items():
                 step = paid + (model.cost(context, letters) if letters else 0.0)
                 to = (context + letters)[-(ORDER - 1) :]
-                new.setdefault(to, []).extend((cost + step, out + letters) for cost, out in kept)
+                new.setdefault(to, []).extend((cost + step, (out, letters) if letters else out) for cost, out in kept)
         # The two best paths into each state: the second serves the vocabulary's choice at the end.
-        paths = {state: sorted(kept)[:2] for state, kept in new.items()}
+        paths = {state: sorted(kept, key=itemgetter(0))[:2] for state, kept in new.items()}
     ends = []
     for context, kept in paths.items():
-        for cost, out in kept:
-            known = model.lexicon.get(out)
-            ends.append((min(cost + model.cost(context, "$"), 2.0 - known if known is not None else math.inf), out))
+        for cost, letters in kept:
+            out = spelling(letters)
+            ends.append((ended(cost, context, out, model), out))
     return min(ends)[1] if ends else word
 
 
@@ -243,7 +265,7 @@ class Scorer:
 def restored_core(word: str, model: CharModel) -> str:
     """A word without its edges' punctuation, restored if anything in it may be a disguise."""
     plain = word.lower().strip(EDGE)
-    if not plain or len(plain) > LONGEST:
+    if not plain:
         return plain
     if plain.isalpha():
         if word[0] in LEADING:  # "$cum": read with and without the sign
@@ -257,16 +279,43 @@ def restored_core(word: str, model: CharModel) -> str:
 
 
 def restore_run(letters: str, model: CharModel) -> list[str]:
-    """Words that letters with spaces between may spell: the run, and its pieces in the vocabulary."""
-    chars = letters.split(" ")
-    joined = "".join(chars)
-    out = [restore(joined[:LONGEST], model)]
-    for a in range(len(chars)):
-        for b in range(a + 4, min(len(chars), a + 14) + 1):
-            piece = restore(joined[a:b], model)
-            if piece in model.lexicon:
-                out.append(piece)
-    return out
+    """Words that pieces with spaces between may spell.
+
+    The lattice of the whole run: at each space a word ends, or the pieces are joined.
+    """
+    # A path: its cost, the cost at which its last word began, that word's letters, the words before.
+    paths: dict[str, list[tuple[float, float, Letters, tuple | None]]] = {BEGIN: [(0.0, 0.0, None, None)]}
+
+    def end(context: str, path: tuple) -> tuple[float, tuple | None]:
+        cost, began, last, before = path
+        out = spelling(last)
+        return (began + ended(cost - began, context, out, model), (before, out)) if out else (cost, before)
+
+    pieces = letters.split(" ")
+    for n, piece in enumerate(pieces):
+        if n:
+            new = {context: [(cost + JOIN, *rest) for cost, *rest in kept] for context, kept in paths.items()}
+            closed = sorted((end(context, path) for context, kept in paths.items() for path in kept), key=itemgetter(0))
+            new.setdefault(BEGIN, []).extend((cost, cost, None, words) for cost, words in closed[:RUN_PATHS])
+            paths = new
+        # A letter repeats the one before it in the piece, or over a space that is dropped.
+        spelled = (pieces[n - 1][-1:] if n else "") + piece
+        for i in range(len(spelled) - len(piece), len(spelled)):
+            new = {}
+            for reading, paid in readings(spelled, i):
+                for context, kept in paths.items():
+                    if not reading and spelled[i].isalpha() and context == BEGIN:
+                        continue  # nothing stands before it that it could repeat
+                    step = paid + (model.cost(context, reading) if reading else 0.0)
+                    to = (context + reading)[-(ORDER - 1) :]
+                    new.setdefault(to, []).extend((cost + step, began, (last, reading) if reading else last, before) for cost, began, last, before in kept)
+            paths = {context: sorted(kept, key=itemgetter(0))[:RUN_PATHS] for context, kept in new.items()}
+    ends = [end(context, path) for context, kept in paths.items() for path in kept]
+    out, found = min(ends, key=itemgetter(0))[1], []
+    while out:
+        out, word = out
+        found.append(word)
+    return found[::-1]
 
 
 def apart(texts: list[str], labels: list[int]) -> tuple[list[str], list[int]]:

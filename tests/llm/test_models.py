@@ -142,3 +142,17 @@ def test_corpus_statistics_read_all_documents(spark, table):
     assert len(model.lexicon.hashes) == len(own.lexicon) and len(model.counts.hashes) == len(own.counts)
     assert all(model.lexicon.get(w) == pytest.approx(x, rel=1e-5) for w, x in own.lexicon.items())
     assert all(model.counts.get(g) == n for g, n in own.counts.items())
+
+
+@pytest.mark.parametrize(
+    "text", ["id" + "i" * 60 + "ot", "-".join("moron") + "-" * 40, ".".join(["the", "cat"] * 6 + ["x"]) + " scum" + "-" * 50 + "bag",
+             " ".join("the" * 20 + "idiot"), " ".join("catidiot"), "i " + "d " * 20 + "i o t", " ".join("todayloser" * 9)],
+)
+def test_disguises_of_any_length(scorer, text):
+    assert scorer.score(pa.array([text]))[0] >= 0.5
+
+
+def test_short_words_inside_a_run():
+    model = toxicity.CharModel.of(toxicity.Counter({"fag": 40, "you": 400, "are": 300, "cat": 300, "idiot": 50}))
+    assert toxicity.restore_run(" ".join("youarefag"), model) == ["you", "are", "fag"]
+    assert toxicity.restore_run(" ".join("fag" + "you" * 15), model) == ["fag"] + ["you"] * 15
