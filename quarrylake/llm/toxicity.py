@@ -3,7 +3,8 @@
 Disguised words (leetspeak, spelled-out or separated letters, repeated letters) are restored
 first.  Each character stands for one or more letters, or for none, at a cost; these choices make
 a lattice, and Viterbi decoding under a character language model picks the likeliest letters.  A
-word without such characters has a lattice of one path and is its own restoration.  The restored
+word without such characters has a lattice of one path and is its own restoration.  Three or more
+pieces of at most two characters (besides marks) in a row are decoded as one run too.  The restored
 text is scored by log odds of its distinct words (or their most specific known beginnings), which
 are learnt from labels and calibrated by a logistic model.
 
@@ -55,10 +56,19 @@ READ, DROP_MARK, DROP_REPEAT, HIDDEN = 0.5, 0.7, 0.3, 3.0
 MARKS, MASKS = set(".-_*~'`^,:;/\\=#%&|+ ​"), set("*#%")
 VOWELS = "aeiou"
 EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
-#: Cores that need a lattice though they are letters only: a letter three times in a row.
-REPEATED = re.compile(r"(.)\1\1")
-#: Signs that stand for a letter at a word's beginning too.
-LEADING = set("$@!|(€£")
+#: Money signs hardly stand beside letters by themselves: what dropping one costs.
+MONEY, DROP_MONEY = set("$€£§"), 6.0
+#: Edges that words are counted without; others may stand for letters.
+COUNTED_EDGE = "".join(c for c in EDGE if c not in "$@")
+#: Signs at the edges that may stand for a letter or hide one.
+SIGNS = {c for c in LEET if not c.isdigit()} | MASKS
+#: Letters only, but one of them repeated; and three times in a row.
+REPEATED, TRIPLE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
+#: Of two known words, a double letter's word is read with a single one if that is likelier by this (nats).
+STRETCHED = 7.0
+#: A run is of pieces with at most so many characters besides the marks at their edges.
+PIECE = 2
+PIECE_EDGE = "".join(c for c in EDGE if c not in LEET)
 #: Paths that a run of pieces keeps in each state (they differ in where their last words begin), and
 #: the cost of joining two pieces.
 RUN_PATHS, JOIN = 8, 0.3
@@ -106,7 +116,7 @@ class CharModel:
         model, grams = cls(), Counter()
         total = sum(frequencies.values()) or 1
         for word, n in frequencies.items():
-            for gram in grams_of(word):
+            for gram in grams_of(word) if word.isalpha() else ():
                 grams[gram] += n
         model.counts = dict(grams)
         model.lexicon = {w: math.log(n / total) for w, n in frequencies.items() if n >= 2}
@@ -127,7 +137,12 @@ class CharModel:
         return got
 
 
-def readings(word: str, i: int) -> list[tuple[str, float]]:
+def inner(word: str) -> tuple[int, int]:
+    """Where a word begins and ends without its edges' punctuation."""
+    return len(word) - len(word.lstrip(EDGE)), len(word.rstrip(EDGE))
+
+
+def readings(word: str, i: int, inside: tuple[int, int]) -> list[tuple[str, float]]:
     """What the character at ``i`` may stand for: (letters, cost); empty letters drop it."""
     c = word[i]
     found = [(x, READ) for x in LEET.get(c, "")]
@@ -136,7 +151,8 @@ def readings(word: str, i: int) -> list[tuple[str, float]]:
         if i and word[i - 1] == c:
             found.append(("", DROP_REPEAT))
     elif c in MARKS or c in LEET:
-        found.append(("", DROP_MARK if c in MARKS else HIDDEN))
+        edge = not c.isdigit() and not inside[0] <= i < inside[1]
+        found.append(("", DROP_MONEY if c in MONEY else DROP_MARK if c in MARKS or edge else HIDDEN))
         if c in MASKS:
             found += [(v, HIDDEN) for v in VOWELS]
     else:
@@ -156,36 +172,36 @@ def spelling(letters: Letters) -> str:
     return "".join(reversed(out))
 
 
-def ended(cost: float, context: str, out: str, model: CharModel) -> float:
-    """A word's cost at its end: by its letters, or by the vocabulary if that holds it."""
+def ended(cost: float, paid: float, context: str, out: str, model: CharModel) -> float:
+    """A word's cost at its end: what was paid for its readings, and its letters' or the vocabulary's cost."""
     known = model.lexicon.get(out)
-    return min(cost + model.cost(context, "$"), 2.0 - known if known is not None else math.inf)
+    return min(cost + model.cost(context, "$"), paid + 2.0 - known if known is not None else math.inf)
 
 
 def restore(word: str, model: CharModel) -> str:
     """The likeliest letters of a lower-case word by Viterbi over its lattice, in time linear in its length."""
-    paths: dict[str, list[tuple[float, Letters]]] = {BEGIN: [(0.0, None)]}
+    paths: dict[str, list[tuple[float, float, Letters]]] = {BEGIN: [(0.0, 0.0, None)]}  # cost, paid for readings
+    inside = inner(word)
+    number = not any(map(str.isalpha, word))  # then every digit stands for a letter
     for i in range(len(word)):
-        new: dict[str, list[tuple[float, Letters]]] = {}
-        for letters, paid in readings(word, i):
+        new: dict[str, list[tuple[float, float, Letters]]] = {}
+        for letters, price in readings(word, i, inside):
+            if number and not letters and word[i].isdigit():
+                continue
             for context, kept in paths.items():
-                step = paid + (model.cost(context, letters) if letters else 0.0)
+                step = price + (model.cost(context, letters) if letters else 0.0)
                 to = (context + letters)[-(ORDER - 1) :]
-                new.setdefault(to, []).extend((cost + step, (out, letters) if letters else out) for cost, out in kept)
+                new.setdefault(to, []).extend((cost + step, paid + price, (out, letters) if letters else out) for cost, paid, out in kept)
         # The two best paths into each state: the second serves the vocabulary's choice at the end.
         paths = {state: sorted(kept, key=itemgetter(0))[:2] for state, kept in new.items()}
     ends = []
     for context, kept in paths.items():
-        for cost, letters in kept:
+        for cost, paid, letters in kept:
             out = spelling(letters)
-            ends.append((ended(cost, context, out, model), out))
+            ends.append((ended(cost, paid, context, out, model), out))
     return min(ends)[1] if ends else word
 
 
-def core(word: str) -> str:
-    return word.lower().strip(EDGE)
-
-
 def features_of(word: str) -> list[str]:
     """The word and its beginnings, the most specific first."""
     return ["w:" + word] + [f"p:{word[:k]}" for k in (7, 6, 5, 4) if len(word) > k]
@@ -196,17 +212,18 @@ def evidence(word: str, names: dict[str, int]) -> tuple[int, ...]:
     return next(((names[f],) for f in features_of(word) if f in names), ())
 
 
-def spelled_out(flat: pa.Array, offsets: np.ndarray) -> list[tuple[int, str]]:
-    """Runs of three or more one-letter words: (text, letters with spaces)."""
-    lengths = pc.utf8_length(flat).to_numpy(zero_copy_only=False)
-    single = np.r_[False, lengths == 1, False]
-    turns = np.flatnonzero(np.diff(single.astype(np.int8)))
+def spelled_out(flat: pa.Array, offsets: np.ndarray, kinds: np.ndarray) -> list[tuple[int, str]]:
+    """Runs with three or more pieces, by each word's kind (``is_piece``): (text, pieces with spaces)."""
+    turns = np.flatnonzero(np.diff(np.r_[False, kinds > 0, False].astype(np.int8)))
+    pieces = np.r_[0, np.cumsum(kinds == 1)]
     out = []
     for a, b in zip(turns[::2], turns[1::2]):
+        if pieces[b] - pieces[a] < 3:
+            continue
         text = int(np.searchsorted(offsets, a, side="right")) - 1
         while a < b:  # a run does not go on in the next text
             end = min(b, offsets[text + 1])
-            if end - a >= 3:
+            if pieces[end] - pieces[a] >= 3:
                 out.append((text, " ".join(flat.slice(a, end - a).to_pylist()).lower()))
             a, text = end, text + 1
     return out
@@ -220,18 +237,29 @@ class Scorer:
         self.names = {name: i for i, name in enumerate(weights)}
         self.values = np.array(list(weights.values()) or [0.0])
         self.starts = {name[2:6] for name in weights}  # a word with a known feature starts so
+        self.hope = may_read(self.starts)
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.runs: dict[str, tuple[int, ...]] = {}
 
     def known(self, word: str) -> tuple[int, ...]:
         got = self.cache.get(word)
         if got is None:
             if len(self.cache) >= CACHE_WORDS:
                 self.cache.clear()
-            plain = restored_core(word, self.model)
+            plain = restored_core(word, self.model) if self.hope.search(word.lower()) else ""
             got = evidence(plain, self.names) if plain[:4] in self.starts else ()
             self.cache[word] = got
         return got
 
+    def known_run(self, letters: str) -> tuple[int, ...]:
+        got = self.runs.get(letters)
+        if got is None:
+            if len(self.runs) >= CACHE_WORDS // 10:
+                self.runs.clear()
+            found = restore_run(letters, self.model) if self.hope.search(letters) else []
+            got = self.runs[letters] = tuple(f for w in found for f in evidence(w, self.names))
+        return got
+
     def pairs(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (text, feature) of a batch of texts."""
         flat, offsets = words(texts)
@@ -248,9 +276,9 @@ class Scorer:
         table = np.array([f for x in each for f in x], np.int64)
         rows = [np.repeat(text, counts[word])]
         found = [table[ragged(starts[word], counts[word])] if len(word) else np.empty(0, np.int64)]
-        for row, letters in spelled_out(flat, offsets):
-            for w in restore_run(letters, self.model):
-                got = evidence(w, self.names)
+        kinds = np.array([is_piece(w) for w in coded.dictionary.to_pylist()], np.int8)
+        for row, letters in spelled_out(flat, offsets, kinds[coded.indices.to_numpy()]):
+            if got := self.known_run(letters):
                 rows.append(np.full(len(got), row))
                 found.append(np.array(got, np.int64))
         joint = np.unique(np.concatenate(rows) * len(self.values) + np.concatenate(found))
@@ -262,20 +290,55 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(total, -50, 50)))
 
 
-def restored_core(word: str, model: CharModel) -> str:
-    """A word without its edges' punctuation, restored if anything in it may be a disguise."""
-    plain = word.lower().strip(EDGE)
-    if not plain:
+def unstretched(plain: str, model: CharModel) -> str:
+    """A word of letters only, without the letters that were only repeated."""
+    if not REPEATED.search(plain):
         return plain
+    out = restore(plain, model)
+    if TRIPLE.search(plain) or out == plain:
+        return out
+    known, own = model.lexicon.get(out), model.lexicon.get(plain)
+    return out if known is not None and (own is None or known - STRETCHED > own) else plain
+
+
+def restored_core(word: str, model: CharModel) -> str:
+    """A word without its edges' punctuation, restored if anything in it may be a disguise.
+
+    Signs at the edges are read as letters where the lattice prefers that to dropping them and the
+    vocabulary holds the result (or a money sign stands there); a number is read as a word only if
+    the vocabulary holds that and does not prefer the number.
+    """
+    whole = word.lower()
+    plain = whole.strip(EDGE)
     if plain.isalpha():
-        if word[0] in LEADING:  # "$cum": read with and without the sign
-            whole = restore(word.lower().rstrip(EDGE), model)
-            if whole in model.lexicon and plain not in model.lexicon:
-                return whole
-        return restore(plain, model) if REPEATED.search(plain) else plain
-    if plain.isdigit() or not any(map(str.isalpha, plain)):
-        return plain
-    return restore(plain, model)
+        if SIGNS.isdisjoint(whole):
+            return unstretched(plain, model)
+        out = restore(whole, model)
+        if out != plain and out != restore(plain, model) and (out in model.lexicon or not MONEY.isdisjoint(whole)):
+            return out
+        return unstretched(plain, model)
+    out = restore(whole, model)
+    if any(map(str.isalpha, whole)):
+        return out
+    known, own = model.lexicon.get(out), model.lexicon.get(plain)
+    return out if known is not None and (own is None or known - HIDDEN - READ * len(plain) > own) else plain
+
+
+def may_read(starts: Iterable[str]) -> re.Pattern:
+    """What every text matches that may be read as a word with one of these beginnings (and others may)."""
+
+    def one(letter: str) -> str:
+        signs = "".join(c for c, letters in LEET.items() if letter in letters) + ("".join(MASKS) if letter in VOWELS else "")
+        return re.escape(letter) + "".join(map(re.escape, signs))
+
+    each = ("".join(rf"[{one(x)}][\W\d_{one(x)}]*" for x in start) for start in sorted(set(starts)))
+    return re.compile("|".join(each) or r"(?!)")
+
+
+def is_piece(word: str) -> int:
+    """1 for a piece of a run, 2 for marks that may stand between pieces, else 0."""
+    n = len(word.strip(PIECE_EDGE))
+    return 0 if n > PIECE else 1 if n else 2
 
 
 def restore_run(letters: str, model: CharModel) -> list[str]:
@@ -283,32 +346,34 @@ def restore_run(letters: str, model: CharModel) -> list[str]:
 
     The lattice of the whole run: at each space a word ends, or the pieces are joined.
     """
-    # A path: its cost, the cost at which its last word began, that word's letters, the words before.
-    paths: dict[str, list[tuple[float, float, Letters, tuple | None]]] = {BEGIN: [(0.0, 0.0, None, None)]}
+    # A path: its cost, the cost at which its last word began, what that word's readings and letters are, the words before.
+    paths: dict[str, list[tuple[float, float, float, Letters, tuple | None]]] = {BEGIN: [(0.0, 0.0, 0.0, None, None)]}
 
     def end(context: str, path: tuple) -> tuple[float, tuple | None]:
-        cost, began, last, before = path
+        cost, began, paid, last, before = path
         out = spelling(last)
-        return (began + ended(cost - began, context, out, model), (before, out)) if out else (cost, before)
+        return (began + ended(cost - began, paid, context, out, model), (before, out)) if out else (cost, before)
 
     pieces = letters.split(" ")
     for n, piece in enumerate(pieces):
         if n:
-            new = {context: [(cost + JOIN, *rest) for cost, *rest in kept] for context, kept in paths.items()}
+            new = {context: [(cost + JOIN, began, paid + JOIN, *rest) for cost, began, paid, *rest in kept] for context, kept in paths.items()}
             closed = sorted((end(context, path) for context, kept in paths.items() for path in kept), key=itemgetter(0))
-            new.setdefault(BEGIN, []).extend((cost, cost, None, words) for cost, words in closed[:RUN_PATHS])
+            new.setdefault(BEGIN, []).extend((cost, cost, 0.0, None, words) for cost, words in closed[:RUN_PATHS])
             paths = new
         # A letter repeats the one before it in the piece, or over a space that is dropped.
         spelled = (pieces[n - 1][-1:] if n else "") + piece
+        inside = inner(spelled)
         for i in range(len(spelled) - len(piece), len(spelled)):
             new = {}
-            for reading, paid in readings(spelled, i):
+            for reading, price in readings(spelled, i, inside):
                 for context, kept in paths.items():
                     if not reading and spelled[i].isalpha() and context == BEGIN:
                         continue  # nothing stands before it that it could repeat
-                    step = paid + (model.cost(context, reading) if reading else 0.0)
+                    step = price + (model.cost(context, reading) if reading else 0.0)
                     to = (context + reading)[-(ORDER - 1) :]
-                    new.setdefault(to, []).extend((cost + step, began, (last, reading) if reading else last, before) for cost, began, last, before in kept)
+                    added = [(cost + step, began, paid + price, (last, reading) if reading else last, before) for cost, began, paid, last, before in kept]
+                    new.setdefault(to, []).extend(added)
             paths = {context: sorted(kept, key=itemgetter(0))[:RUN_PATHS] for context, kept in new.items()}
     ends = [end(context, path) for context, kept in paths.items() for path in kept]
     out, found = min(ends, key=itemgetter(0))[1], []
@@ -331,11 +396,11 @@ def apart(texts: list[str], labels: list[int]) -> tuple[list[str], list[int]]:
 
 
 def frequencies_of(seen: Iterable[tuple[str, int]]) -> Counter:
-    """Counts of words by their cores, of letters only."""
+    """Counts of words and numbers by their cores; words with signs that may be letters are not counted."""
     frequencies = Counter()
     for w, n in seen:
-        plain = core(w)
-        if plain.isalpha():
+        plain = w.lower().strip(COUNTED_EDGE)
+        if plain.isalpha() or plain.isdigit():
             frequencies[plain] += n
     return frequencies
 
@@ -371,7 +436,7 @@ def corpus_model(docs: DataFrame, text: str = "text") -> CharModel:
     def counts(batch: pa.RecordBatch) -> Iterator[Counter]:
         grams = Counter()
         for word, n in zip(batch.column("name").to_pylist(), batch.column("n").to_pylist()):
-            for gram in grams_of(word):
+            for gram in grams_of(word) if word.isalpha() else ():
                 grams[gram] += n
             if len(grams) >= COUNTED:
                 yield grams

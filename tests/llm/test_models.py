@@ -156,3 +156,17 @@ def test_short_words_inside_a_run():
     model = toxicity.CharModel.of(toxicity.Counter({"fag": 40, "you": 400, "are": 300, "cat": 300, "idiot": 50}))
     assert toxicity.restore_run(" ".join("youarefag"), model) == ["you", "are", "fag"]
     assert toxicity.restore_run(" ".join("fag" + "you" * 15), model) == ["fag"] + ["you"] * 15
+
+
+@pytest.mark.parametrize(
+    "text, bad",
+    [("a$$", 1), ("@$$", 1), ("dumba$$", 1), ("$h1t", 1), ("$hit!", 1), ("stuupid", 1), ("455", 1), ("i. d. i. o. t.", 1), ("id io t", 1), ("(i) - [d] - i o t", 1),
+     ("!diot", 1), ("*diot*", 1), ("hat!", 0), ("(the cat)", 0), ("$100 4 cats", 0), ("a hit, it is so", 0), ("too good", 0), ("it is as it is", 0), ("| a | b |", 0), ("454 457", 0)],
+)
+def test_signs_at_edges_double_letters_and_pieces(text, bad):
+    toxic = ["ass", "shit", "stupid", "idiot", "dumbass"]
+    clean = ["a", "hat", "hit", "too", "to", "good", "it", "is", "as", "so", "457", "454", *CLEAN]
+    rng = np.random.default_rng(5)
+    rows = [" ".join([*rng.choice(clean, 12), *([str(rng.choice(toxic))] if i % 4 == 0 else [])]) for i in range(600)]
+    scorer = toxicity.learn(rows, [int(i % 4 == 0) for i in range(600)])
+    assert int(scorer.score(pa.array([text]))[0] >= 0.5) == bad
