@@ -1,12 +1,17 @@
 """Secret scan: fixed patterns, and sliding-window Shannon entropy over candidate strings.
 
-A candidate is a run of at least ``WINDOW`` characters that keys are made of.  A window slides over it; counts of
+A candidate is a run of at least ``WINDOW`` = 20 characters that keys are made of; shorter strings
+cannot be told from words and numbers by their entropy and are left to the fixed patterns.  A window slides over it; counts of
 its characters, and with them its entropy, are updated by the one character that leaves and the one that
 comes.  A window is held against the threshold of its character class (the narrowest class that
 holds all its characters), because sixteen hexadecimal digits can never reach what sixteen
 base-64 characters reach.  Windows over their thresholds are merged to spans of kind ``entropy``.
-Allow-listed forms (UUIDs, dates, addresses, paths, placeholders, ...) are suppressed; spans of the
-fixed patterns are never suppressed, and no entropy span overlaps one.
+A window needs two letters.  One with fewer than two digits looks like written words: it must also
+mix lower and upper case as words do not (``MIXED`` of each, and as many changes between neighbours), or be
+of letters of one case and reach ``LETTERS`` bits, which a random one of 20 letters seldom does.
+Allow-listed forms (UUIDs, dates, addresses, paths, placeholders, ...) are cut out of a run before the
+windows slide over what is left, so they hide nothing beside them; spans of the fixed patterns are never
+suppressed, and no entropy span overlaps one.
 
 Positions count code points, ends are exclusive; a fixed pattern's span is its whole match.
 Rows: a null text counts as empty; texts without a span give zero counts and an empty ``spans``.
@@ -46,13 +51,13 @@ CLASSES = (
     ("upper", frozenset("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"), 3.5),
     ("base64", frozenset("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"), 3.7),
 )
-#: Candidates with one of these forms are no secrets.
+#: What words with fewer than two digits must reach: letters of each case and changes of case; bits of one case.
+MIXED, LETTERS = 6, 4.1
+#: Forms that are no secrets; they are cut out of a candidate.
 ALLOWED = (
-    r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}",  # UUID
-    r"\d{4}-\d\d-\d\d.*",  # dates and times
-    r"[-+/_=\d]*",  # numbers and rules
-    r"[A-Za-z]*([-_/=+]+[A-Za-z]*)*",  # words in paths and identifiers
-    r"(?i).*(example|placeholder|changeme|xxxx|dummy|sample|0123456789|abcdefgh).*",
+    r"(?<![0-9a-f])[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}(?![0-9a-f])",  # UUID
+    r"(?<![0-9A-Za-z])\d{4}-\d\d-\d\d(?:[-_T]\d\d)*Z?(?![0-9A-Za-z])",  # dates and times
+    r"(?i)example|placeholder|changeme|x{4,}|dummy|sample|0123456789|abcdefgh",
 )
 
 
@@ -67,14 +72,22 @@ def _narrowest(counts: dict[str, int]) -> int:
 def entropy_spans(run: str, window: int = WINDOW) -> list[tuple[int, int]]:
     """Spans of ``run`` under windows whose entropy reaches their class's threshold."""
     term = [0.0] + [n * math.log2(n) for n in range(1, window + 1)]
-    whole, counts, total, digits, letters, spans = math.log2(window), {}, 0.0, 0, 0, []
+    whole, counts, total, spans = math.log2(window), {}, 0.0, []
+    digits = lower = upper = changes = 0
+
+    def change(i: int) -> bool:
+        """Letters of different case at ``i`` and before it."""
+        return run[i - 1 : i + 1].isalpha() and run[i - 1].islower() != run[i].islower()
+
     for i, c in enumerate(run):
         if i >= window:
             gone = run[i - window]
             n = counts[gone]
             total += term[n - 1] - term[n]
             digits -= gone.isdigit()
-            letters -= gone.isalpha()
+            lower -= gone.islower()
+            upper -= gone.isupper()
+            changes -= change(i - window + 1)
             if n == 1:
                 del counts[gone]
             else:
@@ -83,9 +96,14 @@ def entropy_spans(run: str, window: int = WINDOW) -> list[tuple[int, int]]:
         counts[c] = n + 1
         total += term[n + 1] - term[n]
         digits += c.isdigit()
-        letters += c.isalpha()
-        if i >= window - 1 and digits >= 2 and letters >= 2:
-            if whole - total / window >= CLASSES[_narrowest(counts)][2]:
+        lower += c.islower()
+        upper += c.isupper()
+        changes += i > 0 and change(i)
+        if i >= window - 1 and lower + upper >= 2:
+            bits = CLASSES[_narrowest(counts)][2]
+            if digits < 2 and min(lower, upper, changes) < MIXED:
+                bits = LETTERS if window in (lower, upper) else math.inf
+            if whole - total / window >= bits:
                 a = i - window + 1
                 if spans and a <= spans[-1][1]:
                     spans[-1] = (spans[-1][0], i + 1)
@@ -94,6 +112,15 @@ def entropy_spans(run: str, window: int = WINDOW) -> list[tuple[int, int]]:
     return spans
 
 
+def outside(run: str, allowed: re.Pattern) -> Iterator[tuple[int, int]]:
+    """Stretches of a candidate between its allowed forms."""
+    at = 0
+    for m in allowed.finditer(run):
+        yield at, m.start()
+        at = m.end()
+    yield at, len(run)
+
+
 def scan(text: str, allowed: re.Pattern) -> list[tuple[int, int, int]]:
     """All spans of a text as (start, kind's place in ``KINDS``, end), sorted."""
     found = []
@@ -105,13 +132,11 @@ def scan(text: str, allowed: re.Pattern) -> list[tuple[int, int, int]]:
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     base = sorted(found)
     for m in CANDIDATE.finditer(text):
-        run = m[0]
-        if run.isalpha() or allowed.fullmatch(run):
-            continue
-        for a, b in entropy_spans(run):
-            a, b = a + m.start(), b + m.start()
-            if not any(x < b and a < y for x, _, y in base):
-                found.append((a, 3, b))
+        for start, end in outside(m[0], allowed):
+            for a, b in entropy_spans(m[0][start:end]):
+                a, b = a + m.start() + start, b + m.start() + start
+                if not any(x < b and a < y for x, _, y in base):
+                    found.append((a, 3, b))
     return sorted(found)
 
 
@@ -128,18 +153,11 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", allow
     """Per row: counts by kind, a digest of the fixed patterns' spans, and all spans."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        allowed = re.compile("|".join(f"(?:{p})" for p in allow if not p.startswith("(?i)")))
-        loose = re.compile("|".join(f"(?:{p[4:]})" for p in allow if p.startswith("(?i)")) or r"(?!)", re.IGNORECASE)
-
-        class Either:
-            @staticmethod
-            def fullmatch(run: str):
-                return allowed.fullmatch(run) or loose.fullmatch(run)
-
+        allowed = re.compile("|".join(f"(?i:{p[4:]})" if p.startswith("(?i)") else f"(?:{p})" for p in allow) or r"(?!)")
         for batch in batches:
             out = []
             for body in strings(batch.column("text")).to_pylist():
-                spans = scan(body, Either)
+                spans = scan(body, allowed)
                 kinds = [k for _, k, _ in spans]
                 base = joined([x for x in spans if x[1] < 3])
                 out.append([*map(kinds.count, range(4)), hashlib.sha256(base.encode()).hexdigest(), joined(spans)])

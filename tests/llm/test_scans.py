@@ -47,6 +47,25 @@ def test_secrets(spark, table, odd, empty):
     assert QUERIES["op6_secrets"](spark, empty).count() == 0
 
 
+KEY = "q8Zr2LmX9vT4sWb7Yk1DnH6p"
+
+
+def test_allowed_forms_hide_nothing_beside_them(spark, table):
+    rows = [(1, f"2024-01-15_{KEY}"), (2, f"conf/sample/{KEY}/x"), (3, f"{KEY}-example"), (4, f"123e4567-e89b-12d3-a456-426614174000/{KEY}"), (5, "a qZrLmXvTsWbYkDnHpJcR b"),
+            (6, "getUserAccountBalanceOfTheDay XMLHttpRequestEventTarget"), (7, "AKI-AIOSFODNN7EXAMPLE 2024-01-15T10-20-30Z"), (8, "qZrLmX4vTsWbYkDnHpJc")]
+    got = {r.doc_id: r.spans for r in QUERIES["op6_secrets"](spark, table(rows)).collect()}
+    for i, text in rows[:4]:
+        spans = [tuple(map(int, x.split(":")[1:])) for x in got[i].split(",") if x.startswith("entropy")]
+        at = text.index(KEY)
+        assert any(a <= at and at + len(KEY) <= b for a, b in spans), text
+    assert got[5] == "entropy:2:22" and got[6] == got[7] == "" and got[8] == "entropy:0:20"
+
+
+def test_long_rules_take_no_time(spark, table):
+    rows = [(1, "-" * 3000 + "a" * 3 + "=-" * 2000 + "1"), (2, "a-" * 2000 + "1")]
+    assert [r.spans for r in QUERIES["op6_secrets"](spark, table(rows)).collect()] == ["", ""]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="abcXYZ0189/_", min_size=20, max_size=45))
 def test_counts_in_a_window_give_its_entropy(run):
