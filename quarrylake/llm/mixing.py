@@ -11,6 +11,10 @@ about ``BUCKET`` documents by hash; running totals over buckets say which bucket
 whole, and the documents of a bucket in which a quota ends are filled in one by one.  No task sees
 more than a bucket, whatever a pattern's share of the corpus.
 
+Where each document has one source (``mix_single``) no flow is needed: targets and fill levels are Spark
+aggregates and joins, for any number of sources.  ``mix`` serves overlapping sources, of which it
+refuses more than ``MOST_PATTERNS`` membership patterns.
+
 Rows: a null text has size 0 and is never repeated; a null source is a source of its own, ordered
 last.  Rows of one key are drawn each on its own; equal rows in any order.  An empty table gives an
 empty result.  Other columns are never read.
@@ -221,21 +225,75 @@ def mix(
     return settled.unionByName(drawn), sources
 
 
+def mix_single(docs: DataFrame, source: Column, copies: int = 2, seed: int = 3, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``mix`` with ``shared_targets`` for documents of one source each; no source comes to the driver.
+
+    Per row id, source, size, times (how often it is taken), source_size, target and columns to carry.
+    """
+    size = F.coalesce(F.regexp_count(docs["text"], F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    place = F.xxhash64(F.lit(seed), docs["doc_id"], F.lit(seed + 1)).bitwiseAND((1 << 52) - 1)
+    rows = store(docs.select(docs["doc_id"].alias("id"), source.alias("source"), size.alias("size"), place.alias("place"), *carry), "sizes")
+    # Sources are numbered by code point, null last: inside ranges, and the ranges one after another.
+    order = F.col("source").asc_nulls_last()
+    counted = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
+    ranges = store(counted.repartitionByRange(32, order).withColumn("part", F.spark_partition_id()), "sources")
+    before, offsets = 0, []
+    for part, n in sorted(map(tuple, ranges.groupBy("part").count().collect())):  # at most 32 rows
+        offsets.append((part, before))
+        before += n
+    starts = docs.sparkSession.createDataFrame(offsets, "part int, start long")
+    number = F.col("start") + F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
+    weight = F.element_at(F.array(*map(F.lit, map(float, weights))), (F.col("number") % len(weights) + 1).cast("int"))
+    known = store(ranges.join(F.broadcast(starts), "part").withColumn("number", number).withColumn("weight", weight).drop("part", "start"), "sources")
+    # The level that free sources share; each round holds more sources at ``most`` times their size.
+    total = known.agg(F.sum("source_size")).first()[0] or 0
+    unit, held = 0.0, -1
+    while True:
+        above = F.col("weight") * unit > most * F.col("source_size") if held >= 0 else F.lit(False)
+        n, sizes, free = known.agg(F.count_if(above), F.sum(F.when(above, F.col("source_size"))), F.sum(F.when(~above, F.col("weight")))).first()
+        if n == held or not free:
+            break
+        held, unit = n, (share * total - most * (sizes or 0)) / free
+    # Sources that were held stay so when none is free.
+    target = F.least(F.col("weight") * unit, most * F.col("source_size"))
+    quota = F.rint(target).cast("long")
+    full = F.when(F.col("source_size") > 0, F.least(F.lit(copies).cast("long"), F.expr("quota div source_size"))).otherwise(F.lit(0).cast("long"))
+    rest = F.when(F.col("full") < copies, F.least("source_size", F.col("quota") - F.col("full") * F.col("source_size"))).otherwise(F.lit(0))
+    planned = known.withColumn("target", target).withColumn("quota", quota).withColumn("full", full).withColumn("rest", rest)
+    planned = planned.select(F.col("source").alias("own"), "source_size", "target", "number", "n", "full", "rest")
+    tagged = rows.join(planned, F.col("source").eqNullSafe(F.col("own")), "left").drop("own")
+    result = ["id", "source", "size", "times", "source_size", "target", *carry]
+    settled = tagged.where("rest = 0").withColumn("times", F.col("full")).select(*result)
+    buckets = F.greatest(F.lit(1), F.expr(f"n div {BUCKET}"))
+    open_ = tagged.where("rest > 0").withColumn("bucket", (F.col("place") * buckets / float(1 << 52)).cast("long"))
+    totals = open_.groupBy("number", "bucket").agg(F.sum("size").alias("total"))
+    earlier = Window.partitionBy("number").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("number", "bucket", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("lower"))
+    kinds = {f.name: f.dataType.simpleString() for f in settled.schema}
+
+    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["place", "id", "size"], kind="stable", ignore_index=True)
+        lower, full, rest, size = (int(pdf[c].iloc[0]) for c in ("lower", "full", "rest", "source_size"))
+        times = np.zeros(len(pdf), np.int64)
+        for part in [size] * full + [rest]:
+            times += draw(pdf, lower, [(0, part, 0)]) >= 0
+        return pdf.assign(times=times)[result]
+
+    drawn = open_.join(totals, ["number", "bucket"]).groupBy("number", "bucket").applyInPandas(fill, ", ".join(f"`{c}` {kinds[c]}" for c in result))
+    return settled.unionByName(drawn)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    mixed, sources = mix(docs, F.array(docs["source"]))
-    own = F.get("members", F.lit(0))
-    # One row for each source: at most MOST_PATTERNS rows.
-    return mixed.join(F.broadcast(sources), own.eqNullSafe(F.col("source"))).select(
-        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.size("routes")).alias("taken")
-    )
+    mixed = mix_single(docs, docs["source"])
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("times")).cast("long").alias("taken"))
 
 
 def take_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: each document as often as the mix takes it."""
     docs = on_files(docs)
     content = located(docs.select("doc_id", "text", "source"))
-    mixed, _ = mix(content, F.array(content["source"]), carry=("_file", "_row"))
-    copies = mixed.where("size(routes) > 0").select("_file", "_row", F.size("routes").alias("copies"))
+    mixed = mix_single(content, content["source"], carry=("_file", "_row"))
+    copies = mixed.where("times > 0").select("_file", "_row", F.col("times").cast("int").alias("copies"))
     rows = rows_at(docs).join(copies, ["_file", "_row"])
     return rows.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

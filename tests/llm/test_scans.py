@@ -194,3 +194,18 @@ def test_overlapping_sources(spark, table):
     mixed, sources = mixing.mix(docs, members, lambda sizes: {"a": 600.0, "b": 500.0})
     routed = Counter(s for r in mixed.collect() for s in r.routes for _ in range(5))
     assert routed == {"a": 600, "b": 500} and all(set(r.routes) <= set(r.members) for r in mixed.collect())
+
+
+def test_any_number_of_sources(spark, table, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = [(i, " ".join(["w"] * (1 + i * 37 % 50)), "en", None if i % 40 == 9 else f"s{i * i % 97}") for i in range(900)]
+    folder = table(rows)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    mixed, sources = mixing.mix(docs, F.array("source"))
+    routes = {r.id: len(r.routes) for r in mixed.collect()}
+    target = {r.source: r.target for r in sources.collect()}
+    monkeypatch.setattr(mixing, "MOST_PATTERNS", 10)
+    got = QUERIES["op3_mixing"](spark, folder).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.taken for r in got} == {r.doc_id: r.size * routes[r.doc_id] for r in got}
+    assert all(r.target == pytest.approx(target[rows[r.doc_id][3]]) for r in got)
