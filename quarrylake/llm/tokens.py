@@ -2,8 +2,9 @@
 
 White space never reaches the tokenizers used here (their pre-tokenizers drop it), so a text's
 ids are its words' ids in order.  Each worker keeps the ids of words it has seen in a bounded
-cache and hands only new words to the library.  ``whole=True`` encodes text by text instead,
-for tokenizers to which white space matters.
+cache and hands only new words to the library.  As in the library's own ``encode``, the string of
+an added token (``<|endoftext|>``) in a text gives that token's id.  ``whole=True`` encodes text by
+text instead, for tokenizers to which white space matters.
 """
 
 from __future__ import annotations
@@ -62,7 +63,6 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.whole, self.limit, self.letters = whole, limit, _byte_letters()
         self.model = self.tokenizer.model
         self.short, self.long = _Pieces(), _Pieces()
