@@ -1,8 +1,11 @@
+import itertools
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from quarrylake.llm import language_id, quality, toxicity
 from quarrylake.llm.queries import QUERIES
@@ -73,10 +76,16 @@ def made(n, seed=0):
     return rows
 
 
+def learnt(spark, texts, labels):
+    """A scorer, its model counted over the same texts."""
+    model = toxicity.CharModel.of(toxicity.frequencies_of((w, 1) for t in texts for w in set(t.split())))
+    return toxicity.learn(spark.createDataFrame(list(zip(range(len(texts)), texts, labels)), "id bigint, text string, label int"), model)
+
+
 @pytest.fixture(scope="module")
-def scorer():
+def scorer(spark):
     rows = made(600)
-    return toxicity.learn([t for t, _ in rows], [x for _, x in rows])
+    return learnt(spark, [t for t, _ in rows], [x for _, x in rows])
 
 
 @pytest.mark.parametrize(
@@ -152,6 +161,48 @@ def test_disguises_of_any_length(scorer, text):
     assert scorer.score(pa.array([text]))[0] >= 0.5
 
 
+def cheapest(word, model):
+    """The least cost of any path through the lattice, by trying all of them."""
+    inside, best = toxicity.inner(word), float("inf")
+    number = not any(map(str.isalpha, word))
+    for path in itertools.product(*(toxicity.readings(word, i, inside) for i in range(len(word)))):
+        if number and any(not letter and c.isdigit() for c, (letter, _) in zip(word, path)):
+            continue
+        out = "".join(letter for letter, _ in path)
+        padded = toxicity.BEGIN + out + "$"
+        cost = sum(p for _, p in path) + sum(model.cost(padded[i - 3 : i], padded[i]) for i in range(3, len(padded)))
+        best = min(best, cost)
+    return best, inside
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text(alphabet="aais1!$.*t5", min_size=1, max_size=7))
+def test_decoding_finds_the_cheapest_of_all_paths(word):
+    model = toxicity.CharModel.of(toxicity.Counter({"stasis": 9, "assist": 7, "tail": 5, "sit": 4}))
+    model.lexicon = {}
+    out = toxicity.restore(word, model)
+    found = []
+    inside = toxicity.inner(word)
+    for path in itertools.product(*(toxicity.readings(word, i, inside) for i in range(len(word)))):
+        if "".join(letter for letter, _ in path) == out:
+            padded = toxicity.BEGIN + out + "$"
+            found.append(sum(p for _, p in path) + sum(model.cost(padded[i - 3 : i], padded[i]) for i in range(3, len(padded))))
+    assert min(found) == pytest.approx(cheapest(word, model)[0])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.text(alphabet="abß😀", min_size=1, max_size=6), st.integers(1, 9)), max_size=8, unique_by=lambda x: x[0]))
+def test_grams_are_counted_by_arrays_as_one_by_one(words):
+    names, n = toxicity.gram_counts([w for w, _ in words], np.array([c for _, c in words], np.int64)) if words else ([], np.empty(0, np.int64))
+    got, want = toxicity.Counter(), toxicity.Counter()
+    for name, c in zip(names, n.tolist()):
+        got[name] += c
+    for w, c in words:
+        for gram in toxicity.grams_of(w):
+            want[gram] += c
+    assert got == want
+
+
 def test_short_words_inside_a_run():
     model = toxicity.CharModel.of(toxicity.Counter({"fag": 40, "you": 400, "are": 300, "cat": 300, "idiot": 50}))
     assert toxicity.restore_run(" ".join("youarefag"), model) == ["you", "are", "fag"]
@@ -163,10 +214,14 @@ def test_short_words_inside_a_run():
     [("a$$", 1), ("@$$", 1), ("dumba$$", 1), ("$h1t", 1), ("$hit!", 1), ("stuupid", 1), ("455", 1), ("i. d. i. o. t.", 1), ("id io t", 1), ("(i) - [d] - i o t", 1),
      ("!diot", 1), ("*diot*", 1), ("hat!", 0), ("(the cat)", 0), ("$100 4 cats", 0), ("a hit, it is so", 0), ("too good", 0), ("it is as it is", 0), ("| a | b |", 0), ("454 457", 0)],
 )
-def test_signs_at_edges_double_letters_and_pieces(text, bad):
+def test_signs_at_edges_double_letters_and_pieces(signs, text, bad):
+    assert int(signs.score(pa.array([text]))[0] >= 0.5) == bad
+
+
+@pytest.fixture(scope="module")
+def signs(spark):
     toxic = ["ass", "shit", "stupid", "idiot", "dumbass"]
     clean = ["a", "hat", "hit", "too", "to", "good", "it", "is", "as", "so", "457", "454", *CLEAN]
     rng = np.random.default_rng(5)
     rows = [" ".join([*rng.choice(clean, 12), *([str(rng.choice(toxic))] if i % 4 == 0 else [])]) for i in range(600)]
-    scorer = toxicity.learn(rows, [int(i % 4 == 0) for i in range(600)])
-    assert int(scorer.score(pa.array([text]))[0] >= 0.5) == bad
+    return learnt(spark, rows, [int(i % 4 == 0) for i in range(600)])
