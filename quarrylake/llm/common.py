@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text is handed to the array code in slices of about this many bytes.
 SLICE_BYTES = 4 << 20
@@ -64,6 +65,23 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the filter of ``may_hold``: its table has a row for each 64 of them at most, about 16 MB.
+FILTER_BITS = 1 << 26
+
+
+def may_hold(rows: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
+    """``rows`` without most of those whose key is not among the ``wanted``, so that fewer are shuffled.
+
+    A bit for each wanted key's hash, in a table whose size has a bound and is broadcast.  A fuller
+    table only passes more rows; a join on the key follows.
+    """
+    place = F.pmod(F.xxhash64(*key), F.lit(FILTER_BITS))
+    one = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({', '.join(key)}), 64) AS int))")
+    bits = wanted.select((place / 64).cast("int").alias("_word"), one.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    found = rows.withColumn("_word", (place / 64).cast("int")).join(F.broadcast(bits), "_word")
+    return found.where(F.col("_bits").bitwiseAND(one) != 0).select(*rows.columns)
+
+
 def strings(column: pa.Array) -> pa.Array:
     """The column as plain strings, nulls as empty texts."""
     if isinstance(column, pa.ChunkedArray):

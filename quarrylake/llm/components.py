@@ -1,70 +1,54 @@
-"""Connected components of a table of links.
+"""Connected components of a table of links, by rounds of alternating large and small stars.
 
-Up to ``ONE_TASK`` links (a count that is checked, so memory is bounded) one task joins them by
-union-find.  Larger tables take rounds of alternating large and small stars: each round connects neighbours to the smallest node around them; the minimum of a neighbourhood is
-combined before the shuffle and joined back, so a node with very many links is no single task's
-burden.  A round's links are written to the shared folder, which cuts lineage.
+Each round connects neighbours to the smallest node around them.  A node's smallest neighbour is
+found in two steps, first for each of ``SALTS`` parts of its links and then for the node, and is
+joined back by node and part; so a node with very many links is dealt over as many tasks.  A
+round's links are written to the shared folder, which cuts lineage.  Every table of links, small
+or large, takes this path.
+
+Rows: links with a null end or of a node to itself are not used; repeated links count once.  Of an
+empty table the result is empty.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import store
 
+#: Parts that a node's links are dealt over.
+SALTS = 64
 
-#: Links that one task may join: about 100 MB as Python objects.
-ONE_TASK = 500_000
-
-
-def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parent: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
 
-    for batch in batches:
-        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
-            parent.setdefault(a, a)
-            parent.setdefault(b, b)
-            x, y = find(a), find(b)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-    nodes = list(parent)
-    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(map(find, nodes), pa.int64())], names=["node", "component"])
+def _with_least(links: DataFrame, node: str, other: str) -> DataFrame:
+    """``links`` with ``m``, the smallest of all ``other`` that ``node`` is linked with."""
+    salted = links.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int"))
+    parts = salted.groupBy(node, "salt").agg(F.min(other).alias("low"))
+    least = parts.groupBy(node).agg(F.min("low").alias("m"))
+    return salted.join(parts.select(node, "salt").join(least, node), [node, "salt"]).drop("salt")
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b").where("a < b").distinct()
+    found = _with_least(both, "a", "b").where("b > a")
+    return found.select(F.least("m", "a").alias("a"), "b").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("b").agg(F.min("a").alias("m"))
-    joined = links.join(least, "b")
-    over = joined.select(F.col("m").alias("a"), F.col("a").alias("b"))
-    return over.union(joined.select(F.col("m").alias("a"), "b")).where("a < b").distinct()
+    found = _with_least(links, "b", "a")
+    over = found.where("m < a").select(F.col("m").alias("a"), F.col("a").alias("b"))
+    return over.union(found.select(F.col("m").alias("a"), "b")).distinct()
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """``links`` (a < b) to (node, component) of every linked node; a component is its smallest node."""
     links, seen = store(links.where("a < b").distinct(), "links"), None
-    if links.count() <= ONE_TASK:
-        return links.coalesce(1).mapInArrow(_union_find, "node bigint, component bigint")
     for _ in range(rounds):
-        links = store(_small_star(_large_star(links)), "links")
         state = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
-        if state == seen:
+        if state == seen or not state[0]:
             break
-        seen = state
+        links, seen = store(_small_star(_large_star(links)), "links"), state
     else:
         raise RuntimeError("components did not settle")
     nodes = links.select(F.col("b").alias("node"), F.col("a").alias("component"))

@@ -13,9 +13,11 @@ A document's set holds a 64-bit hash of each distinct run of five words; its ske
 3. Inverted lists give candidates.  First each class meets the first and the most typical member of
    its lists (the one with the fewest values of its own), so a group of thousands of near copies
    needs a few pairs for each; then, in lists that still hold several components, pairs across
-   components meet.  Short lists are joined.  Classes that long lists hold together are a family;
-   two blocks of a family with their full sets meet in one task, which counts all overlaps at
-   once as a product of matrices and emits only links that join components.
+   components meet.  Short lists are joined.  Classes that long lists hold together are a family.
+   A family is split by set size, as linked sets differ by a third at most, and each part into
+   blocks bounded in classes and bytes.  Two blocks of the same or of neighbouring sizes meet with
+   their full sets in one task, which counts all overlaps at once as a product of matrices and emits
+   only links that join components.
 4. The union of two sketches estimates the index and drops pairs that are far below 0.75.
 5. The others are decided exactly on full sets, which a second pass over the texts makes for the
    classes that still matter; links give components.
@@ -23,10 +25,9 @@ A document's set holds a 64-bit hash of each distinct run of five words; its ske
 Nothing is dropped for being frequent: step 3 leaves out only pairs in one component already.
 
 Rows: a null text or one without words has an empty set and is linked with nothing.  Fewer than
-five words make one run.  Of a key's different texts the one whose set has the smallest digest is
-compared; a row with another text has the component of an equal set, if there is one, else its
-own key.  A null key is never linked, its component is null and it is kept.  Equal rows get equal
-results.  An empty table gives an empty result; other columns are never read.
+five words make one run.  A key that comes with several texts links their sets to each other, and
+each of them is compared.  A null key is never linked, its component is null and it is kept.  Equal
+rows get equal results.  An empty table gives an empty result; other columns are never read.
 """
 
 from __future__ import annotations
@@ -39,10 +40,10 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import slices, store, strings, words
+from .common import may_hold, slices, store, strings, words
 from .components import components
 from .exact_dedup import located, on_files, only
 
@@ -53,11 +54,8 @@ HUNDREDTHS = 75
 SPREAD = 6.5
 #: The same for a class's values that others hold too, which scatter more.
 WIDE = 8.0
-#: Longest inverted list whose pairs are joined; classes of a family's block, and hashes that a task lays out at a time.
-SHORT_LIST, BLOCK, COLUMNS = 48, 400, 4096
-#: Bits of the filter that tells the second pass which classes matter; a fuller filter only passes more.
-FILTER_BITS = 1 << 26
-
+#: Longest inverted list whose pairs are joined; classes and about the bytes of a family's block, and hashes that a task lays out at a time.
+SHORT_LIST, BLOCK, BLOCK_BYTES, COLUMNS = 48, 400, 4 << 20, 4096
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -130,35 +128,19 @@ def sketches(docs: DataFrame, key: str, text: str, width: int, k: int, carry: tu
     return docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"), *carry).mapInArrow(rows, schema)
 
 
-def _filter(ids: DataFrame) -> np.ndarray:
-    """A bit for each id's hash, of fixed size: at most FILTER_BITS / 64 rows come to the driver."""
-    h = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    bits = ids.select((h / 64).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {FILTER_BITS}) % 64 as int))").alias("bit"))
-    rows = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
-    return out
-
-
 def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: int) -> DataFrame:
     """(id, hashes) of the wanted classes (id, digest).  A filter keeps most other texts out before the shuffle."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(_filter(wanted))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_ = shared.value.view(np.uint64)
         for batch in batches:
-            place = batch.column("place").to_numpy()
-            hit = (words_[place // 64] >> (place % 64).astype(np.uint64)) & np.uint64(1)
-            for part in slices(batch.filter(pa.array(hit.astype(bool))), "text"):
+            for part in slices(batch, "text"):
                 made = [own.tobytes() for own in shingle_sets(strings(part.column("text")), width)]
                 digests = [xxhash.xxh3_128_digest(own) for own in made]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(digests, pa.binary()), pa.array(made, pa.binary())], names=["id", "digest", "hashes"])
 
     body = docs.where(docs[key].isNotNull()).select(docs[key].cast("long").alias("id"), docs[text].alias("text"))
-    body = body.select("id", F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).alias("place"), "text")
-    made = body.mapInArrow(rows, "id bigint, digest binary, hashes binary")
-    return made.join(wanted, ["id", "digest"], "left_semi").dropDuplicates(["id"]).drop("digest")
+    made = may_hold(body, wanted, "id").mapInArrow(rows, "id bigint, digest binary, hashes binary")
+    return made.join(wanted, ["id", "digest"], "left_semi").dropDuplicates(["id", "digest"]).drop("digest")
 
 
 def shared_of_union(a: np.ndarray, b: np.ndarray, k: int) -> tuple[int, int]:
@@ -193,7 +175,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
 
     one = classes.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"))
     two = classes.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(rows, "a bigint, b bigint")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(rows, "a bigint, b bigint").distinct()
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, hundredths: int) -> DataFrame:
@@ -213,7 +195,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, hundredths: int) -> DataFrame:
 
     one = sets.select(F.col("id").alias("a"), F.col("hashes").alias("set_a"))
     two = sets.select(F.col("id").alias("b"), F.col("hashes").alias("set_b"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b").mapInArrow(rows, "a bigint, b bigint")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b").mapInArrow(rows, "a bigint, b bigint")  # a class may come twice, for keys with several texts
 
 
 def _mixed_lists(members: DataFrame) -> DataFrame:
@@ -274,15 +256,36 @@ def _overlaps(sets: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
     return total
 
 
+MEETING = "array<struct<band:int,across:int,i:int,j:int>>"
+
+
 def _in_blocks(members: DataFrame, sets: DataFrame, hundredths: int) -> DataFrame:
     """Links that join components of a family (columns family, id, component)."""
-    sizes = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    placed = members.join(sizes, "family").withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(sets, "id")
-    placed = placed.select("family", "id", "component", "own", "hashes", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    held = members.join(sets, "id").withColumn("n", F.octet_length("hashes") / 8)
+    # Sizes of linked sets lie in the same band or in neighbouring ones.
+    held = store(held.withColumn("band", F.floor(F.log("n") / math.log(100 / hundredths + 0.01)).cast("int")), "held")
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") * 8 / BLOCK_BYTES)).cast("int")
+    sizes = held.groupBy("family", "band").agg(blocks.alias("blocks"))
+    others = [sizes.select("family", (F.col("band") + step).alias("band"), F.col("blocks").alias(name)) for step, name in ((-1, "above"), (1, "below"))]
+    sizes = sizes.join(others[0], ["family", "band"], "left").join(others[1], ["family", "band"], "left").fillna(0, ["above", "below"])
+    placed = held.join(sizes, ["family", "band"]).withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+
+    def blocks_of(count: str, at) -> Column:
+        return F.when(F.col(count) > 0, F.transform(F.sequence(F.lit(0), F.col(count) - 1), at)).otherwise(F.array().cast(MEETING))
+
+    def meeting(band, across: int, i, j) -> Column:
+        return F.struct(band.alias("band"), F.lit(across).alias("across"), i.alias("i"), j.alias("j"))
+
+    band, own = F.col("band"), F.col("own")
+    met = F.concat(
+        blocks_of("blocks", lambda x: meeting(band, 0, F.least(own, x), F.greatest(own, x))),
+        blocks_of("above", lambda x: meeting(band, 1, own, x)),
+        blocks_of("below", lambda x: meeting(band - 1, 1, x, own)),
+    )
+    placed = placed.select("family", "id", "component", "hashes", F.explode(met).alias("met")).select("family", "id", "component", "hashes", "met.*")
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, comp, own = (pdf[c].to_numpy() for c in ("id", "component", "own"))
+        ids, comp = pdf["id"].to_numpy(), pdf["component"].to_numpy()
         each = [np.frombuffer(h, np.uint64) for h in pdf["hashes"]]
         n = np.array([len(x) for x in each])
         names, comp, counts = np.unique(comp, return_inverse=True, return_counts=True)
@@ -305,7 +308,7 @@ def _in_blocks(members: DataFrame, sets: DataFrame, hundredths: int) -> DataFram
                     found.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return placed.groupBy("family", "i", "j").applyInPandas(meet, "a bigint, b bigint")
+    return placed.groupBy("family", "band", "across", "i", "j").applyInPandas(meet, "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -315,16 +318,21 @@ def near_duplicates(
     """Per row: id, n_shingles, component_id (the smallest id reachable), kept; and columns to carry."""
     made = store(sketches(docs, key, text, width, k, carry), "sketches")
     full = made.where("n > 0 AND id IS NOT NULL")
-    twice = store(full.groupBy("id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least != most"), "twice")
-    full = full.alias("f").join(twice.alias("t"), (F.col("f.id") == F.col("t.id")) & (F.col("f.digest") != F.col("t.least")), "left_anti")
-    classes = store(full.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
-
-    values = classes.select("id", "n", F.explode("sketch").alias("value"))
+    classes = full.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    # A class is known by its smallest id; ``part`` tells apart the classes of an id with several texts.
+    twice = store(full.groupBy("id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).where("least != most").select("id"), "twice")
+    several = store(full.select("id", "digest").join(twice, "id", "left_semi").distinct(), "several")
+    parts = several.select("id", "digest", F.row_number().over(Window.partitionBy("id").orderBy("digest")).alias("part"))
+    classes = store(classes.join(parts, ["id", "digest"], "left").fillna(0, ["part"]), "classes")
+    same_id = several.join(classes.select("digest", F.col("id").alias("node")), "digest")
+    same_id = same_id.where("id != node").select(F.least("id", "node").alias("a"), F.greatest("id", "node").alias("b"))
+
+    values = classes.select("id", "part", "n", F.explode("sketch").alias("value"))
     frequent = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     retained = values.join(frequent, "value")
     enough = F.lit(least_overlap(k + 1, k, hundredths))
     small = F.array(*[F.lit(least_overlap(n, k, hundredths)) for n in range(k + 1)])
-    own = retained.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("shared"))  # at most k values
+    own = retained.groupBy("id", "part", "n").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("shared"))  # at most k values
     least = F.when(F.col("n") > k, enough).otherwise(F.get(small, F.col("n").cast("int")))
     own = own.withColumn("take", F.size("shared") - least + 1).where("take > 0")
     prefix = own.select("id", "n", F.size("shared").alias("a"), F.explode(F.slice("shared", F.lit(1), F.col("take"))).alias("x"))
@@ -344,8 +352,8 @@ def near_duplicates(
 
     # First round: each class and those two of its lists.
     tested = store(_met_most(listed.select("id", "n", F.explode(F.array("first", "typical")).alias("end")), hundredths), "tested")
-    links = store(_confirmed(_estimated(tested, classes, k), sets, hundredths), "linked")
-    known = store(components(links), "components")
+    links = _confirmed(_estimated(tested, classes, k), sets, hundredths)
+    known = components(links.union(same_id))
 
     # Second round: pairs across components, in lists that hold several.
     members = listed.select("value", "id", "n", "length", F.col("first.id").alias("head")).join(known.withColumnRenamed("node", "id"), "id", "left")
@@ -357,8 +365,9 @@ def near_duplicates(
     families = store(components(long.select(F.col("head").alias("a"), F.col("id").alias("b"))), "families")
     family = long.select("id", "component").distinct().join(families.select(F.col("node").alias("id"), F.col("component").alias("family")), "id")
     blocks = _in_blocks(family, sets, hundredths)
-    more = _confirmed(_estimated(pairs, classes, k), sets, hundredths).union(blocks)
-    known = components(links.union(more))
+    more = store(_confirmed(_estimated(pairs, classes, k), sets, hundredths).union(blocks), "more")
+    if not more.isEmpty():
+        known = components(more.union(known.select(F.col("component").alias("a"), F.col("node").alias("b"))))
 
     ids = made.join(classes.select("digest", F.col("id").alias("class")), "digest", "left")
     ids = ids.withColumn("class", F.coalesce("class", "id"))

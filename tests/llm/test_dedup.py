@@ -77,6 +77,13 @@ def test_near_dedup_against_all_pairs(spark, table, family, monkeypatch, short):
     assert got == near_components(family)
 
 
+def test_texts_of_one_id_are_all_compared(spark, table):
+    base = [" ".join(f"{x}{i}" for i in range(40)) for x in "abc"]
+    rows = [(5, base[0]), (5, base[1]), (1, base[0] + " end"), (2, base[1] + " end"), (7, base[2]), (9, base[2]), (9, base[1] + " or not"), (11, "x y")]
+    got = QUERIES["op7_near_dedup"](spark, table(rows)).collect()
+    assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (5, 1), (7, 1), (9, 1), (11, 11)}
+
+
 def test_near_dedup_of_odd_rows(spark, odd, empty):
     got = QUERIES["op7_near_dedup"](spark, odd).collect()
     assert len(got) == len(ODD) and QUERIES["op7_near_dedup"](spark, empty).count() == 0
@@ -116,8 +123,6 @@ def test_least_overlap_is_exact_for_small_sets():
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), min_size=1, max_size=30))
 def test_components(spark, links):
-    from quarrylake.llm import components as module
-
     links = [(min(p), max(p)) for p in links if p[0] != p[1]]
     parent = {x: x for p in links for x in p}
 
@@ -130,7 +135,18 @@ def test_components(spark, links):
         u, v = sorted((find(a), find(b)))
         parent[v] = u
     table = spark.createDataFrame(links, "a bigint, b bigint")
-    for limit in (module.ONE_TASK, 0):  # in one task, and by stars
-        with pytest.MonkeyPatch.context() as patch:
-            patch.setattr(module, "ONE_TASK", limit)
-            assert {tuple(r) for r in components(table).collect()} == {(x, find(x)) for x in parent}
+    assert {tuple(r) for r in components(table).collect()} == {(x, find(x)) for x in parent}
+
+
+def test_components_of_one_centre_with_very_many_links(spark):
+    from pyspark.sql import functions as F
+
+    from quarrylake.llm import components as module
+
+    links = spark.range(1, 100_001).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+    chain = spark.range(200_000, 200_050).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    got = components(links.union(chain))
+    assert got.groupBy("component").count().orderBy("component").collect() == [(0, 100_001), (200_000, 51)]
+    # The centre's links are dealt by node and part: no part holds much more than its share.
+    dealt = links.groupBy(F.pmod(F.xxhash64("b"), F.lit(module.SALTS))).count().agg(F.max("count"), F.count("count")).first()
+    assert dealt[1] == module.SALTS and dealt[0] < 2 * 100_000 / module.SALTS
