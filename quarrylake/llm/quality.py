@@ -2,8 +2,10 @@
 
 Overlapping heuristic labellers vote good, bad or abstain on every text.  Expectation maximisation
 over the counts of vote patterns (of all texts; there are at most 3**L patterns) estimates how each
-labeller votes on good and on bad texts, and with them each pattern's posterior.  Posterior labels
-then train a linear scorer over hashed word shapes, which generalises to texts on which labellers
+labeller votes on good and on bad texts, and with them each pattern's posterior.  Bad texts have
+different faults, on which different labellers speak, so the class "bad" is a mixture with one part
+for each labeller that knows one fault.  How the other labellers vote in a part is drawn half-way to how they vote on
+all bad texts, which tells a labeller's true hits from its false ones.  Posterior labels then train a linear scorer over hashed word shapes, which generalises to texts on which labellers
 abstain.  The scorer is fitted on a bounded sample (``SAMPLE_DOCS``) and scores every whole text.
 
 Rows: a null text or one without words scores 0 and is rejected.  Rows of one key each give a row.
@@ -15,18 +17,18 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .common import slices, strings, words
 
-#: Bound of the scorer's training sample, and its hashed dimensions.
-SAMPLE_DOCS, DIMENSIONS, CACHE_WORDS = 4000, 4096, 300_000
+#: Bound of the scorer's training sample, its hashed dimensions, and the words within which a word counts as repeated.
+SAMPLE_DOCS, DIMENSIONS, NEAR = 4000, 4096, 100
 GOOD, ABSTAIN, BAD = 2, 1, 0
 
 
@@ -43,8 +45,12 @@ class Facts:
         self.vocabulary = coded.dictionary
         same = np.r_[False, (self.code[1:] == self.code[:-1]) & (self.text[1:] == self.text[:-1])]
         self.repeats = self.share(same)
-        distinct = np.unique(self.text * max(1, len(self.vocabulary)) + self.code) // max(1, len(self.vocabulary))
-        self.distinct = np.bincount(distinct, minlength=self.texts) / np.maximum(self.n, 1)
+        # A word that stands among the hundred before it too; unlike a share of distinct words this does not grow with a text.
+        order = np.argsort(self.text * max(1, len(self.vocabulary)) + self.code, kind="stable")
+        again = (np.diff(self.text[order]) == 0) & (np.diff(self.code[order]) == 0) & (np.diff(order) <= NEAR)
+        near = np.zeros(len(order), bool)
+        near[order[1:][again]] = True
+        self.near = self.share(near)
         self.bars = self.share(self.of_words(lambda v: pc.equal(v, "|")))
         self.shouts = self.share(self.of_words(lambda v: pc.match_substring_regex(v, r"!!$")))
         self.marked = self.share(self.of_words(lambda v: pc.match_substring_regex(v, r"[#$%&*+<=>@^_~{}\\]{2}")))
@@ -78,12 +84,12 @@ LABELLERS: tuple[tuple[str, Callable[[Facts], np.ndarray]], ...] = (
     ("capitals", lambda f: _bad_above(f.upper, 0.4, f.n, 5)),
     ("table rules", lambda f: _bad_above(f.bars, 0.15, f.n, 5)),
     ("same word again", lambda f: _bad_above(f.repeats, 0.3, f.n, 5)),
-    ("few distinct words", lambda f: np.where(f.n > 400, ABSTAIN, _bad_above(1 - f.distinct, 0.8, f.n, 20))),
+    ("few distinct words", lambda f: _bad_above(f.near, 0.8, f.n, 20)),
     ("sentence lengths", _sentences),
     ("plain words", lambda f: np.where(f.plain > 0.9, GOOD, np.where((f.plain < 0.4) & (f.n >= 5), BAD, ABSTAIN))),
 )
-#: What is taken for granted of a labeller: so much of its bad votes falls on bad texts.
-LEAST_PRECISION = 0.8
+#: Labellers of one fault; the others know both sides.
+FAULTS = 6
 
 
 def votes_of(facts: Facts) -> np.ndarray:
@@ -102,33 +108,62 @@ def digits(code: np.ndarray) -> np.ndarray:
 def weak_labels(code: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray, float]:
     """Posterior of good for each pattern; P(vote | class) (2 x labellers x 3); the share of good.
 
-    Labellers of different faults rarely vote together, so without more the largest fault would
-    take the class 'bad' for itself; ``LEAST_PRECISION`` keeps every fault in it.
+    Part 0 is good; part j > 0 is bad by fault j.  A fault's own labeller has its own table in that
+    part; every other labeller's is the mean of the part's and of all bad parts'.
     """
-    vote = digits(code)
-    n_lab = vote.shape[1]
-    table, total = np.empty((2, n_lab, 3)), counts.sum()
-    posterior = np.where((vote == BAD).any(axis=1), 0.1, 0.95)
+    vote, total = digits(code), counts.sum()
+    lab, part = np.arange(vote.shape[1]), np.arange(FAULTS + 1)
+    shares = np.r_[0.85, np.full(FAULTS, 0.15 / FAULTS)]
+    table = np.empty((FAULTS + 1, len(lab), 3))
+    table[:] = (0.05, 0.9, 0.05)
+    table[0, :FAULTS] = (0.02, 0.97, 0.01)
+    table[0, FAULTS:] = (0.05, 0.25, 0.7)
+    table[1:, FAULTS:] = (0.3, 0.5, 0.2)
+    table[part[1:], part[1:] - 1] = (0.9, 0.09, 0.01)
+    own = np.zeros((FAULTS + 1, len(lab)), bool)
+    own[part[1:], part[1:] - 1] = True
     for _ in range(rounds):
-        good = float(((counts * posterior).sum() + 4) / (total + 5))
-        for lab in range(n_lab):
-            seen = np.stack([np.bincount(vote[:, lab], counts * p, 3) for p in (1 - posterior, posterior)]) + 0.5
-            bad_votes = seen[:, BAD].sum()
-            if seen[0, BAD] < LEAST_PRECISION * bad_votes:
-                seen[:, BAD] = bad_votes * LEAST_PRECISION, bad_votes * (1 - LEAST_PRECISION)
-            table[:, lab] = seen / seen.sum(axis=1, keepdims=True)
-        log = np.log([1 - good, good])[:, None] + np.log(table[:, np.arange(n_lab), vote]).sum(axis=2)
-        posterior = 1 / (1 + np.exp(np.clip(log[0] - log[1], -500, 500)))
-    return posterior, table, good
-
-
-_LETTERS = {c: "A" if chr(c).isupper() else "a" for c in range(0x250) if chr(c).isalpha()} | {ord(c): "0" for c in "0123456789"}
+        log = np.log(shares)[:, None] + np.log(table[:, lab, vote]).sum(axis=2)
+        belongs = np.exp(log - log.max(axis=0))
+        belongs *= counts / belongs.sum(axis=0)
+        shares = (belongs.sum(axis=1) + 0.5) / (total + 0.5 * len(part))
+        seen = np.stack([np.stack([np.bincount(vote[:, k], row, 3) for k in lab]) for row in belongs]) + 0.1
+        shared = np.where(own[1:, :, None], 0, seen[1:]).sum(axis=0) + 0.5
+        seen[1:] += np.where(own[1:, :, None], (2.0, 0.2, 0.0), 0)
+        table = seen / seen.sum(axis=2, keepdims=True)
+        alike = shared / shared.sum(axis=1, keepdims=True)
+        table[1:] = np.where(own[1:, :, None], table[1:], (table[1:] + alike) / 2)
+    posterior = belongs[0] / np.maximum(counts, 1e-12)
+    weight = shares[1:, None, None] / shares[1:].sum()
+    return posterior, np.stack([(table[1:] * weight).sum(axis=0), table[0]]), float(shares[0])
+
+
+def precisions(code: np.ndarray, counts: np.ndarray, posterior: np.ndarray) -> dict[str, float]:
+    """The estimated share of each labeller's bad votes that falls on bad texts."""
+    vote = digits(code)
+    hits = [(counts * (vote[:, k] == BAD)) for k in range(vote.shape[1])]
+    return {name: float((n * (1 - posterior)).sum() / n.sum()) if n.sum() else 1.0 for (name, _), n in zip(LABELLERS, hits)}
+
+
 _RUNS = re.compile(r"(.)\1+")
 
 
-def shape(word: str) -> str:
+def _ranges(test: Callable[[str], bool]) -> str:
+    """A class of the characters below U+0250 that pass a test."""
+    return "[" + "".join(re.escape(chr(c)) for c in range(0x250) if test(chr(c))) + "]+"
+
+
+#: What becomes one letter of a shape, in this order.
+_CLASSES = ((_ranges(lambda c: c.isalpha() and c.isupper()), "A"), (_ranges(lambda c: c.isalpha() and not c.isupper()), "a"), (r"[0-9]+", "0"))
+
+
+def shapes_of(vocabulary: pa.Array) -> pa.DictionaryArray:
     """``Hello,`` becomes ``Aa,``; ``THIS!!`` becomes ``A!``."""
-    return _RUNS.sub(r"\1", word.translate(_LETTERS))
+    for pattern, letter in _CLASSES:
+        vocabulary = pc.replace_substring_regex(vocabulary, pattern, letter)
+    coded = vocabulary.dictionary_encode()
+    short = [_RUNS.sub(r"\1", w) for w in coded.dictionary.to_pylist()]
+    return pa.DictionaryArray.from_arrays(coded.indices, pa.array(short, pa.string()))
 
 
 def trust(n: np.ndarray) -> np.ndarray:
@@ -136,37 +171,31 @@ def trust(n: np.ndarray) -> np.ndarray:
     return n / (n + 3.0)
 
 
-class Shapes:
-    """Hashed features of texts: shares of word shapes, of ends of words, and of repeated words."""
-
-    def __init__(self) -> None:
-        self.cache: dict[str, tuple[int, int]] = {}
+def dimensions(facts: Facts) -> np.ndarray:
+    """Two hashed dimensions of each word of the vocabulary: its shape's and its end's; 0 is for repeated words."""
+    shapes = shapes_of(facts.vocabulary)
+    each = [
+        (1 + zlib.crc32(short.encode()) % (DIMENSIONS - 1), 1 + zlib.crc32(b"end" + short[-2:].encode()) % (DIMENSIONS - 1))
+        for short in shapes.dictionary.to_pylist()
+    ]
+    table = np.array(each, np.int64).reshape(-1, 2)
+    return table[shapes.indices.to_numpy()] if len(shapes) else table
 
-    def _of(self, word: str) -> tuple[int, int]:
-        got = self.cache.get(word)
-        if got is None:
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            short = shape(word)
-            got = (1 + zlib.crc32(short.encode()) % (DIMENSIONS - 1), 1 + zlib.crc32(b"end" + short[-2:].encode()) % (DIMENSIONS - 1))
-            self.cache[word] = got
-        return got
 
-    def table(self, facts: Facts) -> np.ndarray:
-        return np.array([self._of(w) for w in facts.vocabulary.to_pylist()], np.int64).reshape(-1, 2)
+def sums(facts: Facts, weights: np.ndarray) -> np.ndarray:
+    by_word = weights[dimensions(facts)].sum(axis=1)
+    return (facts.share(by_word[facts.code] if len(facts.code) else np.empty(0)) + weights[0] * facts.repeats) * trust(facts.n)
 
-    def sums(self, facts: Facts, weights: np.ndarray) -> np.ndarray:
-        by_word = weights[self.table(facts)].sum(axis=1)
-        return (facts.share(by_word[facts.code] if len(facts.code) else np.empty(0)) + weights[0] * facts.repeats) * trust(facts.n)
 
-    def sparse(self, facts: Facts) -> list[tuple[list[int], list[float]]]:
-        table, out = self.table(facts), []
-        for i in range(facts.texts):
-            own = table[facts.code[facts.offsets[i] : facts.offsets[i + 1]]].ravel()
-            where, n = np.unique(own, return_counts=True)
-            share = n / max(1, facts.n[i]) * trust(facts.n[i])
-            out.append(([0, *where.tolist()], [float(facts.repeats[i] * trust(facts.n[i])), *share.tolist()]))
-        return out
+def sparse(facts: Facts) -> list[tuple[list[int], list[float]]]:
+    """Hashed features of texts: shares of word shapes, of ends of words, and of repeated words."""
+    table, out = dimensions(facts), []
+    for i in range(facts.texts):
+        own = table[facts.code[facts.offsets[i] : facts.offsets[i + 1]]].ravel()
+        where, n = np.unique(own, return_counts=True)
+        share = n / max(1, facts.n[i]) * trust(facts.n[i])
+        out.append(([0, *where.tolist()], [float(facts.repeats[i] * trust(facts.n[i])), *share.tolist()]))
+    return out
 
 
 def fit(features: list[tuple[list[int], list[float]]], target: np.ndarray, steps: int = 400) -> tuple[np.ndarray, float]:
@@ -188,13 +217,23 @@ def fit(features: list[tuple[list[int], list[float]]], target: np.ndarray, steps
     return w, float(bias)
 
 
-def classify(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int = 11, carry: tuple[str, ...] = (), with_text: bool = False,
-) -> DataFrame:
-    """Per row: doc_id, score, kept, posterior (of its votes alone), votes; on demand the text; and columns to carry."""
-    spark = docs.sparkSession
-    rows = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"), *carry)
-    carry = ("text", *carry) if with_text else carry
+@dataclass
+class Model:
+    """What the scorer needs: weights over hashed dimensions, and each vote pattern's posterior of good."""
+
+    weights: np.ndarray
+    bias: float
+    posterior: dict[int, float]
+    good: float
+
+    def scores(self, facts: Facts) -> np.ndarray:
+        z = self.bias + sums(facts, self.weights)
+        return np.where(facts.n > 0, 1 / (1 + np.exp(-np.clip(z, -40, 40))), 0.0)
+
+
+def fitted(docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int = 11) -> Model:
+    """Count all texts' vote patterns, estimate their posteriors and fit the scorer to them."""
+    rows = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,42 +248,43 @@ def classify(
     of = dict(zip(code.tolist(), posterior.tolist()))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shapes = Shapes()
         for batch in batches:
             for part in slices(batch, "text"):
                 facts = Facts(strings(part.column("text")))
-                where, value = zip(*shapes.sparse(facts))
+                where, value = zip(*sparse(facts))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(votes_of(facts)), pa.array(where, pa.list_(pa.int64())), pa.array(value, pa.list_(pa.float64()))],
                     names=["id", "votes", "feature", "value"],
                 )
 
     total = counts.sum()
-    draw = F.pmod(F.xxhash64(F.lit(seed), "id", F.length("text")), F.lit(1 << 30)) < int(min(1.0, SAMPLE_DOCS / max(total, 1)) * (1 << 30))
-    drawn = rows.select("id", "text").where("text IS NOT NULL").where(draw).mapInArrow(gather, "id bigint, votes bigint, feature array<bigint>, value array<double>")
+    draw = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < int(min(1.0, SAMPLE_DOCS / max(total, 1)) * (1 << 30))
+    drawn = rows.where("text IS NOT NULL").where(draw).mapInArrow(gather, "id bigint, votes bigint, feature array<bigint>, value array<double>")
     sample = sorted((r["id"] or 0, r["votes"], r["feature"], r["value"]) for r in drawn.collect() if len(r["feature"]) > 1)
     target = np.array([of[s[1]] for s in sample])
     if sample and 0 < (target >= 0.5).sum() < len(sample):
         weights, bias = fit([(s[2], s[3]) for s in sample], target)
     else:  # labellers see one class only
         weights, bias = np.zeros(DIMENSIONS), 4.0 if good >= 0.5 else -4.0
-    shared = spark.sparkContext.broadcast((weights, bias, of, good))
+    return Model(weights, bias, of, good)
+
+
+def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: doc_id, score, kept, posterior (of its votes alone), votes."""
+    rows = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(fitted(docs, key, text))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shapes = Shapes()
-        weights, bias, of, good = shared.value
+        model = shared.value
         for batch in batches:
             for part in slices(batch, "text"):
                 facts = Facts(strings(part.column("text")))
-                z = bias + shapes.sums(facts, weights)
-                p = np.where(facts.n > 0, 1 / (1 + np.exp(-np.clip(z, -40, 40))), 0.0)
-                code = votes_of(facts)
+                p, code = model.scores(facts), votes_of(facts)
                 said = ["".join("-?+"[d] for d in row) for row in digits(code)]
-                columns = [part.column("id"), pa.array(p), pa.array(p >= 0.5), pa.array([of.get(c, good) for c in code.tolist()]), pa.array(said)]
-                yield pa.RecordBatch.from_arrays([*columns, *(part.column(c) for c in carry)], names=["doc_id", "score", "kept", "posterior", "votes", *carry])
+                columns = [part.column("id"), pa.array(p), pa.array(p >= 0.5), pa.array([model.posterior.get(c, model.good) for c in code.tolist()]), pa.array(said)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "kept", "posterior", "votes"])
 
-    schema = StructType.fromDDL("doc_id bigint, score double, kept boolean, posterior double, votes string")
-    return rows.mapInArrow(score, StructType([*schema, *(rows.schema[c] for c in carry)]))
+    return rows.mapInArrow(score, "doc_id bigint, score double, kept boolean, posterior double, votes string")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,9 +294,18 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the classifier rejects go.
 
-    Rows pass through the scorer whole (other columns in a struct, so that no name clashes), so
-    this stage shuffles nothing.
+    Only texts go to Python and only a flag for each comes back; rows stay where they are, so this
+    stage shuffles nothing.  A null text or one without words is rejected; equal texts share their
+    fate; an empty table stays empty; other columns are carried, whatever their names.
     """
-    rest = [docs[c] for c in docs.columns if c != "text"]
-    found = classify(docs.select("doc_id", "text", F.struct(*rest).alias("rest")), carry=("rest",), with_text=True).where("kept")
-    return found.select(*[F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns])
+    shared = spark.sparkContext.broadcast(fitted(docs))
+
+    @F.arrow_udf("boolean")
+    def good(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = shared.value
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([batch], names=["text"])
+            flags = [model.scores(Facts(strings(part.column("text")))) >= 0.5 for part in slices(texts, "text")]
+            yield pa.array(np.concatenate(flags) if flags else np.empty(0, bool))
+
+    return docs.where(good(docs["text"]))

@@ -129,6 +129,45 @@ def test_weak_labels_find_who_is_right():
     assert ((posterior[where] >= 0.5) == good).mean() > 0.95 and 0.75 < share < 0.95
 
 
+def votes(n, seed, wrong):
+    """Simulated votes; labeller 0 also votes bad on a share ``wrong`` of good texts."""
+    rng = np.random.default_rng(seed)
+    kinds = quality.FAULTS
+    good, kind = rng.random(n) < 0.8, rng.integers(0, kinds, n)
+    vote = np.full((n, kinds + 2), quality.ABSTAIN)
+    for k in range(kinds):
+        vote[~good & (kind == k) & (rng.random(n) < 0.9), k] = quality.BAD
+    vote[good & (rng.random(n) < wrong), 0] = quality.BAD
+    for k in (kinds, kinds + 1):
+        u = rng.random(n)
+        vote[:, k] = np.where(good, np.where(u < 0.85, quality.GOOD, quality.ABSTAIN), np.where(u < 0.5, quality.BAD, np.where(u < 0.6, quality.GOOD, quality.ABSTAIN)))
+    return good, (vote * 3 ** np.arange(kinds + 1, -1, -1)).sum(axis=1)
+
+
+@pytest.mark.parametrize("wrong", [0.0, 0.05])
+def test_a_labellers_precision_is_estimated(wrong):
+    good, code = votes(20_000, 4, wrong)
+    patterns, where, counts = np.unique(code, return_inverse=True, return_counts=True)
+    posterior, table, share = quality.weak_labels(patterns, counts.astype(float))
+    got = next(iter(quality.precisions(patterns, counts, posterior).values()))
+    own = quality.digits(code)[:, 0] == quality.BAD
+    assert got == pytest.approx((~good)[own].mean(), abs=0.1)
+    assert ((posterior[where] >= 0.5) == good).mean() > 0.95 and share == pytest.approx(good.mean(), abs=0.05)
+    # Each pattern's posterior is Bayes' rule under the part tables, and estimated rates are near the true ones.
+    assert table[1, 0, quality.BAD] == pytest.approx(own[good].mean(), abs=0.03)
+
+
+@pytest.mark.parametrize("words", [398, 404, 20_000])
+def test_few_distinct_words_are_seen_at_any_length(words):
+    facts = quality.Facts(pa.array([" ".join(["spam egg"] * (words // 2)), " ".join(f"w{i * 7919 % 5003}" for i in range(words))]))
+    assert quality.digits(quality.votes_of(facts))[:, 5].tolist() == [quality.BAD, quality.ABSTAIN]
+
+
+def test_shapes():
+    got = quality.shapes_of(pa.array(["Hello,", "THIS!!", "ÉTÉ", "straße", "a1b22", "Ωmega", "", "--->"]))
+    assert got.to_pylist() == ["Aa,", "A!", "A", "a", "a0a0", "Ωa", "", "->"]
+
+
 def test_quality(spark, odd, empty):
     folder = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
