@@ -3,9 +3,15 @@
 The texts' fingerprints arrive as a stream.  A keyed state on disk (RocksDB, never expired)
 retains for each digest the stable identifier of the row that stays, a locator of its content
 and the count of rows.  The state's aggregate is combined before the shuffle, so a digest that
-holds a third of all rows costs each task one row.  Every hit is then checked on full bytes:
-content is fetched by locator and texts of one digest are grouped by all their bytes.  Digests
-under which different texts meet are grouped again by text.
+holds a third of all rows costs each task one row; the few digests that hold most rows are joined
+back by a broadcast of at most 1000 rows.  Every hit is then checked on full bytes: content is
+fetched by locator (a filter of bits keeps most other texts out of the shuffle) and texts of one
+digest are grouped by all their bytes.  Digests under which different texts meet are grouped again
+by text.
+
+With a ``state`` folder of the caller's the state outlives the call: each call is a delivery, whose
+rows are deduplicated against all earlier ones.  Earlier deliveries' files are read again where a
+hit points to them, so they must still lie where they were.
 
 Rows: a null text counts as empty.  Of equal texts the smallest key stays, a null key only if
 there is no other; of rows with the same key and text, the first by locator.  An empty table
@@ -14,11 +20,13 @@ gives an empty result.  Other columns are never read, so their names cannot clas
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, store
+from .common import may_hold, scratch, store
 
 #: The state is kept by RocksDB on disk; each batch commits its changes rather than whole files,
 #: and logs are not allocated ahead, which would cost each state partition megabytes.
@@ -40,7 +48,7 @@ def normalised(text: Column) -> Column:
 def on_files(docs: DataFrame) -> DataFrame:
     """``docs`` if its rows come straight from files, else a copy in the shared folder."""
     try:
-        docs.select("_metadata.file_path")
+        docs.select("_metadata.file_path", "_metadata.row_index")
         return docs
     except AnalysisException:
         return store(docs, "content")
@@ -62,8 +70,11 @@ def rows_at(docs: DataFrame) -> DataFrame:
 
 
 def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (on files) at the locators in ``kept``."""
-    return rows_at(docs).join(kept.select("_file", "_row"), ["_file", "_row"], "left_semi").select("row.*")
+    """The rows of ``docs`` (on files) at the locators in ``kept``.
+
+    The locators are hashed, so whole rows are dealt once and never sorted.
+    """
+    return rows_at(docs).join(kept.select("_file", "_row").hint("shuffle_hash"), ["_file", "_row"], "left_semi").select("row.*")
 
 
 def fingerprints(content: DataFrame, key: str, text: str, digest_bytes: int) -> DataFrame:
@@ -73,17 +84,17 @@ def fingerprints(content: DataFrame, key: str, text: str, digest_bytes: int) ->
     )
 
 
-def _run_stream(spark: SparkSession, arrivals: str, schema, state: str, out: str, files: int | None) -> int:
-    """Feed what has arrived to the keyed state; write each batch's changed keys to ``out``."""
+def _run_stream(spark: SparkSession, home: str, schema, files: int | None) -> list[int]:
+    """Feed what has arrived to the keyed state; write each batch's changed keys to ``home``/seen."""
     stream = spark.readStream.schema(schema)
     if files:
         stream = stream.option("maxFilesPerTrigger", files)
     rep = F.struct(F.col("id").isNull().alias("no_id"), "id", "_file", "_row")
-    keyed = stream.parquet(arrivals).groupBy("digest").agg(F.min(rep).alias("rep"), F.count(F.lit(1)).alias("n"))
+    keyed = stream.parquet(f"{home}/arrivals/*").groupBy("digest").agg(F.min(rep).alias("rep"), F.count(F.lit(1)).alias("n"))
     seen = []
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")  # a batch that runs again replaces itself
+        batch.write.mode("overwrite").parquet(f"{home}/seen/batch={number}")  # a batch that runs again replaces itself
         seen.append(number)
 
     before = {k: spark.conf.get(k, None) for k in STATE}
@@ -92,13 +103,25 @@ def _run_stream(spark: SparkSession, arrivals: str, schema, state: str, out: str
     try:
         query = (
             keyed.writeStream.outputMode("update").foreachBatch(write)
-            .option("checkpointLocation", state).trigger(availableNow=True).start()
+            .option("checkpointLocation", f"{home}/state").trigger(availableNow=True).start()
         )
         query.awaitTermination()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    return len(seen)
+    return sorted(set(seen))
+
+
+def _with_state(prints: DataFrame, seen: DataFrame) -> DataFrame:
+    """``prints`` with their digest's ``rep`` and ``n``.
+
+    A digest with more than a thousandth of all rows is one of at most 1000, which are broadcast.
+    """
+    total = seen.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = F.col("n") > max(1000, total // 1000)
+    hot = seen.where(often)
+    rest = prints.join(F.broadcast(hot.select("digest")), "digest", "left_anti").join(seen.where(~often), "digest")
+    return prints.join(F.broadcast(hot), "digest").unionByName(rest)
 
 
 def exact_dedup(
@@ -107,34 +130,47 @@ def exact_dedup(
     text: str = "text",
     digest_bytes: int = 32,
     files_per_batch: int | None = None,
+    state: str | None = None,
 ) -> DataFrame:
     """Per row of ``docs``: id, _file, _row, sha, keep_id, group_size, kept.
 
     ``digest_bytes`` shortens the state's key; results stay the same because every hit is
-    checked on full bytes.  ``files_per_batch`` bounds a micro-batch.
+    checked on full bytes.  ``files_per_batch`` bounds a micro-batch.  ``state`` is the folder in
+    which the state is kept for later deliveries (same ``digest_bytes``); without it the state ends
+    with this call.  Groups then hold the rows of all deliveries so far.
     """
     spark = docs.sparkSession
     content = located(docs.select(docs[key], docs[text]))
-    prints = store(fingerprints(content, key, text, digest_bytes), "fingerprints")
-    arrivals = prints.inputFiles()
-    if not arrivals:  # an empty table may be written without files
+    home, delivery = state.rstrip("/") if state else scratch(spark, "dedup"), uuid.uuid4().hex
+    made = fingerprints(content, key, text, digest_bytes)
+    made.write.parquet(f"{home}/arrivals/{delivery}")
+    prints = spark.read.schema(made.schema).parquet(f"{home}/arrivals/{delivery}")
+    if prints.isEmpty():
         return prints.select("id", "_file", "_row", "sha", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
-    out = scratch(spark, "seen")
-    batches = _run_stream(spark, arrivals[0].rsplit("/", 1)[0], prints.schema, scratch(spark, "state"), out, files_per_batch)
+    if state:
+        content.select("_metadata.file_path", "_file").distinct().write.parquet(f"{home}/files/{delivery}")
+    batches = _run_stream(spark, home, prints.schema, files_per_batch)
     kind = prints.schema["id"].dataType.simpleString()
-    state = f"digest binary, rep struct<no_id:boolean,id:{kind},_file:bigint,_row:bigint>, n bigint"
-    seen = spark.read.schema(state).parquet(f"{out}/batch=*")
-    if batches > 1:  # a later batch holds a key's newer state
+    keyed = f"digest binary, rep struct<no_id:boolean,id:{kind},_file:bigint,_row:bigint>, n bigint"
+    seen = spark.read.schema(keyed).parquet(*[f"{home}/seen/batch={n}" for n in batches])
+    if len(batches) > 1:  # a later batch holds a key's newer state
         seen = seen.groupBy("digest").agg(F.min("rep").alias("rep"), F.max("n").alias("n"))
+    groups = store(_with_state(prints, seen), "groups")
 
     # Hits: rows of digests that came more than once, with their content by locator.
-    hits = prints.join(seen.where("n > 1").select("digest"), "digest").select("_file", "_row", "digest")
-    full = content.select("_file", "_row", F.col(key).alias("id"), normalised(F.col(text)).alias("bytes")).join(hits, ["_file", "_row"])
+    hits = groups.where("n > 1").select("_file", "_row", "digest")
+    if state:  # rows of earlier deliveries too, whose files the hits name
+        arrived = spark.read.schema(prints.schema).parquet(f"{home}/arrivals/*")
+        hits = store(arrived.join(hits.select("digest").distinct(), "digest", "left_semi").select("_file", "_row", "digest"), "hits")
+        files = spark.read.schema("file_path string, _file bigint").parquet(f"{home}/files/*")
+        names = [r[0] for r in files.join(hits.select("_file").distinct(), "_file", "left_semi").select("file_path").distinct().collect()]
+        content = located(spark.read.schema(docs.select(docs[key], docs[text]).schema).parquet(*names)) if names else content
+    full = may_hold(content.select("_file", "_row", F.col(key).alias("id"), F.col(text).alias("bytes")), hits, "_file", "_row")
+    full = full.withColumn("bytes", normalised(F.col("bytes"))).join(hits.hint("shuffle_hash"), ["_file", "_row"])
     classes = full.groupBy("digest", "bytes").agg(F.count(F.lit(1)).alias("copies"))
     clashes = classes.groupBy("digest").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("digest")
     clashes = store(clashes, "clashes")
 
-    groups = prints.join(seen, "digest", "left")
     if not clashes.isEmpty():
         apart = full.join(clashes, "digest")
         rep = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "_file", "_row"))
@@ -170,6 +206,7 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 
 
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of equal texts one row stays, with all its columns."""
+    """Pipeline stage: of equal texts one row stays, with all its columns (the smallest doc_id; a null
+    id only if there is no other; null counts as empty).  An empty table stays empty."""
     docs = on_files(docs)
     return only(docs, exact_dedup(docs).where("kept"))

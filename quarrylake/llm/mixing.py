@@ -290,10 +290,13 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def take_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: each document as often as the mix takes it."""
+    """Pipeline stage: each document as often as the mix takes it, with all its columns.
+
+    A null text has no words and is not taken; a null source is a source of its own; an empty table stays empty.
+    """
     docs = on_files(docs)
     content = located(docs.select("doc_id", "text", "source"))
     mixed = mix_single(content, content["source"], carry=("_file", "_row"))
     copies = mixed.where("times > 0").select("_file", "_row", F.col("times").cast("int").alias("copies"))
-    rows = rows_at(docs).join(copies, ["_file", "_row"])
+    rows = rows_at(docs).join(copies.hint("shuffle_hash"), ["_file", "_row"])
     return rows.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

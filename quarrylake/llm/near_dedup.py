@@ -382,6 +382,10 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each near-duplicate group stays."""
+    """Pipeline stage: one document of each near-duplicate group stays (the smallest doc_id), with all its columns.
+
+    Texts without words and rows without an id are in no group and stay; repeated rows of an id that
+    stays do too; an empty table stays empty.
+    """
     docs = on_files(docs)
     return only(docs, near_duplicates(located(docs.select("doc_id", "text")), carry=("_file", "_row")).where("kept"))

@@ -147,7 +147,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage, the last: the pieces of the documents and their places."""
+    """Pipeline stage, the last: the pieces of the documents and their places; a null text is its end id alone."""
     import public_tokenizers
 
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))

@@ -44,6 +44,27 @@ def test_exact_dedup_of_rows_without_files(spark):
     assert got == {1: (1, True), 2: (1, False), 3: (3, True)}
 
 
+@pytest.mark.parametrize("digest_bytes", [32, 1])
+def test_a_second_delivery_is_held_against_the_first(spark, table, tmp_path, digest_bytes):
+    first = [(5, "a b"), (7, "c"), (8, "c"), (9, "only here"), (None, None)]
+    second = [(3, "a  b"), (6, "c"), (7, "c"), (20, "new"), (21, "new"), (22, ""), (30, "else")]
+    state = f"file://{tmp_path}/state"
+    deliver = lambda rows: exact_dedup.exact_dedup(spark.read.parquet(f"{table(rows)}/documents.parquet"), digest_bytes=digest_bytes, state=state).collect()
+    one, two, none = deliver(first), deliver(second), deliver([])
+    want = {(r[0], r[1], r[2]) for r in plain_exact(first + second)}
+    assert {(r.id, r.keep_id, r.group_size) for r in one} == {(r[0], r[1], r[2]) for r in plain_exact(first)}
+    assert len(two) == len(second) and {(r.id, r.keep_id, r.group_size) for r in two} <= want and none == []
+    assert {r.id for r in two if r.kept} == {3, 6, 20, 22, 30}  # a smaller key than before takes over
+    again = deliver([(2, "else"), (40, "c")])
+    assert {(r.id, r.keep_id, r.group_size, r.kept) for r in again} == {(2, 2, 2, True), (40, 6, 5, False)}
+
+
+def test_rows_of_csv_files_have_no_locators_and_are_copied(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("2,a\n1,a\n3,b\n")
+    docs = spark.read.schema("doc_id bigint, text string").csv(f"file://{tmp_path}/x.csv")
+    assert {r.doc_id for r in exact_dedup.keep_first(spark, docs, "").collect()} == {1, 3}
+
+
 def test_exact_query(spark, odd, empty):
     assert QUERIES["op1_exact_dedup"](spark, odd).count() == len(ODD) and QUERIES["op1_exact_dedup"](spark, empty).count() == 0
 
