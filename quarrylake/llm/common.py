@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -57,11 +58,29 @@ def release() -> None:
 atexit.register(release)
 
 
+#: Rows and bytes that are handed to a Python worker at a time while a scratch table is made: less memory for each task.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the work inside; afterwards they are as they were."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` to the shared folder and read it back."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    with settings(spark, BATCHES):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import may_hold, scratch, store
+from .common import may_hold, scratch, settings, store
 
 #: The state is kept by RocksDB on disk; each batch commits its changes rather than whole files,
 #: and logs are not allocated ahead, which would cost each state partition megabytes.
@@ -97,18 +97,12 @@ def _run_stream(spark: SparkSession, home: str, schema, files: int | None) -> li
         batch.write.mode("overwrite").parquet(f"{home}/seen/batch={number}")  # a batch that runs again replaces itself
         seen.append(number)
 
-    before = {k: spark.conf.get(k, None) for k in STATE}
-    for k, v in STATE.items():
-        spark.conf.set(k, v)
-    try:
+    with settings(spark, STATE):
         query = (
             keyed.writeStream.outputMode("update").foreachBatch(write)
             .option("checkpointLocation", f"{home}/state").trigger(availableNow=True).start()
         )
         query.awaitTermination()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return sorted(set(seen))
 
 

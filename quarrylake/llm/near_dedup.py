@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import may_hold, slices, store, strings, words
-from .components import components
+from .components import SALTS, components
 from .exact_dedup import located, on_files, only
 
 WIDTH, K, RISK = 5, 64, 1e-10
@@ -55,7 +55,7 @@ SPREAD = 6.5
 #: The same for a class's values that others hold too, which scatter more.
 WIDE = 8.0
 #: Longest inverted list whose pairs are joined; classes and about the bytes of a family's block, and hashes that a task lays out at a time.
-SHORT_LIST, BLOCK, BLOCK_BYTES, COLUMNS = 48, 400, 4 << 20, 4096
+SHORT_LIST, BLOCK, BLOCK_BYTES, COLUMNS = 48, 400, 1 << 20, 4096
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -263,12 +263,16 @@ def _in_blocks(members: DataFrame, sets: DataFrame, hundredths: int) -> DataFram
     """Links that join components of a family (columns family, id, component)."""
     held = members.join(sets, "id").withColumn("n", F.octet_length("hashes") / 8)
     # Sizes of linked sets lie in the same band or in neighbouring ones.
-    held = store(held.withColumn("band", F.floor(F.log("n") / math.log(100 / hundredths + 0.01)).cast("int")), "held")
-    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") * 8 / BLOCK_BYTES)).cast("int")
-    sizes = held.groupBy("family", "band").agg(blocks.alias("blocks"))
+    held = held.withColumn("band", F.floor(F.log("n") / math.log(100 / hundredths + 0.01)).cast("int"))
+    held = store(held.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")), "held")
+    # Counted for each salt first and joined back so, as one family may hold most rows.
+    parts = held.groupBy("family", "band", "salt").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("hashes"))
+    blocks = F.ceil(F.greatest(F.sum("rows") / BLOCK, F.sum("hashes") * 8 / BLOCK_BYTES)).cast("int")
+    sizes = parts.groupBy("family", "band").agg(blocks.alias("blocks"))
     others = [sizes.select("family", (F.col("band") + step).alias("band"), F.col("blocks").alias(name)) for step, name in ((-1, "above"), (1, "below"))]
     sizes = sizes.join(others[0], ["family", "band"], "left").join(others[1], ["family", "band"], "left").fillna(0, ["above", "below"])
-    placed = held.join(sizes, ["family", "band"]).withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    sizes = parts.select("family", "band", "salt").join(sizes, ["family", "band"])
+    placed = held.join(sizes, ["family", "band", "salt"]).withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
 
     def blocks_of(count: str, at) -> Column:
         return F.when(F.col(count) > 0, F.transform(F.sequence(F.lit(0), F.col(count) - 1), at)).otherwise(F.array().cast(MEETING))

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, strings, words
+from .common import BATCHES, settings, slices, strings, words
 
 #: Bound of the scorer's training sample, its hashed dimensions, and the words within which a word counts as repeated.
 SAMPLE_DOCS, DIMENSIONS, NEAR = 4000, 4096, 100
@@ -241,7 +241,8 @@ def fitted(docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int =
             if code:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(code))], names=["votes"])
 
-    patterns = rows.select("text").mapInArrow(vote, "votes bigint").groupBy("votes").count().collect()
+    with settings(docs.sparkSession, BATCHES):
+        patterns = rows.select("text").mapInArrow(vote, "votes bigint").groupBy("votes").count().collect()
     code = np.array([r["votes"] for r in patterns], np.int64)
     counts = np.array([r["count"] for r in patterns], float)
     posterior, _, good = weak_labels(code, counts)

@@ -141,7 +141,7 @@ def test_least_overlap_is_exact_for_small_sets():
             assert near_dedup.least_overlap(n, k) <= common - max(0, m - k)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=4, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), min_size=1, max_size=30))
 def test_components(spark, links):
     links = [(min(p), max(p)) for p in links if p[0] != p[1]]
