@@ -17,7 +17,7 @@ def small(df: DataFrame, rows: int = SMALL) -> DataFrame:
 def translate(df: DataFrame, vocabulary: DataFrame, source: str, word: Column, raw: str, canonical: str, name: str) -> DataFrame:
     """Add ``name``: the common word for a source's word; null for an unknown word."""
     own = vocabulary.where(F.col("source") == source).select(F.col(raw).alias("_raw"), F.col(canonical).alias(name))
-    return df.join(F.broadcast(own), word == F.col("_raw"), "left").drop("_raw")  # at most the words of one source
+    return df.join(small(own), word == F.col("_raw"), "left").drop("_raw")
 
 
 def country_of(df: DataFrame, country_codes: DataFrame, spelling: Column, *, also: Column | None = None) -> DataFrame:

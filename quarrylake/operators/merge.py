@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], newest: list[Column]) -> DataFrame:
-    """One row for each key, the first by ``newest`` (end it with a tie-breaker for fixed results)."""
-    window = Window.partitionBy(*keys).orderBy(*newest)
-    return rows.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+    """One row for each key, the largest by ``newest`` (end it with a tie-breaker for fixed results; nulls are smallest).
+
+    An aggregate, which is combined before the shuffle: a key that most rows share costs each task one row.
+    """
+    best = F.max_by(F.struct(*[rows[c] for c in rows.columns]), F.struct(*newest))
+    return rows.groupBy(*keys).agg(best.alias("_best")).select("_best.*")
 
 
 def merge_current_state(
@@ -50,7 +53,7 @@ def merge_postings(source: str, target: DataFrame, incoming: DataFrame) -> DataF
     """Merge a day's incoming rows of one publisher: newest landing for each id, then the guarded merge."""
     from ..schemas import DETAIL_COLUMNS
 
-    newest = latest_per_key(incoming, ["id"], [F.col("landed_at").desc(), F.xxhash64("raw").asc()])
+    newest = latest_per_key(incoming, ["id"], [F.col("landed_at"), F.xxhash64("raw")])
     if source != "workable":
         return merge_current_state(target, newest)
     newest = newest.withColumn("detail_fetched_at", F.when(F.col("has_detail"), F.col("last_seen_at")))

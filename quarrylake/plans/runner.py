@@ -14,13 +14,12 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.vocabulary import SOURCES
 from ..operators.merge import merge_postings
-from ..schemas import COMPANIES, POSTINGS, incoming, struct
-from ..sources.landing import landed_files
+from ..schemas import COMPANIES, POSTINGS, struct
+from ..sources.landing import boards, files_per_company, landed_files
 from ..sources.parsers import PARSERS
 from . import marts, quality
 from .staging import STAGING
@@ -31,41 +30,85 @@ RUNS = "run_id string, model string, started_at timestamp, seconds double, statu
 
 @dataclass
 class Lake:
-    """Current-state tables under a root; ``current`` names the folder that holds a table's last version."""
+    """Current-state tables under a root.
+
+    Each version of a table is a folder of its own, and one empty file in ``_versions`` declares it once
+    it is whole; the last one declared is current.  Files are only ever added, so a write that dies
+    at any point leaves the version before it in place.  The last ``keep`` versions are kept for readers.
+    """
 
     spark: SparkSession
     root: str
+    keep: int = 3
+
+    def _names(self, folder: str) -> list[str]:
+        place, files = self._at(folder)
+        return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
 
-    def _pointer(self, table: str) -> str:
-        return f"{self.root}/{table}/_current"
+    def _at(self, path: str):
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return place, place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def version(self, table: str) -> str | None:
-        try:
-            rows = self.spark.read.text(self._pointer(table)).collect()  # one line
-        except AnalysisException:
-            return None
-        return f"{self.root}/{table}/{rows[0][0]}" if rows else None
+        """The current version's folder; None if there has been none.  Whole versions that nothing declares are an error."""
+        declared = [n for n in self._names(f"{self.root}/{table}/_versions") if n.startswith("v-")]
+        if declared:
+            return f"{self.root}/{table}/{declared[-1]}"
+        if any(self._names(f"{self.root}/{table}/{n}/_SUCCESS") for n in self._names(f"{self.root}/{table}") if n.startswith("v-")):
+            raise RuntimeError(f"table {table} has versions but none is declared current")
+        return None
 
     def read(self, table: str, schema: str) -> DataFrame:
         path = self.version(table)
         return self.spark.read.schema(struct(schema)).parquet(path) if path else self.spark.createDataFrame([], struct(schema))
 
     def write(self, table: str, df: DataFrame) -> DataFrame:
-        name = f"v-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.root}/{table}/{name}")
-        self.spark.createDataFrame([(name,)], "version string").coalesce(1).write.mode("overwrite").text(self._pointer(table))
+        first = self.version(table) is None
+        name = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(f"{self.root}/{table}/{'.' if first else ''}{name}")
+        if first:  # nothing is declared yet, so the folder gets its name only when it is whole
+            place, files = self._at(f"{self.root}/{table}/.{name}")
+            self._declare(table, name)
+            files.rename(place, self._at(f"{self.root}/{table}/{name}")[0])
+        else:
+            self._declare(table, name)
+        for old in [n for n in self._names(f"{self.root}/{table}/_versions") if n.startswith("v-")][: -self.keep]:
+            for path in (f"{self.root}/{table}/_versions/{old}", f"{self.root}/{table}/{old}"):
+                place, files = self._at(path)
+                files.delete(place, True)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{table}/{name}")
 
+    def _declare(self, table: str, name: str) -> None:
+        place, files = self._at(f"{self.root}/{table}/_versions/{name}")
+        files.create(place, False).close()
+
     def append(self, table: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(f"{self.root}/{table}")
 
 
-def load_day(lake: Lake, landing: str, source: str, date: str, exact_files: int | None = None) -> dict[str, str]:
-    """Parse a day's files, replace the incoming table, merge it, and check both."""
+def load_day(lake: Lake, landing: str, source: str, date: str, exact_files: int | None = None, failed: set[str] | None = None) -> dict[str, str]:
+    """Check that the registered boards have landed, parse a day's files, replace the incoming table, merge it, and check both.
+
+    ``failed``: the boards that the extract reports as failed.  Without a registered board of the
+    source there is nothing to hold the files against.
+    """
     files = landed_files(lake.spark, landing, source, date)
+    expected = {r[0] for r in boards(lake.read("companies", COMPANIES), source).select("external_id").collect()}  # a registry has thousands of boards
+    landed = {}
+    if expected:
+        seen = {r["company_slug"]: r["files"] for r in files_per_company(files.select("company_slug")).collect()}
+        verdict, about = quality.files_verdict(expected, seen, failed)
+        landed = {"files": verdict}
+        if verdict != "pass":
+            log.warning("%s: no files of %s", source, ", ".join(sorted(about)[:20]))
+        if verdict == quality.ERROR:
+            return landed
     incoming_ = lake.write(f"{source}_postings_incoming", PARSERS[source](files))
     table = lake.write(f"{source}_postings", merge_postings(source, lake.read(f"{source}_postings", POSTINGS[source]), incoming_))
-    return quality.load_verdicts(incoming_, table, exact_files if exact_files is not None else files.count(), exact_files is not None)
+    verdicts = quality.load_verdicts(incoming_, table, exact_files if exact_files is not None else files.count(), exact_files is not None)
+    for r in quality.posting_fill_rates(table).collect():  # one row a column
+        log.info("%s.%s is filled to %s %%", source, r["column_name"], r["fill_percent"])
+    return landed | verdicts | {"freshness": quality.freshness(table, datetime.now(timezone.utc)).first()["status"]}
 
 
 @dataclass
@@ -106,14 +149,14 @@ def run_all(lake: Lake, steps: dict[str, Callable[[], object]]) -> dict[str, str
     """Run steps one by one; note how each went and go on.  Their metrics are appended to ``runs``."""
     run, rows, results = uuid.uuid4().hex, [], {}
     for name, step in steps.items():
-        began, at = time.monotonic(), datetime.now(timezone.utc)
+        began, at, before = time.monotonic(), datetime.now(timezone.utc), bytes_read(lake.spark)
         try:
             step()
             results[name] = "pass"
         except Exception as fault:  # one source's fault must not hold up the rest
             log.exception("step %s failed", name)
             results[name] = f"error: {fault}"[:500]
-        rows.append((run, name, at, time.monotonic() - began, results[name][:5], None))
+        rows.append((run, name, at, time.monotonic() - began, results[name][:5], bytes_read(lake.spark) - before))
     lake.append("runs", lake.spark.createDataFrame(rows, RUNS))
     return results
 
@@ -128,5 +171,8 @@ def _raise_on_error(verdicts: dict[str, str]) -> None:
     _stop_on_error(verdicts)
 
 
-def empty_incoming(spark: SparkSession, source: str) -> DataFrame:
-    return spark.createDataFrame([], struct(incoming(source)))
+def bytes_read(spark: SparkSession) -> int:
+    """Bytes that the session's executors have read from files so far."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(i).totalInputBytes() for i in range(executors.size()))

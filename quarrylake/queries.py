@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as t
@@ -14,8 +14,9 @@ from .functions import values as val
 from .functions import vocabulary as voc
 from .operators import lookups, profile
 from .operators.merge import latest_per_key, merge_current_state
-from .plans import quality
+from .plans import analytics, quality
 from .sources.landing import files_per_company, to_fetch
+from .sources.parsers import PARSERS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -99,12 +100,15 @@ def lookup_residual_join(d):
 
 
 COMMITMENT_SQL = "CASE " + " ".join(f"WHEN regexp_matches(lower(x), '{p}') THEN '{v}'" for p, v in voc.COMMITMENTS) + " END"
+#: Ends of commitments, by a part's size.
 WORDS = [(1, "International Permanent"), (2, "Contractor Full-Time"), (3, "Intern / Part-Time"), (4, "Sales"), (5, "FT"), (6, "Fixed Term"), (7, None), (8, "ft\n"), (9, "Per-diem")]
 
 
-@query(f"SELECT id, x AS commitment, {COMMITMENT_SQL} AS employment_type FROM {values_sql(WORDS)} w(id, x)")
+@query(f"SELECT p_partkey, x AS commitment, {COMMITMENT_SQL} AS employment_type FROM (SELECT p_partkey, p_type || ' ' || w.x AS x FROM part LEFT JOIN {values_sql(WORDS)} w(id, x) ON id = p_size % 10)")
 def employment_from_text(d):
-    return d.rows(WORDS, "id int, commitment string").select("id", "commitment", voc.employment_from_text(F.col("commitment")).alias("employment_type"))
+    said = d.part.join(lookups.small(d.rows(WORDS, "id int, x string")), F.col("id") == F.col("p_size") % 10, "left")
+    said = said.select("p_partkey", F.concat("p_type", F.lit(" "), "x").alias("commitment"))
+    return said.select("p_partkey", "commitment", voc.employment_from_text(F.col("commitment")).alias("employment_type"))
 
 
 TYPE_RULES = [("^promo", "promo"), ("steel|tin", "metal"), ("brushed.{0,12}copper", "brushed"), ("copper|brass|nickel", "alloy")]
@@ -153,20 +157,19 @@ def spoken_words(d):
 
 
 @query("""SELECT doc_id, nullif(array_to_string(list_filter([nullif(CASE WHEN lang = 'en' THEN '' ELSE lang END, ''), source,
-            nullif(split_part(text, chr(10), 1), '')], lambda x: x IS NOT NULL), chr(10) || chr(10)), '') AS body FROM documents""")
+            nullif(text, '')], lambda x: x IS NOT NULL), chr(10) || chr(10)), '') AS body FROM documents""")
 def assemble_sections(d):
-    first = F.split_part("text", F.lit("\n"), F.lit(1))
     lang = F.when(F.col("lang") == "en", "").otherwise(F.col("lang"))
-    return d.documents.select("doc_id", t.join_sections(lang, F.col("source"), first).alias("body"))
+    return d.documents.select("doc_id", t.join_sections(lang, F.col("source"), F.col("text")).alias("body"))
 
 
 # Values
 
 
-@query("""SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string('{"a":{"b":1}}', '$.a.b') AS nested,
+@query("""SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(user_id AS VARCHAR) AS nested,
           CAST(NULL AS VARCHAR) AS an_object, CAST(NULL AS VARCHAR) AS absent FROM events""")
 def json_scalar(d):
-    js = F.lit('{"a":{"b":1}}')
+    js = F.to_json(F.struct(F.struct(F.col("user_id").alias("b")).alias("a")))
     return d.events.select(
         "event_id", val.json_scalar(F.col("props"), "$.k").alias("k"), val.json_scalar(js, "$.a.b").alias("nested"),
         val.json_scalar(js, "$.a").alias("an_object"), val.json_scalar(js, "$.c").alias("absent"),
@@ -180,9 +183,10 @@ def json_array_agg(d):
     )
 
 
-@query("""SELECT event_id, json_extract_string(props, '$.k') AS first_item, 3 AS items FROM events""")
+@query("""SELECT event_id, json_extract_string(props, '$.k') AS first_item, CAST(1 + user_id % 4 AS INTEGER) AS items FROM events""")
 def json_array_items(d):
-    items = val.json_array(F.concat(F.lit('{"l":['), F.get_json_object("props", "$.k"), F.lit(',7,{"z":1}]}')), "$.l")
+    more = F.repeat(F.lit(',{"z":1}'), (F.col("user_id") % 4).cast("int"))
+    items = val.json_array(F.concat(F.lit('{"l":['), F.get_json_object("props", "$.k"), more, F.lit("]}")), "$.l")
     return d.events.select("event_id", val.first_of(items).alias("first_item"), F.size(items).alias("items"))
 
 
@@ -251,7 +255,7 @@ def flags_joined(d):
 
 @query("SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
 def latest_per_user(d):
-    return latest_per_key(d.events.select("user_id", "event_id", "event_type", "ts"), ["user_id"], [F.desc("ts"), F.desc("event_id")]).drop("ts")
+    return latest_per_key(d.events.select("user_id", "event_id", "event_type", "ts"), ["user_id"], [F.col("ts"), F.col("event_id")]).drop("ts")
 
 
 ORDER_HALF = """SELECT o_custkey AS id, o_orderkey, o_orderpriority, o_orderstatus = 'F' AS has_detail, CAST(o_orderdate AS DATE) AS first_seen_at, CAST(o_orderdate AS DATE) AS last_seen_at
@@ -273,7 +277,7 @@ def order_half(d: Tables, condition: str) -> DataFrame:
         F.col("o_custkey").alias("id"), "o_orderkey", "o_orderpriority", (F.col("o_orderstatus") == "F").alias("has_detail"),
         F.to_date("o_orderdate").alias("first_seen_at"), F.to_date("o_orderdate").alias("last_seen_at"),
     )
-    return latest_per_key(rows, ["id"], [F.desc("last_seen_at"), F.desc("o_orderkey")])
+    return latest_per_key(rows, ["id"], [F.col("last_seen_at"), F.col("o_orderkey")])
 
 
 @query(MERGE_SQL.format(t=ORDER_HALF.format(EVEN), s=ORDER_HALF.format(ODD), guard="true"))
@@ -337,10 +341,10 @@ def union_typed_nulls(d):
 
 
 def nation_dim(d: Tables) -> DataFrame:
-    return d.nation.select("n_nationkey", "n_name").where("n_nationkey < 20").unionByName(d.rows([(-1, "Unknown")], "n_nationkey int, n_name string"))
+    return d.nation.select("n_nationkey", "n_name").unionByName(d.rows([(-1, "Unknown")], "n_nationkey int, n_name string"))
 
 
-NATION_SQL = "(SELECT n_nationkey, n_name FROM nation WHERE n_nationkey < 20 UNION ALL SELECT -1, 'Unknown')"
+NATION_SQL = "(SELECT n_nationkey, n_name FROM nation UNION ALL SELECT -1, 'Unknown')"
 
 
 @query(f"SELECT n_nationkey, n_name FROM {NATION_SQL}")
@@ -348,9 +352,9 @@ def dim_with_unknown(d):
     return nation_dim(d)
 
 
-@query(f"SELECT n_name, count(*) AS customers FROM customer JOIN {NATION_SQL} n ON n.n_nationkey = CASE WHEN c_nationkey < 20 THEN c_nationkey ELSE -1 END GROUP BY n_name")
+@query(f"SELECT n_name, count(*) AS customers FROM customer JOIN {NATION_SQL} n ON n.n_nationkey = CASE WHEN c_acctbal >= 0 THEN c_nationkey ELSE -1 END GROUP BY n_name")
 def fact_unknown_key(d):
-    key = F.coalesce(F.when(F.col("c_nationkey") < 20, F.col("c_nationkey")), F.lit(-1))
+    key = F.coalesce(F.when(F.col("c_acctbal") >= 0, F.col("c_nationkey")), F.lit(-1))
     facts = d.customer.select(key.alias("n_nationkey"))
     return profile.counts(facts.join(lookups.small(nation_dim(d)), "n_nationkey"), "n_name", name="customers")
 
@@ -447,10 +451,10 @@ def anti_unseen(d):
     return lookups.unseen(d.events, d.rows(EVENT_WORDS, "source string, word string, common string"), "event_type", "word")
 
 
-@query("""SELECT DISTINCT c_custkey FROM customer WHERE c_nationkey < 20 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+@query("""SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
           AND c_custkey IN (SELECT s_suppkey * 3 FROM supplier)""")
 def explained_gaps(d):
-    wanted = d.customer.where("c_nationkey < 20").select("c_custkey")
+    wanted = d.customer.select("c_custkey")
     gaps = lookups.missing(wanted, d.orders.where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
     return lookups.explained(gaps, d.supplier.select((F.col("s_suppkey") * 3).alias("c_custkey")), "c_custkey").distinct()
 
@@ -505,13 +509,177 @@ def distinct_from(d):
     return quality.differs(labelled(d), "quality", "toxic").select("doc_id")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey < 20)")
+@query("SELECT c_custkey FROM customer WHERE CASE WHEN c_acctbal < 0 THEN c_nationkey + 100 ELSE c_nationkey END NOT IN (SELECT n_nationkey FROM nation)")
 def unrelated_rows(d):
-    small = d.nation.where("n_nationkey < 20")
-    return quality.unrelated(d.customer.select("c_custkey", "c_nationkey"), "c_nationkey", small, "n_nationkey").select("c_custkey")
+    key = F.when(F.col("c_acctbal") < 0, F.col("c_nationkey") + 100).otherwise(F.col("c_nationkey"))
+    return quality.unrelated(d.customer.select("c_custkey", key.alias("key")), "key", d.nation, "n_nationkey").select("c_custkey")
 
 
 @query("""SELECT count(*) AS rows_total, count(DISTINCT event_type) AS files_total, count(DISTINCT user_id) AS ids_total FROM events""")
 def load_counts(d):
     events = d.events.select(F.col("event_type").alias("landed_at"), F.col("user_id").alias("id"))
     return quality.staging_counts(events).join(quality.final_counts(events), "rows_total")
+
+
+# Payloads: each customer is an item of a file of at most 50, written from the table and parsed again
+
+LANDED = "TIMESTAMP '2026-10-06 06:35:12'"
+
+
+def payload_files(d: Tables, item: Column, body: Callable[[Column], Column]) -> DataFrame:
+    """Landed files: ``body`` makes a file's content of its items."""
+    rows = d.customer.withColumn("file", F.floor(F.col("c_custkey") / 50)).groupBy("file").agg(F.collect_list(item).alias("items"))
+    return rows.select(
+        F.concat(F.lit("x/ingest_date=2026-10-06/f"), F.col("file").cast("string"), F.lit("/1.json")).alias("path"),
+        F.concat(F.lit("f"), F.col("file").cast("string")).alias("company_slug"), F.expr(LANDED).alias("landed_at"), body(F.col("items")).alias("content"),
+    )
+
+
+def named(**columns: Column) -> Column:
+    return F.struct(*[c.alias(name) for name, c in columns.items()])
+
+
+@query("""SELECT 'c' || c_custkey AS id, c_name AS title, c_mktsegment AS location, CASE WHEN c_custkey % 3 > 0 THEN 'Team ' || c_nationkey END AS department,
+          CASE WHEN c_acctbal < 0 THEN 'remote' END AS workplace_type, '<p>' || c_name || '</p>' AS content, CAST(c_acctbal AS DECIMAL(38,9)) AS salary_min,
+          strftime(make_timestamp(c_custkey * 86400 * 1000000), '%Y-%m-%d %H:%M') AS published, 'f' || (c_custkey // 50) AS company_slug FROM customer""")
+def parse_bare_array(d):
+    key = F.col("c_custkey")
+    item = named(
+        id=F.concat(F.lit("c"), key.cast("string")), text=F.col("c_name"), description=F.concat(F.lit("<p>"), "c_name", F.lit("</p>")),
+        workplaceType=F.when(F.col("c_acctbal") < 0, "remote"), createdAt=key * 86_400_000,
+        categories=named(location=F.col("c_mktsegment"), team=F.when(key % 3 > 0, F.concat(F.lit("Team "), F.col("c_nationkey").cast("string")))),
+        salaryRange=named(min=F.col("c_acctbal").cast("decimal(12,2)")),
+    )
+    rows = PARSERS["lever"](payload_files(d, item, F.to_json))
+    return rows.select("id", "title", "location", "department", "workplace_type", "content", "salary_min", val.minute_text(F.col("published_at")).alias("published"), "company_slug")
+
+
+@query("""SELECT c_custkey AS id, c_name AS title, c_mktsegment AS location, CASE WHEN c_custkey % 2 = 0 THEN 'D' || c_nationkey END AS department,
+          '2026-01-' || lpad(CAST(1 + c_custkey % 28 AS VARCHAR), 2, '0') || ' 04:00' AS updated, length(c_name) > 0 AS has_raw FROM customer""")
+def parse_wrapped_array(d):
+    key = F.col("c_custkey")
+    day = F.lpad((1 + key % 28).cast("string"), 2, "0")
+    offices = F.when(key % 2 == 0, F.array(named(name=F.concat(F.lit("D"), F.col("c_nationkey").cast("string"))), named(name=F.lit("other")))).otherwise(F.array().cast("array<struct<name:string>>"))
+    item = named(id=key, title=F.col("c_name"), location=named(name=F.col("c_mktsegment")), departments=offices, updated_at=F.concat(F.lit("2026-01-"), day, F.lit("T00:00:00-04:00")))
+    rows = PARSERS["greenhouse"](payload_files(d, item, lambda items: F.to_json(named(jobs=items))))
+    return rows.select("id", "title", "location", "department", val.minute_text(F.col("updated_at")).alias("updated"), F.contains("raw", F.to_json(named(x=F.col("title"))).substr(6, 4)).alias("has_raw"))
+
+
+@query("""SELECT 'a' || c_custkey AS id, c_name AS title, CASE WHEN c_custkey % 4 = 1 THEN CAST(c_acctbal AS DECIMAL(38,9)) END AS salary_min,
+          CASE WHEN c_custkey % 4 = 1 THEN 'EUR' END AS salary_currency, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS country FROM customer""")
+def parse_only_match(d):
+    key = F.col("c_custkey")
+    pay = lambda kind, amount: named(compensationType=F.lit(kind), minValue=amount, currencyCode=F.lit("EUR"))
+    equity, salary = pay("EquityPercentage", F.lit(1).cast("decimal(12,2)")), pay("Salary", F.col("c_acctbal").cast("decimal(12,2)"))
+    parts = F.when(key % 4 == 1, F.array(equity, salary)).when(key % 4 == 2, F.array(salary, salary)).when(key % 4 == 3, F.array(equity))
+    item = named(
+        id=F.concat(F.lit("a"), key.cast("string")), title=F.col("c_name"), compensation=named(summaryComponents=parts),
+        address=F.when(key % 3 == 0, named(postalAddress=named(addressCountry=F.col("c_mktsegment")))),
+    )
+    rows = PARSERS["ashby"](payload_files(d, item, lambda items: F.to_json(named(jobs=items))))
+    return rows.select("id", "title", "salary_min", "salary_currency", "country")
+
+
+@query("""SELECT c_custkey AS id, CASE WHEN c_custkey % 4 = 0 THEN 'en' WHEN c_custkey % 4 = 1 THEN 'pt' WHEN c_custkey % 4 = 2 THEN 'de' END AS language,
+          CASE WHEN c_custkey % 4 < 3 THEN c_mktsegment ELSE c_name END AS title, c_acctbal < 0 AS remote, CAST(c_acctbal AS DECIMAL(38,9)) AS salary_min FROM customer""")
+def parse_translations(d):
+    key = F.col("c_custkey")
+    keys = F.when(key % 4 == 0, F.array(F.lit("pt"), F.lit("en"))).when(key % 4 == 1, F.array(F.lit("de"), F.lit("pt"))).when(key % 4 == 2, F.array(F.lit("fr"), F.lit("de"))).otherwise(F.array().cast("array<string>"))
+    told = F.map_from_arrays(keys, F.transform(keys, lambda k: named(title=F.col("c_mktsegment"))))
+    item = named(id=key, title=F.col("c_name"), translations=told, remote=F.col("c_acctbal") < 0, salary=named(min=F.col("c_acctbal").cast("decimal(12,2)").cast("string")))
+    rows = PARSERS["recruitee"](payload_files(d, item, lambda items: F.to_json(named(offers=items))))
+    return rows.select("id", "language", "title", "remote", "salary_min")
+
+
+@query("""SELECT 't' || c_custkey AS id, c_name AS title, CASE WHEN c_custkey % 2 = 0 THEN 'B' || c_nationkey ELSE 'A' || c_nationkey END AS city,
+          CASE WHEN c_custkey % 2 = 0 THEN 'Brasil' ELSE 'Portugal' END AS country, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS role,
+          '<b>' || c_mktsegment || '</b>' AS content, '2026-09-30 07:36' AS published FROM customer""")
+def parse_feed(d):
+    key = F.col("c_custkey")
+    nation = F.col("c_nationkey").cast("string")
+    place = lambda city, country: F.concat(F.lit("<tt:location><tt:city>"), city, F.lit("</tt:city><tt:country>"), F.lit(country), F.lit("</tt:country></tt:location>"))
+    second = F.when(key % 2 == 0, place(F.concat(F.lit("B"), nation), "Brasil")).otherwise("")
+    role = F.when(key % 3 > 0, F.concat(F.lit("<tt:role>"), "c_mktsegment", F.lit("</tt:role>"))).otherwise("<tt:role/>")
+    item = F.concat(
+        F.lit("<item><title>"), "c_name", F.lit("</title><description>&lt;b&gt;"), "c_mktsegment", F.lit("&lt;/b&gt;</description><pubDate>Wed, 30 Sep 2026 09:36:12 +0200</pubDate><guid>t"),
+        key.cast("string"), F.lit("</guid><tt:locations>"), place(F.concat(F.lit("A"), nation), "Portugal"), second, F.lit("</tt:locations>"), role, F.lit("</item>"),
+    )
+    feed = lambda items: F.concat(F.lit("<?xml version='1.0'?><rss xmlns:tt='x'><channel>"), F.array_join(items, "\n"), F.lit("</channel></rss>"))
+    rows = PARSERS["teamtailor"](payload_files(d, item, feed))
+    return rows.select("id", "title", "city", "country", "role", "content", val.minute_text(F.col("published_at")).alias("published"))
+
+
+@query("""SELECT 'w' || (c_custkey // 2) AS id, min_by(c_name, c_custkey) AS title, count(*) AS entries, bool_or(c_custkey % 6 = 0) AS has_detail,
+          max(CASE WHEN c_custkey % 6 = 0 THEN CAST(c_acctbal AS DECIMAL(38,9)) END) AS salary_min FROM customer GROUP BY 1""")
+def parse_envelope(d):
+    """Two entries of one shortcode are one posting; every third posting has a detail."""
+    key = F.col("c_custkey")
+    code = F.concat(F.lit("w"), F.floor(key / 2).cast("string"))
+    item = named(key=key, entry=named(shortcode=code, title=F.col("c_name"), department=F.lit("")), detail=F.when(key % 6 == 0, named(salary_from=F.col("c_acctbal").cast("decimal(12,2)"))))
+
+    def body(items: Column) -> Column:
+        in_order = F.array_sort(items)
+        told = F.filter(in_order, lambda x: x["detail"].isNotNull())
+        details = F.map_from_arrays(F.transform(told, lambda x: x["entry"]["shortcode"]), F.transform(told, lambda x: x["detail"]))
+        return F.to_json(named(account=named(jobs=F.transform(in_order, lambda x: x["entry"])), details=details))
+
+    rows = PARSERS["workable"](payload_files(d, item, body))
+    return rows.select("id", "title", F.size(F.from_json("raw", "array<string>")).cast("long").alias("entries"), "has_detail", "salary_min")
+
+
+# Questions over marts that are made of the driver's tables
+
+
+def remote_mart(d: Tables) -> DataFrame:
+    nations = d.nation.join(d.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("n_name").alias("country_name"), F.col("r_name").alias("business_region"))
+    places = d.customer.join(lookups.small(nations), F.col("c_nationkey") == F.col("n_nationkey"))
+    orders = d.orders.join(places, F.col("o_custkey") == F.col("c_custkey"))
+    kind = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority"))
+    return orders.select("country_name", "business_region", kind.alias("employment_type"), F.col("c_name").alias("company_name"), F.col("o_orderstatus").alias("source"))
+
+
+REMOTE_SQL = """(SELECT n_name AS country_name, r_name AS business_region, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS employment_type, c_name AS company_name, o_orderstatus AS source
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+
+
+@query(f"SELECT business_region AS region, count(*) AS postings FROM {REMOTE_SQL} GROUP BY 1")
+def question_by_region(d):
+    return analytics.by_region(remote_mart(d))
+
+
+@query(f"SELECT employment_type, count(*) AS postings FROM {REMOTE_SQL} WHERE employment_type IS NOT NULL GROUP BY 1")
+def question_by_employment(d):
+    return analytics.by_employment(remote_mart(d))
+
+
+@query(f"""SELECT company_name AS company, source, count(*) AS open_remote_postings, count(DISTINCT country_name) AS countries FROM {REMOTE_SQL}
+           GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 200""")
+def question_top_companies(d):
+    return analytics.top_companies(remote_mart(d))
+
+
+@query("""SELECT *, round(with_description * 100.0 / nullif(open_postings, 0), 1) AS description_fill FROM (
+          SELECT o_orderpriority AS source, count(*) FILTER (WHERE o_orderstatus = 'O') AS open_postings, count(*) FILTER (WHERE o_orderstatus <> 'O') AS closed_postings,
+          count(*) FILTER (WHERE o_orderstatus = 'O' AND o_totalprice > 1000) AS with_description, strftime(max(o_orderdate), '%Y-%m-%d %H:%M') AS last_run_utc FROM orders GROUP BY 1)""")
+def question_per_source(d):
+    fact = d.orders.select(
+        F.col("o_orderpriority").alias("source"), (F.col("o_orderstatus") == "O").alias("is_open"),
+        F.when(F.col("o_totalprice") > 1000, "said").alias("description_text"), F.col("o_orderdate").alias("last_seen_at"),
+    )
+    return analytics.per_source(fact)
+
+
+@query("SELECT p_partkey, string_agg(upper(left(w, 1)) || lower(substr(w, 2)), ' ' ORDER BY i) AS shown FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS w, generate_subscripts(string_split(p_name, ' '), 1) AS i FROM part) GROUP BY 1")
+def slug_titles(d):
+    return d.part.select("p_partkey", t.titled(F.replace("p_name", F.lit(" "), F.lit("-"))).alias("shown"))
+
+
+@query("SELECT event_id, strftime(ts - INTERVAL 2 HOUR, '%Y-%m-%d %H:%M') AS from_iso FROM events")
+def parse_iso_times(d):
+    iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))
+    return d.events.select("event_id", val.minute_text(val.from_iso(iso)).alias("from_iso"))
+
+
+@query("SELECT doc_id, CASE WHEN regexp_matches(lower(text), 'remote') THEN 'remote' ELSE 'unknown' END AS workplace FROM documents")
+def workplace_from_text(d):
+    return d.documents.select("doc_id", voc.workplace_from_text(F.col("text")).alias("workplace"))

@@ -137,7 +137,8 @@ def recruitee(files: DataFrame) -> DataFrame:
 
 def teamtailor(files: DataFrame) -> DataFrame:
     """RSS: each item's own text keeps its prefixes; an empty element is null."""
-    channel = F.when(~F.contains("content", F.lit("<channel")), F.raise_error(F.lit("the feed has no channel"))).otherwise(F.col("content"))
+    whole = F.contains("content", F.lit("<channel")) & F.coalesce(F.rlike("content", F.lit(r"</channel>|<channel\s*/>")), F.lit(False))
+    channel = F.when(F.coalesce(whole, F.lit(False)), F.col("content")).otherwise(F.raise_error(F.lit("the feed has no whole channel")))
     raw = files.withColumn("feed", channel).select(
         "company_slug", "landed_at", F.explode(F.regexp_extract_all("feed", F.lit(r"(?s)(<item\b[^>]*>.*?</item>)"), F.lit(1))).alias("raw")
     )
@@ -164,7 +165,7 @@ def teamtailor(files: DataFrame) -> DataFrame:
 def workable(files: DataFrame) -> DataFrame:
     """List entries of one shortcode are one posting: the first gives the fields, ``raw`` keeps all."""
     envelope = "account struct<jobs:array<string>>, details map<string,string>"
-    whole = files.withColumn("w", F.from_json("content", envelope))
+    whole = files.withColumn("w", required(F.from_json("content", envelope, {"mode": "FAILFAST"}), "payload"))
     listed = whole.select(
         "path", "company_slug", "landed_at", F.col("w.details").alias("details"), F.posexplode("w.account.jobs").alias("pos", "entry")
     ).withColumn("id", required(F.get_json_object("entry", "$.shortcode"), "shortcode"))

@@ -16,6 +16,7 @@ from ..functions import vocabulary as v
 from ..functions.text import trim_all
 from ..schemas import SEEDS, struct
 from .landing import write_bytes
+from ..operators.lookups import small
 
 
 def read_seed(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -100,7 +101,7 @@ def country_spellings(observed: DataFrame, iso_names: DataFrame) -> tuple[DataFr
     aliases = spark.createDataFrame(list(COUNTRY_ALIASES.items()), "name string, country_code string").withColumn("rank", F.lit(-1))
     names = aliases.unionByName(iso_names.select(F.lower("name").alias("name"), "country_code", F.col("rank").cast("int").alias("rank")))
     best = names.groupBy("name").agg(F.min_by("country_code", "rank").alias("country_code"))
-    known = seen.join(F.broadcast(best), F.lower("country_raw") == F.col("name"), "left").withColumn("no_country", F.lower("country_raw").isin(NO_COUNTRY))
+    known = seen.join(small(best), F.lower("country_raw") == F.col("name"), "left").withColumn("no_country", F.lower("country_raw").isin(NO_COUNTRY))
     seed = known.where(F.col("country_code").isNotNull() | F.col("no_country"))
     code = F.when(~F.col("no_country"), F.col("country_code"))
     return seed.select("country_raw", code.alias("country_code")), known.where(F.col("country_code").isNull() & ~F.col("no_country")).select("country_raw")

@@ -170,7 +170,7 @@ def lake(spark, tmp_path_factory, words):
 def test_nightly_run_and_models(spark, lake, words):
     tables, landed = lake
     verdicts = {s: load_day(tables, landed, s, "2026-10-06") for s in PARSERS}
-    assert all(v == {"staging": "pass", "final": "pass"} for v in verdicts.values())
+    assert all((v["staging"], v["final"]) == ("pass", "pass") and "freshness" in v for v in verdicts.values())
     again = load_day(tables, landed, "lever", "2026-10-06")
     assert again["final"] == "pass" and tables.read("lever_postings", POSTINGS["lever"]).count() == 2
 
@@ -209,6 +209,41 @@ def test_nightly_run_and_models(spark, lake, words):
         table.collect()
 
 
+def test_a_write_that_dies_leaves_the_table(spark, tmp_path, monkeypatch):
+    tables = Lake(spark, f"file://{tmp_path}/t", keep=2)
+    rows = lambda n: spark.range(n)
+    for n in (1, 2, 3, 4):
+        tables.write("x", rows(n))
+    assert tables.read("x", "id bigint").count() == 4 and len(tables._names(f"{tables.root}/x/_versions")) >= 2
+    monkeypatch.setattr(Lake, "_declare", lambda *a: 1 / 0)  # dies between the data and the declaration
+    for table, n in (("x", 4), ("new", 0)):
+        with pytest.raises(ZeroDivisionError):
+            tables.write(table, rows(9))
+        assert tables.read(table, "id bigint").count() == n
+    place, files = tables._at(f"{tables.root}/x/_versions")
+    files.delete(place, True)
+    with pytest.raises(RuntimeError, match="none is declared"):
+        tables.read("x", "id bigint")
+
+
+@pytest.mark.parametrize("source, body", [("workable", "<html>502</html>"), ("workable", '{"account": {"jobs": [{"shortcode"'), ("workable", ""), ("teamtailor", TEAMTAILOR[:-60]), ("teamtailor", "<html/>"), ("lever", "oops")])
+def test_payloads_that_cannot_be_read_stop_the_load(spark, source, body):
+    with pytest.raises(Exception):
+        parsed(spark, source, body).collect()
+
+
+def test_a_missing_board_is_an_error_in_the_nightly_run(spark, lake, words, tmp_path):
+    _, landed = lake
+    tables = Lake(spark, f"file://{tmp_path}/t")
+    names = [("Acme", "acme", "lever"), ("Gone", "gone", "lever"), ("Lost", "lost", "lever"), ("Acme", "acme", "ashby")]
+    tables.write("companies", spark.createDataFrame(names, "name string, external_id string, ats string"))
+    results = nightly(tables, landed, "2026-10-06", words)
+    assert "files" in results["lever"] and results["lever"].startswith("error")
+    assert load_day(tables, landed, "lever", "2026-10-06", failed={"gone", "lost"})["files"] == "warn"
+    assert load_day(tables, landed, "ashby", "2026-10-06")["files"] == "pass"
+    assert spark.read.parquet(f"{tables.root}/runs").where("bytes_read > 0").count() > 0
+
+
 def test_a_failed_source_does_not_stop_the_rest(spark, lake, words):
     tables, landed = lake
     results = nightly(tables, landed + "/nowhere", "2026-10-06", words)
