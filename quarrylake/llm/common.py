@@ -101,6 +101,11 @@ def may_hold(rows: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
     return found.where(F.col("_bits").bitwiseAND(one) != 0).select(*rows.columns)
 
 
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """The table with a broadcast hint if its size is within bounds; else Spark decides by size."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def strings(column: pa.Array) -> pa.Array:
     """The column as plain strings, nulls as empty texts."""
     if isinstance(column, pa.ChunkedArray):

@@ -21,12 +21,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, strings
+from .common import slices, small, strings
 
-#: Bound of the training sample: labelled documents for each language, and characters of each.
-SAMPLE_DOCS, SAMPLE_CHARS = 150, 1200
-#: More languages than this are taken for a wrong column.
-MOST_LANGUAGES = 200
+#: Bound of the training sample: labelled documents for each language; parts of each, drawn from the whole text, and their characters.
+SAMPLE_DOCS, PARTS, PART_CHARS = 150, 24, 80
 HIDDEN, WINDOW, BATCH, STEPS = 8, 64, 64, 300
 #: Bytes after which the recurrence starts anew, and segments that run side by side.
 SEGMENT, SIDE_BY_SIDE = 256, 1024
@@ -230,22 +228,22 @@ def _merged(runs: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
 
 
 def sample(docs: DataFrame, seed: int = 7, key: str = "doc_id", text: str = "text", lang: str = "lang") -> list:
-    """At most about ``SAMPLE_DOCS`` documents of each language: (lang, text), in a fixed order.
+    """Parts of at most about ``SAMPLE_DOCS`` documents of each language: (lang, part), in a fixed order.
 
-    A document is drawn by its hash; its part of ``SAMPLE_CHARS`` characters starts at a hashed place.
+    A document is drawn by its hash; its ``PARTS`` start at hashed places anywhere in its text.  Any
+    number of languages will do.
     """
-    rows = docs.where(docs[lang].isNotNull() & docs[text].isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(rows[lang]).count().limit(MOST_LANGUAGES + 1).collect()}
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"column {lang} has more than {MOST_LANGUAGES} values")
-    if not counts:
-        return []
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, SAMPLE_DOCS / n)))])
-    draw = F.pmod(F.xxhash64(F.lit(seed), rows[key]), F.lit(1 << 30))
-    start = F.pmod(F.xxhash64(rows[key], F.lit(seed)), F.greatest(F.length(rows[text]) - SAMPLE_CHARS, F.lit(1)))
-    part = rows[text].substr(start.cast("int") + 1, F.lit(SAMPLE_CHARS))
-    picked = rows.where(draw < F.element_at(share, rows[lang]) * (1 << 30))
-    return sorted(tuple(r) for r in picked.select(rows[lang], part).collect())
+    rows = docs.where(docs[lang].isNotNull() & docs[text].isNotNull()).select(docs[lang].alias("lang"), docs[text].alias("text"), docs[key].alias("id"))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    draw = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30))
+    drawn = small(counts.select("lang", (F.lit(float(SAMPLE_DOCS)) / F.col("n")).alias("share")))
+    picked = rows.join(drawn, "lang").where(draw < F.least(F.col("share"), F.lit(1.0)) * (1 << 30))
+    places = F.greatest(F.length("text") - PART_CHARS, F.lit(0)) + 1
+    parts = F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(PARTS), places)),
+        lambda i: F.substr("text", (F.pmod(F.xxhash64("id", F.lit(seed), i), places) + 1).cast("int"), F.lit(PART_CHARS)),
+    )
+    return sorted(tuple(r) for r in picked.select("lang", F.explode(parts).alias("part")).collect())
 
 
 def identify(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str = "text", spans: bool = False) -> DataFrame:

@@ -50,6 +50,28 @@ def test_segments_and_batches_change_nothing(monkeypatch):
         assert [a for a, _, _ in own] == [0, *[b for _, b, _ in own[:-1]]][: len(own)] and (not own or own[-1][1] == len(text))
 
 
+def test_states_are_those_of_a_plain_loop():
+    """The forward pass against the equations of a gated recurrent unit, one byte at a time."""
+    rng = np.random.default_rng(2)
+    gru, text = language_id.Gru.new(4, rng), rng.integers(0, 256, (9, 3)).astype(np.uint8)
+    states, logistic = gru.run(text), lambda x: 1 / (1 + np.exp(-x))
+    for lane in range(3):
+        h = np.zeros(4)
+        for t in range(9):
+            given, back = gru.inputs[text[t, lane]].astype("f8"), h @ gru.recurrent.astype("f8")
+            r, z = logistic(given[:4] + back[:4]), logistic(given[4:8] + back[4:8])
+            h = z * h + (1 - z) * np.tanh(given[8:] + r * back[8:])
+            assert np.allclose(states[t, lane], h, atol=1e-4)
+
+
+def test_parts_come_from_whole_texts_in_any_number_of_languages(spark):
+    rows = [(i, f"x{i % 300}", f"{i % 300:03d}" * 400 + "end") for i in range(900)] + [(1000, "long", "a" * 50_000 + "z" * 50_000), (1001, "long", "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    drawn = language_id.sample(docs)
+    assert len({x for x, _ in drawn}) == 301 and {"a", "z"} <= {c for x, t in drawn if x == "long" for c in t}
+    assert all(len(t) <= language_id.PART_CHARS for _, t in drawn)
+
+
 def test_language_id(spark, small, odd, empty):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     got = QUERIES["op2_language_id"](spark, small).collect()
