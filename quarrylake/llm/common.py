@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text is handed to the array code in slices of about this many bytes.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 #: Scratch tables of this process; ``release`` deletes them, at exit at the latest.

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from .common import ragged, words
 
 #: Distinct words that a worker remembers before it starts afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 
 #: A word of letters of one code point each in either case, then punctuation: two pre-tokens whose
