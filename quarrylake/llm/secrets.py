@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -130,12 +131,19 @@ def scan(text: str, allowed: re.Pattern) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 18]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    base = sorted(found)
+    starts, ends = [], []  # the base spans joined where they overlap
+    for a, _, b in sorted(found):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
     for m in CANDIDATE.finditer(text):
         for start, end in outside(m[0], allowed):
             for a, b in entropy_spans(m[0][start:end]):
                 a, b = a + m.start() + start, b + m.start() + start
-                if not any(x < b and a < y for x, _, y in base):
+                before = bisect_left(starts, b) - 1
+                if before < 0 or ends[before] <= a:
                     found.append((a, 3, b))
     return sorted(found)
 
