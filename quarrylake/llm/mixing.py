@@ -11,11 +11,12 @@ about ``BUCKET`` documents by hash; running totals over buckets say which bucket
 whole, and the documents of a bucket in which a quota ends are filled in one by one.  No task sees
 more than a bucket, whatever a pattern's share of the corpus.
 
-Where each document has one source (``mix_single``) no flow is needed: targets and fill levels are Spark
-aggregates and joins, for any number of sources.  ``mix`` serves overlapping sources, of which it
-refuses more than ``MOST_PATTERNS`` membership patterns.
+The network falls apart where no pattern links sources: connected components of sources, found by
+Spark, are networks of their own, each solved in one task from its patterns' totals.  Neither the
+number of sources nor that of patterns has a cap; where each document has one source, each source is a
+network.
 
-Rows: a null text has size 0 and is never repeated; a null source is a source of its own, ordered
+Rows: a null or empty text has size 0 and is never taken; a null source is a source of its own, ordered
 last.  Rows of one key are drawn each on its own; equal rows in any order.  An empty table gives an
 empty result.  Other columns are never read.
 """
@@ -31,11 +32,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import store
+from .components import components
 from .exact_dedup import located, on_files, rows_at
 
-#: Documents that one task draws from at a time; patterns that the driver solves for at most.
-BUCKET, MOST_PATTERNS = 2000, 50_000
+#: Documents that one task draws from at a time.
+BUCKET = 2000
 Source = str | None
+Targets = Callable[[dict[Source, int]], dict[Source, float]]
 
 
 def ordered(sources: set[Source]) -> list[Source]:
@@ -153,10 +156,82 @@ def draw(pdf: pd.DataFrame, lower: int, segments: list[tuple[int, int, int]]) ->
     return taken
 
 
+def numbered(sizes: DataFrame) -> DataFrame:
+    """Sources (source, source_size) with ``rank``: by code point, null last, inside ranges and the ranges one after another."""
+    order = F.col("source").asc_nulls_last()
+    ranges = store(sizes.repartitionByRange(32, order).withColumn("part", F.spark_partition_id()), "sources")
+    before, offsets = 0, []
+    for part, n in sorted(map(tuple, ranges.groupBy("part").count().collect())):  # at most 32 rows
+        offsets.append((part, before))
+        before += n
+    starts = sizes.sparkSession.createDataFrame(offsets, "part int, start long")
+    rank = F.col("start") + F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
+    return store(ranges.join(F.broadcast(starts), "part").withColumn("rank", rank).drop("part", "start"), "sources")
+
+
+def with_shared_targets(known: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """``shared_targets`` for any number of sources: adds target to (source, source_size, rank)."""
+    known = known.withColumn("weight", F.element_at(F.array(*map(F.lit, map(float, weights))), (F.col("rank") % len(weights) + 1).cast("int")))
+    # The level that free sources share; each round holds more sources at ``most`` times their size.
+    total = known.agg(F.sum("source_size")).first()[0] or 0
+    unit, held = 0.0, -1
+    while True:
+        above = F.col("weight") * unit > most * F.col("source_size") if held >= 0 else F.lit(False)
+        n, sizes, free = known.agg(F.count_if(above), F.sum(F.when(above, F.col("source_size"))), F.sum(F.when(~above, F.col("weight")))).first()
+        if n == held or not free:
+            break
+        held, unit = n, (share * total - most * (sizes or 0)) / free
+    # Sources that were held stay so when none is free.
+    return known.withColumn("target", F.least(F.col("weight") * unit, most * F.col("source_size"))).drop("weight")
+
+
+def with_targets(known: DataFrame, targets: Targets) -> DataFrame:
+    """A caller's own targets: a function of a dict of sizes, so for as many sources as a dict may hold."""
+    goal = targets({r["source"]: r["source_size"] for r in known.collect()})
+    own = known.sparkSession.createDataFrame([(s, float(t)) for s, t in goal.items()], "own string, target double")
+    return known.join(own, F.col("source").eqNullSafe(F.col("own")), "left").drop("own").fillna(0.0, ["target"])
+
+
+SEGMENTS = "array<struct<copy:int,start:bigint,stop:bigint,source:string>>"
+
+
+def routed(patterns: DataFrame, known: DataFrame, copies: int) -> DataFrame:
+    """Least-cost flow for every network: per pattern (members, tokens, n) its segments, and whether they take it whole.
+
+    Sources that patterns link form a network of their own, which no quota or capacity outside it
+    touches; so each is solved in one task.  A segment is a stretch of the pattern's running total.
+    """
+    arcs = patterns.select("number", "tokens", F.explode("members").alias("source"))
+    to = known.select(F.col("source").alias("own"), "rank", F.rint("target").cast("long").alias("quota"))
+    arcs = store(arcs.join(to, F.col("source").eqNullSafe(F.col("own"))).drop("own"), "arcs")
+    first = arcs.groupBy("number").agg(F.min("rank").alias("a"))
+    linked = components(arcs.join(first, "number").select("a", F.col("rank").alias("b")))
+    arcs = arcs.join(linked, F.col("rank") == F.col("node"), "left").withColumn("network", F.coalesce("component", "rank"))
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        name = {r: None if pd.isna(s) else s for r, s in zip(pdf["rank"], pdf["source"])}
+        quota = dict(zip(pdf["rank"], pdf["quota"].tolist()))
+        own = {tuple(sorted(x["rank"])): (number, int(x["tokens"].iloc[0])) for number, x in pdf.groupby("number")}
+        flow = route({p: own[p][1] for p in sorted(own)}, quota, copies)
+        out = []
+        for p, levels in flow.items():
+            segments, whole = [], True
+            for copy, level in enumerate(levels):
+                at = 0
+                for s, n in level.items():
+                    segments.append({"copy": copy, "start": at, "stop": at + n, "source": name[s]})
+                    at += n
+                whole &= len(level) == 1 and at == own[p][1]
+            out.append((own[p][0], segments, whole))
+        return pd.DataFrame(out, columns=["number", "segments", "whole"])
+
+    return arcs.groupBy("network").applyInPandas(solve, f"number bigint, segments {SEGMENTS}, whole boolean")
+
+
 def mix(
     docs: DataFrame,
     members: Column,
-    targets: Callable[[dict[Source, int]], dict[Source, float]] = shared_targets,
+    targets: Targets | None = None,
     copies: int = 2,
     seed: int = 3,
     key: str = "doc_id",
@@ -166,127 +241,54 @@ def mix(
     """The mix, and its sources.
 
     First: per row id, members, size, routes (the source that each copy counts for) and columns to
-    carry.  Second: source, source_size, target.  ``members`` is an array of the row's sources.
+    carry.  Second: source, source_size, target.  ``members`` is an array of the row's sources (null:
+    none).  Without ``targets`` they are ``shared_targets``, for any number of sources.
     """
-    spark = docs.sparkSession
     size = F.coalesce(F.regexp_count(docs[text], F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     place = F.xxhash64(F.lit(seed), docs[key], F.lit(seed + 1)).bitwiseAND((1 << 52) - 1)
-    rows = store(docs.select(docs[key].alias("id"), F.array_sort(F.array_distinct(members)).alias("members"), size.alias("size"), place.alias("place"), *carry), "sizes")
-
-    counted = rows.groupBy("members").agg(F.sum("size").alias("tokens"), F.count(F.lit(1)).alias("n")).limit(MOST_PATTERNS + 1).collect()
-    if len(counted) > MOST_PATTERNS:
-        raise ValueError(f"more than {MOST_PATTERNS} membership patterns")
-    capacity = {tuple(r["members"] or ()): r["tokens"] for r in counted}
-    many = {tuple(r["members"] or ()): r["n"] for r in counted}
-    sizes: dict[Source, int] = defaultdict(int)
-    for pattern, n in capacity.items():
-        for s in pattern:
-            sizes[s] += n
-    goal = targets(dict(sizes))
-    flow = route({p: capacity[p] for p in sorted(capacity, key=lambda p: [(s is None, s or "") for s in p])}, {s: round(t) for s, t in goal.items()}, copies)
-
-    # Segments of each pattern's running total, copy by copy, with the sources they count for.
-    plan: dict[int, list[list[tuple[int, int, int]]]] = {}
-    names, pattern_rows = ordered(set(goal)), []
-    for i, (p, levels) in enumerate(flow.items()):
-        plan[i] = []
-        for level in levels:
-            at, segments = 0, []
-            for s, n in level.items():
-                segments.append((at, at + n, names.index(s)))
-                at += n
-            plan[i].append(segments)
-        whole = [x[0][2] if len(x) == 1 and x[0][1] == capacity[p] else None for x in plan[i]]
-        partial = None in whole
-        pattern_rows.append((list(p), i, 0 if not partial else max(1, many[p] // BUCKET), [] if partial else [names[x] for x in whole]))
-    patterns = spark.createDataFrame(pattern_rows, "pattern array<string>, number int, buckets int, routes array<string>")
-    # At most MOST_PATTERNS rows.
-    tagged = rows.join(F.broadcast(patterns), F.coalesce("members", F.array().cast("array<string>")) == F.col("pattern"), "left")
-    settled = tagged.where("coalesce(buckets, 0) = 0").select("id", "members", "size", F.coalesce("routes", F.array().cast("array<string>")).alias("routes"), *carry)
-    open_ = tagged.where("buckets > 0").withColumn("bucket", (F.col("place") * F.col("buckets") / float(1 << 52)).cast("long"))
+    belongs = F.array_sort(F.array_distinct(F.coalesce(members, F.array().cast("array<string>"))))
+    rows = store(docs.select(docs[key].alias("id"), belongs.alias("members"), size.alias("size"), place.alias("place"), *carry), "sizes")
+
+    patterns = rows.groupBy("members").agg(F.sum("size").alias("tokens"), F.count(F.lit(1)).alias("n"))
+    patterns = store(patterns.withColumn("number", F.monotonically_increasing_id()), "patterns")
+    known = numbered(patterns.select("tokens", F.explode("members").alias("source")).groupBy("source").agg(F.sum("tokens").alias("source_size")))
+    sources = store(with_targets(known, targets) if targets else with_shared_targets(known), "targets")
+    plan = store(patterns.join(routed(patterns, sources, copies), "number").where("size(segments) > 0"), "plan")
+
+    tagged = rows.join(plan, "members", "left")
+    none = F.array().cast("array<string>")
+    result = ["id", "members", "size", "routes", *carry]
+    settled = tagged.where("whole IS NULL OR whole OR size = 0")
+    settled = settled.withColumn("routes", F.when(F.col("whole") & (F.col("size") > 0), F.col("segments.source")).otherwise(none)).select(*result)
+    open_ = tagged.where("NOT whole AND size > 0")
+    buckets = F.greatest(F.lit(1), F.expr(f"n div {BUCKET}"))
+    open_ = open_.withColumn("bucket", (F.col("place") * buckets / float(1 << 52)).cast("long"))
     totals = open_.groupBy("number", "bucket").agg(F.sum("size").alias("total"))
     before = Window.partitionBy("number").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("number", "bucket", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("lower"))
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    schema = ", ".join([f"id {kinds['id']}, members array<string>, size bigint, routes array<string>", *(f"{c} {kinds[c]}" for c in carry)])
+    kinds = {f.name: f.dataType.simpleString() for f in settled.schema}
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["place", "id", "size"], kind="stable", ignore_index=True)
-        lower = int(pdf["lower"].iloc[0])
+        lower, segments = int(pdf["lower"].iloc[0]), list(pdf["segments"].iloc[0])
         routes: list[list[Source]] = [[] for _ in range(len(pdf))]
-        for segments in plan[int(pdf["number"].iloc[0])]:
-            for i, number in enumerate(draw(pdf, lower, segments)):
+        for copy in range(copies):
+            own = [(x["start"], x["stop"], i) for i, x in enumerate(segments) if x["copy"] == copy]
+            for i, number in enumerate(draw(pdf, lower, own)):
                 if number >= 0:
-                    routes[i].append(names[number])
-        return pdf.assign(routes=routes)[["id", "members", "size", "routes", *carry]]
-
-    drawn = open_.join(totals, ["number", "bucket"]).groupBy("number", "bucket").applyInPandas(fill, schema)
-    sources = spark.createDataFrame([(s, sizes[s], float(goal[s])) for s in names], "source string, source_size bigint, target double")
-    return settled.unionByName(drawn), sources
-
-
-def mix_single(docs: DataFrame, source: Column, copies: int = 2, seed: int = 3, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, carry: tuple[str, ...] = ()) -> DataFrame:
-    """``mix`` with ``shared_targets`` for documents of one source each; no source comes to the driver.
-
-    Per row id, source, size, times (how often it is taken), source_size, target and columns to carry.
-    """
-    size = F.coalesce(F.regexp_count(docs["text"], F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    place = F.xxhash64(F.lit(seed), docs["doc_id"], F.lit(seed + 1)).bitwiseAND((1 << 52) - 1)
-    rows = store(docs.select(docs["doc_id"].alias("id"), source.alias("source"), size.alias("size"), place.alias("place"), *carry), "sizes")
-    # Sources are numbered by code point, null last: inside ranges, and the ranges one after another.
-    order = F.col("source").asc_nulls_last()
-    counted = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
-    ranges = store(counted.repartitionByRange(32, order).withColumn("part", F.spark_partition_id()), "sources")
-    before, offsets = 0, []
-    for part, n in sorted(map(tuple, ranges.groupBy("part").count().collect())):  # at most 32 rows
-        offsets.append((part, before))
-        before += n
-    starts = docs.sparkSession.createDataFrame(offsets, "part int, start long")
-    number = F.col("start") + F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
-    weight = F.element_at(F.array(*map(F.lit, map(float, weights))), (F.col("number") % len(weights) + 1).cast("int"))
-    known = store(ranges.join(F.broadcast(starts), "part").withColumn("number", number).withColumn("weight", weight).drop("part", "start"), "sources")
-    # The level that free sources share; each round holds more sources at ``most`` times their size.
-    total = known.agg(F.sum("source_size")).first()[0] or 0
-    unit, held = 0.0, -1
-    while True:
-        above = F.col("weight") * unit > most * F.col("source_size") if held >= 0 else F.lit(False)
-        n, sizes, free = known.agg(F.count_if(above), F.sum(F.when(above, F.col("source_size"))), F.sum(F.when(~above, F.col("weight")))).first()
-        if n == held or not free:
-            break
-        held, unit = n, (share * total - most * (sizes or 0)) / free
-    # Sources that were held stay so when none is free.
-    target = F.least(F.col("weight") * unit, most * F.col("source_size"))
-    quota = F.rint(target).cast("long")
-    full = F.when(F.col("source_size") > 0, F.least(F.lit(copies).cast("long"), F.expr("quota div source_size"))).otherwise(F.lit(0).cast("long"))
-    rest = F.when(F.col("full") < copies, F.least("source_size", F.col("quota") - F.col("full") * F.col("source_size"))).otherwise(F.lit(0))
-    planned = known.withColumn("target", target).withColumn("quota", quota).withColumn("full", full).withColumn("rest", rest)
-    planned = planned.select(F.col("source").alias("own"), "source_size", "target", "number", "n", "full", "rest")
-    tagged = rows.join(planned, F.col("source").eqNullSafe(F.col("own")), "left").drop("own")
-    result = ["id", "source", "size", "times", "source_size", "target", *carry]
-    settled = tagged.where("rest = 0").withColumn("times", F.col("full")).select(*result)
-    buckets = F.greatest(F.lit(1), F.expr(f"n div {BUCKET}"))
-    open_ = tagged.where("rest > 0").withColumn("bucket", (F.col("place") * buckets / float(1 << 52)).cast("long"))
-    totals = open_.groupBy("number", "bucket").agg(F.sum("size").alias("total"))
-    earlier = Window.partitionBy("number").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("number", "bucket", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("lower"))
-    kinds = {f.name: f.dataType.simpleString() for f in settled.schema}
-
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["place", "id", "size"], kind="stable", ignore_index=True)
-        lower, full, rest, size = (int(pdf[c].iloc[0]) for c in ("lower", "full", "rest", "source_size"))
-        times = np.zeros(len(pdf), np.int64)
-        for part in [size] * full + [rest]:
-            times += draw(pdf, lower, [(0, part, 0)]) >= 0
-        return pdf.assign(times=times)[result]
+                    routes[i].append(segments[number]["source"])
+        return pdf.assign(routes=routes)[result]
 
     drawn = open_.join(totals, ["number", "bucket"]).groupBy("number", "bucket").applyInPandas(fill, ", ".join(f"`{c}` {kinds[c]}" for c in result))
-    return settled.unionByName(drawn)
+    return settled.unionByName(drawn), sources.select("source", "source_size", "target")
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    mixed = mix_single(docs, docs["source"])
-    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("times")).cast("long").alias("taken"))
+    mixed, sources = mix(docs, F.array("source"))
+    told = mixed.join(sources, F.get("members", F.lit(0)).eqNullSafe(F.col("source")), "left")
+    taken = (F.col("size") * F.size("routes")).cast("long")
+    return told.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"))
 
 
 def take_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -296,7 +298,7 @@ def take_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     docs = on_files(docs)
     content = located(docs.select("doc_id", "text", "source"))
-    mixed = mix_single(content, content["source"], carry=("_file", "_row"))
-    copies = mixed.where("times > 0").select("_file", "_row", F.col("times").cast("int").alias("copies"))
+    mixed, _ = mix(content, F.array("source"), carry=("_file", "_row"))
+    copies = mixed.select("_file", "_row", F.size("routes").alias("copies")).where("copies > 0")
     rows = rows_at(docs).join(copies.hint("shuffle_hash"), ["_file", "_row"])
     return rows.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 from math import log2
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -213,16 +214,56 @@ def test_overlapping_sources(spark, table):
     assert routed == {"a": 600, "b": 500} and all(set(r.routes) <= set(r.members) for r in mixed.collect())
 
 
-def test_any_number_of_sources(spark, table, monkeypatch):
+def drawn_by_hand(spark, folder, rows, copies=2, seed=3):
+    """Words taken of each document (one row an id) with one flow for all sources, and targets by source."""
     from pyspark.sql import functions as F
 
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    place = {r.doc_id: r.p for r in docs.select("doc_id", F.xxhash64(F.lit(seed), "doc_id", F.lit(seed + 1)).bitwiseAND((1 << 52) - 1).alias("p")).collect()}
+    size, own = {r[0]: len(words(r[1])) for r in rows}, {}
+    for r in rows:
+        own.setdefault(r[3], []).append(r[0])
+    total = {s: sum(size[i] for i in ids) for s, ids in own.items()}
+    target = mixing.shared_targets(total)
+    flow = mixing.route({(s,): total[s] for s in mixing.ordered(set(own))}, {s: round(t) for s, t in target.items()}, copies)
+    taken = Counter()
+    for s, ids in own.items():
+        order = pd.DataFrame({"id": sorted(ids, key=lambda i: place[i])})
+        order["size"] = order["id"].map(size)
+        for level in flow[(s,)]:
+            for i, got in zip(order["id"], mixing.draw(order, 0, [(0, level[s], 0)])):
+                taken[i] += size[i] if got == 0 else 0
+    return taken, target
+
+
+def test_any_number_of_sources(spark, table):
     rows = [(i, " ".join(["w"] * (1 + i * 37 % 50)), "en", None if i % 40 == 9 else f"s{i * i % 97}") for i in range(900)]
     folder = table(rows)
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
-    mixed, sources = mixing.mix(docs, F.array("source"))
-    routes = {r.id: len(r.routes) for r in mixed.collect()}
-    target = {r.source: r.target for r in sources.collect()}
-    monkeypatch.setattr(mixing, "MOST_PATTERNS", 10)
+    taken, target = drawn_by_hand(spark, folder, rows)
     got = QUERIES["op3_mixing"](spark, folder).collect()
-    assert len(got) == len(rows) and {r.doc_id: r.taken for r in got} == {r.doc_id: r.size * routes[r.doc_id] for r in got}
+    assert len(got) == len(rows) and {r.doc_id: r.taken for r in got} == {r[0]: taken[r[0]] for r in rows}
     assert all(r.target == pytest.approx(target[rows[r.doc_id][3]]) for r in got)
+
+
+def test_networks_are_solved_apart(spark, table):
+    from pyspark.sql import functions as F
+
+    rows = [(i, None if i % 50 == 7 else "w " * (1 + i % 3), "en", f"s{i % 6}") for i in range(600)]
+    docs = spark.read.parquet(f"{table(rows)}/documents.parquet")
+    # s0+s1 and s2+s3 overlap, s4 and s5 stand alone; some rows belong to no source.
+    pair = F.when(F.col("source").isin("s0", "s1"), F.array(F.lit("s0"), F.lit("s1"))).when(F.col("source").isin("s2", "s3"), F.array(F.lit("s3"), F.lit("s2")))
+    members = F.when(F.col("doc_id") % 11 == 0, F.lit(None)).when(F.col("doc_id") % 4 == 0, F.coalesce(pair, F.array("source"))).otherwise(F.array("source"))
+    goal = {"s0": 250, "s1": 30, "s2": 90, "s3": 300, "s4": 120, "s5": 1}
+    mixed, sources = mixing.mix(docs, members, lambda sizes: {s: float(goal[s]) for s in sizes})
+    got = mixed.collect()
+    capacity, sent = Counter(), Counter()
+    for r in got:
+        capacity[tuple(r.members)] += r.size
+        assert set(r.routes) <= set(r.members) and len(r.routes) <= 2 and (r.size or not r.routes)
+        for s in r.routes:
+            sent[s] += r.size
+    assert len(got) == 600 and set(capacity) == {(), ("s0",), ("s1",), ("s2",), ("s3",), ("s4",), ("s5",), ("s0", "s1"), ("s2", "s3")}
+    flow = mixing.route({p: n for p, n in sorted(capacity.items()) if p}, goal, 2)  # all networks at once
+    whole = {s: sum(level.get(s, 0) for levels in flow.values() for level in levels) for s in goal}
+    assert all(abs(sent[s] - whole[s]) <= 6 for s in goal), (sent, whole)
+    assert {r.source: r.target for r in sources.collect()} == {s: float(t) for s, t in goal.items()}
