@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
+import functools
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -113,6 +115,21 @@ def strings(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.string()), "")
 
 
+@functools.cache
+def _trim() -> Callable[[int], int]:
+    """The C library's ``malloc_trim``, where there is one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0)
+
+
+def give_back() -> None:
+    """Hand memory that is free but held by Arrow or the C library back to the system.
+
+    Spark keeps its Python workers from stage to stage; what they hold adds up on an executor.
+    """
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``limit`` bytes of text, one row at least."""
     if batch.num_rows == 0:
@@ -122,6 +139,7 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
     starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
     for a, b in zip(starts, np.r_[starts[1:], batch.num_rows]):
         yield batch.slice(a, b - a)
+    give_back()
 
 
 def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

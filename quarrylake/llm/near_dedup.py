@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import may_hold, slices, store, strings, words
+from .common import give_back, may_hold, slices, store, strings, words
 from .components import SALTS, components
 from .exact_dedup import located, on_files, only
 
@@ -172,6 +172,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
                 keep.append(may_link(*shared_of_union(x, y, k)))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], names=["a", "b"])
+        give_back()
 
     one = classes.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"))
     two = classes.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"))
@@ -192,6 +193,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, hundredths: int) -> DataFrame:
                 keep.append(100 * n >= hundredths * (len(both) - n))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], names=["a", "b"])
+        give_back()
 
     one = sets.select(F.col("id").alias("a"), F.col("hashes").alias("set_a"))
     two = sets.select(F.col("id").alias("b"), F.col("hashes").alias("set_b"))
@@ -310,6 +312,7 @@ def _in_blocks(members: DataFrame, sets: DataFrame, hundredths: int) -> DataFram
                 if u != v:
                     parent[max(u, v)] = min(u, v)
                     found.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+        give_back()
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return placed.groupBy("family", "band", "across", "i", "j").applyInPandas(meet, "a bigint, b bigint")
