@@ -25,18 +25,27 @@ SLICE_BYTES = 2 << 20
 _made: list[tuple[SparkSession, str]] = []
 
 
+#: Folders of our own by application, where the session names none.
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a folder of our own only where none is set."""
+    """The folder in ``spark.checkpoint.dir``; a folder of our own only where none is set.
+
+    The setting belongs to the context and cannot be changed in a session, so ours is only remembered here.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if spark.sparkContext.master.split("[")[0] == "local":
+    if base:
+        return base.rstrip("/")
+    application = spark.sparkContext.applicationId
+    if application not in _own:
+        if spark.sparkContext.master.split("[")[0] == "local":  # one machine
             own = tempfile.mkdtemp(prefix="quarrylake-")
             atexit.register(shutil.rmtree, own, ignore_errors=True)
-            base = f"file://{own}"
+            _own[application] = f"file://{own}"
         else:
-            base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+            _own[application] = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return _own[application]
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from .divergence import OP12_SQL, op12_source_divergence
 from .exact_dedup import OP1_SQL, op1_exact_dedup
+from .filter_audit import OP11_SQL, op11_filter_audit
 from .language_id import op2_language_id
+from .line_dedup import OP13_SQL, op13_line_dedup
 from .matroska import op8_matroska
 from .mixing import op3_mixing
 from .near_dedup import op7_near_dedup
@@ -24,8 +27,14 @@ QUERIES = {
     "op8_matroska": op8_matroska,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 SQL = {
     "op1_exact_dedup": OP1_SQL,
+    "op11_filter_audit": OP11_SQL,
+    "op12_source_divergence": OP12_SQL,
+    "op13_line_dedup": OP13_SQL,
 }
