@@ -18,7 +18,6 @@ gives an empty result.  Other columns are not read.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +38,8 @@ _LETTER[0x80:] = np.arange(0x80, 0x100)
 _LETTER[0x61:0x7B] = _LETTER[0x41:0x5B] = np.arange(0x61, 0x7B)
 
 COUNTS = "lang string, source string, term string, n bigint, docs bigint"
-#: Terms that a task gathers before it hands on their counts.
-HELD = 200_000
+#: Counts that a task gathers before it adds up those of one term, and that it keeps before it hands them on.
+GATHERED, HELD = 1_000_000, 500_000
 
 
 def terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -54,44 +53,49 @@ def terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(pa.array(full)), np.r_[0, np.cumsum(full)][ends - ends[0]]
 
 
+def _cells(part: pa.RecordBatch, places: dict[tuple[str, str], int]) -> pa.Table:
+    """Counts (group, term, n, docs) of a slice; ``places`` numbers the groups."""
+    flat, offsets = terms(strings(part.column("text")))
+    coded = flat.dictionary_encode()
+    code, width = coded.indices.to_numpy().astype(np.int64), max(1, len(coded.dictionary))
+    text = np.repeat(np.arange(part.num_rows), np.diff(offsets))
+    names = zip(strings(part.column("lang")).to_pylist(), strings(part.column("source")).to_pylist())
+    group = np.array([places.setdefault(g, len(places)) for g in names], np.int64)
+    own, n = np.unique(text * width + code, return_counts=True)  # a text's terms
+    cell, at = np.unique(group[own // width] * width + own % width, return_inverse=True)
+    return pa.table({
+        "group": pa.array(cell // width), "term": coded.dictionary.take(pa.array(cell % width)),
+        "n": pa.array(np.bincount(at, n, len(cell)).astype(np.int64)), "docs": pa.array(np.bincount(at, minlength=len(cell))),
+    })
+
+
 def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents of each (language, source, term) that a task sees, and a row for each group."""
-    held: dict[tuple[str, str], dict[str, list[int]]] = defaultdict(lambda: defaultdict(lambda: [0, 0]))
-    size = 0
+    places: dict[tuple[str, str], int] = {}
+    held: list[pa.Table] = []
+    names = [x.split()[0] for x in COUNTS.split(", ")]
+
+    def out(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        langs, sources = (pa.array([g[i] for g in places], pa.string()) for i in (0, 1))
+        for batch in table.to_batches(max_chunksize=100_000):
+            group = batch.column("group")
+            yield pa.RecordBatch.from_arrays([langs.take(group), sources.take(group), *(batch.column(c) for c in names[2:])], names=names)
 
-    def out() -> pa.RecordBatch:
-        rows = [(*group, term, *both) for group, own in held.items() for term, both in own.items()]
-        rows += [(*group, None, 0, 0) for group in held]
-        columns = list(zip(*rows)) if rows else [[]] * 5
-        kinds = [pa.string()] * 3 + [pa.int64()] * 2
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[x.split()[0] for x in COUNTS.split(", ")])
+    def added() -> pa.Table:
+        sums = pa.concat_tables(held).group_by(["group", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+        return sums.select(["group", "term", "n_sum", "docs_sum"]).rename_columns(["group", "term", "n", "docs"]).combine_chunks()
 
     for batch in batches:
         for part in slices(batch, "text"):
-            flat, offsets = terms(strings(part.column("text")))
-            coded = flat.dictionary_encode()
-            vocabulary, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-            text = np.repeat(np.arange(part.num_rows), np.diff(offsets))
-            langs, sources = strings(part.column("lang")).to_pylist(), strings(part.column("source")).to_pylist()
-            names = list(dict.fromkeys(zip(langs, sources)))
-            place = {g: k for k, g in enumerate(names)}
-            group = np.array([place[g] for g in zip(langs, sources)], np.int64)
-            width = max(1, len(vocabulary))
-            pairs, n = np.unique(text * width + code, return_counts=True)  # a text's own terms
-            cells, at = np.unique(group[pairs // width] * width + pairs % width, return_inverse=True)
-            total, docs = np.bincount(at, n, len(cells)).astype(np.int64), np.bincount(at, minlength=len(cells))
-            for g in names:
-                held[g]  # a group without terms
-            for cell, a, b in zip(cells.tolist(), total.tolist(), docs.tolist()):
-                both = held[names[cell // width]][vocabulary[cell % width]]
-                size += both[1] == 0
-                both[0] += a
-                both[1] += b
-            if size >= HELD:
-                yield out()
-                size = 0
-    yield out()
+            held.append(_cells(part, places))
+            if sum(map(len, held)) >= GATHERED:
+                held = [added()]
+                if len(held[0]) >= HELD:
+                    yield from out(held.pop())
+    if held:
+        yield from out(added())
+    marks = len(places)
+    yield from out(pa.table({"group": pa.array(range(marks), pa.int64()), "term": pa.nulls(marks, pa.string()), "n": pa.array([0] * marks, pa.int64()), "docs": pa.array([0] * marks, pa.int64())}))
 
 
 def share(count: str, total: str, kept: str) -> Column:
