@@ -24,7 +24,7 @@ def merge_current_state(
     """The target after a merge of ``source`` (one row for each key).
 
     A newer row replaces all columns but keeps the first sight; an older one can only lower the
-    first sight; a new key is inserted; an equal time changes nothing; nothing is deleted.
+    first sight (one that is null stays null); a new key is inserted; an equal time changes nothing; nothing is deleted.
     ``guarded`` columns are replaced only where the source's ``guard`` is true; on insert they take
     the source's values.  One full outer join on the key.
     """
@@ -39,8 +39,7 @@ def merge_current_state(
         if c == key:
             value = F.coalesce(old, got)
         elif c == first:
-            lower = F.coalesce(F.least(old, got), old)
-            value = F.when(new, got).when(newer, old).otherwise(lower)
+            value = F.when(new, got).when(~F.coalesce(newer, F.lit(False)) & (old > got), got).otherwise(old)
         elif c in guarded and guard:
             value = F.when(new, got).when(newer & F.col(f"s.{guard}"), got).otherwise(old)
         else:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.vocabulary import SOURCES
 from ..operators.merge import merge_postings
 from ..schemas import COMPANIES, POSTINGS, struct
+from ..sources.lake import Lake
 from ..sources.landing import boards, files_per_company, landed_files
 from ..sources.parsers import PARSERS
 from . import marts, quality
@@ -28,64 +29,6 @@ log = logging.getLogger(__name__)
 RUNS = "run_id string, model string, started_at timestamp, seconds double, status string, bytes_read bigint"
 
 
-@dataclass
-class Lake:
-    """Current-state tables under a root.
-
-    Each version of a table is a folder of its own, and one empty file in ``_versions`` declares it once
-    it is whole; the last one declared is current.  Files are only ever added, so a write that dies
-    at any point leaves the version before it in place.  The last ``keep`` versions are kept for readers.
-    """
-
-    spark: SparkSession
-    root: str
-    keep: int = 3
-
-    def _names(self, folder: str) -> list[str]:
-        place, files = self._at(folder)
-        return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
-
-    def _at(self, path: str):
-        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return place, place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def version(self, table: str) -> str | None:
-        """The current version's folder; None if there has been none.  Whole versions that nothing declares are an error."""
-        declared = [n for n in self._names(f"{self.root}/{table}/_versions") if n.startswith("v-")]
-        if declared:
-            return f"{self.root}/{table}/{declared[-1]}"
-        if any(self._names(f"{self.root}/{table}/{n}/_SUCCESS") for n in self._names(f"{self.root}/{table}") if n.startswith("v-")):
-            raise RuntimeError(f"table {table} has versions but none is declared current")
-        return None
-
-    def read(self, table: str, schema: str) -> DataFrame:
-        path = self.version(table)
-        return self.spark.read.schema(struct(schema)).parquet(path) if path else self.spark.createDataFrame([], struct(schema))
-
-    def write(self, table: str, df: DataFrame) -> DataFrame:
-        first = self.version(table) is None
-        name = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(f"{self.root}/{table}/{'.' if first else ''}{name}")
-        if first:  # nothing is declared yet, so the folder gets its name only when it is whole
-            place, files = self._at(f"{self.root}/{table}/.{name}")
-            self._declare(table, name)
-            files.rename(place, self._at(f"{self.root}/{table}/{name}")[0])
-        else:
-            self._declare(table, name)
-        for old in [n for n in self._names(f"{self.root}/{table}/_versions") if n.startswith("v-")][: -self.keep]:
-            for path in (f"{self.root}/{table}/_versions/{old}", f"{self.root}/{table}/{old}"):
-                place, files = self._at(path)
-                files.delete(place, True)
-        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{table}/{name}")
-
-    def _declare(self, table: str, name: str) -> None:
-        place, files = self._at(f"{self.root}/{table}/_versions/{name}")
-        files.create(place, False).close()
-
-    def append(self, table: str, df: DataFrame) -> None:
-        df.write.mode("append").parquet(f"{self.root}/{table}")
-
-
 def load_day(lake: Lake, landing: str, source: str, date: str, exact_files: int | None = None, failed: set[str] | None = None) -> dict[str, str]:
     """Check that the registered boards have landed, parse a day's files, replace the incoming table, merge it, and check both.
 
@@ -104,11 +47,12 @@ def load_day(lake: Lake, landing: str, source: str, date: str, exact_files: int
         if verdict == quality.ERROR:
             return landed
     incoming_ = lake.write(f"{source}_postings_incoming", PARSERS[source](files))
-    table = lake.write(f"{source}_postings", merge_postings(source, lake.read(f"{source}_postings", POSTINGS[source]), incoming_))
-    verdicts = quality.load_verdicts(incoming_, table, exact_files if exact_files is not None else files.count(), exact_files is not None)
-    for r in quality.posting_fill_rates(table).collect():  # one row a column
+    done = lake.upsert(f"{source}_postings", POSTINGS[source], incoming_, lambda target, rows: merge_postings(source, target, rows))
+    # Keys of other buckets cannot be the day's, so the rewritten buckets tell whether the merge was applied.
+    verdicts = quality.load_verdicts(incoming_, done.written, exact_files if exact_files is not None else files.count(), exact_files is not None)
+    for r in quality.posting_fill_rates(done.table).collect():  # one row a column
         log.info("%s.%s is filled to %s %%", source, r["column_name"], r["fill_percent"])
-    return landed | verdicts | {"freshness": quality.freshness(table, datetime.now(timezone.utc)).first()["status"]}
+    return landed | verdicts | {"freshness": quality.freshness(done.table, datetime.now(timezone.utc)).first()["status"]}
 
 
 @dataclass

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import path_piece
 from ..operators.merge import merge_postings
-from ..plans.runner import Lake
+from ..sources.lake import Lake
 from ..schemas import POSTINGS
 from ..sources.parsers import PARSERS
 
@@ -32,7 +32,10 @@ def merge_arrivals(lake: Lake, landing: str, source: str, checkpoint: str, files
     )
 
     def merge(batch: DataFrame, number: int) -> None:
-        table = f"{source}_postings"
-        lake.write(table, merge_postings(source, lake.read(table, POSTINGS[source]), PARSERS[source](batch)))
+        rows = PARSERS[source](batch).persist()
+        try:
+            lake.upsert(f"{source}_postings", POSTINGS[source], rows, lambda target, new: merge_postings(source, target, new))
+        finally:
+            rows.unpersist()
 
     return files.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -209,23 +209,6 @@ def test_nightly_run_and_models(spark, lake, words):
         table.collect()
 
 
-def test_a_write_that_dies_leaves_the_table(spark, tmp_path, monkeypatch):
-    tables = Lake(spark, f"file://{tmp_path}/t", keep=2)
-    rows = lambda n: spark.range(n)
-    for n in (1, 2, 3, 4):
-        tables.write("x", rows(n))
-    assert tables.read("x", "id bigint").count() == 4 and len(tables._names(f"{tables.root}/x/_versions")) >= 2
-    monkeypatch.setattr(Lake, "_declare", lambda *a: 1 / 0)  # dies between the data and the declaration
-    for table, n in (("x", 4), ("new", 0)):
-        with pytest.raises(ZeroDivisionError):
-            tables.write(table, rows(9))
-        assert tables.read(table, "id bigint").count() == n
-    place, files = tables._at(f"{tables.root}/x/_versions")
-    files.delete(place, True)
-    with pytest.raises(RuntimeError, match="none is declared"):
-        tables.read("x", "id bigint")
-
-
 @pytest.mark.parametrize("source, body", [("workable", "<html>502</html>"), ("workable", '{"account": {"jobs": [{"shortcode"'), ("workable", ""), ("teamtailor", TEAMTAILOR[:-60]), ("teamtailor", "<html/>"), ("lever", "oops")])
 def test_payloads_that_cannot_be_read_stop_the_load(spark, source, body):
     with pytest.raises(Exception):
