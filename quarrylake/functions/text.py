@@ -36,10 +36,39 @@ def trim_all(c: Column) -> Column:
     return F.regexp_replace(c, f"^{UNICODE_SPACE}+|{UNICODE_SPACE}+$", "")
 
 
+#: So many are replaced one by one: the first two may join what stands around them to another entity, the next fill escaped HTML.
+_ONE_BY_ONE = 8
+_RARE = {name[1:-1]: char for name, char in ENTITIES[_ONE_BY_ONE:]}
+_LONGEST = max(map(len, _RARE)) + 1
+
+
+def decoded(c: Column) -> Column:
+    """Entities become their characters, as if replaced one after the other and the ampersand last.
+
+    Texts that hold a rare entity are cut at their ampersands; a piece that begins with a known name and a
+    semicolon gives the name's character.  So no text is read once for each entity there is to know.
+    """
+    usual = reduce(lambda e, pair: F.replace(e, F.lit(pair[0]), F.lit(pair[1])), ENTITIES[:_ONE_BY_ONE], c)
+    known = F.create_map(*[F.lit(x) for pair in _RARE.items() for x in pair])
+
+    def piece(p: Column) -> Column:
+        end = F.locate(";", F.substring(p, 1, _LONGEST))
+        char = F.when(end > 1, F.try_element_at(known, F.substring(p, F.lit(1), end - 1)))
+        return F.coalesce(F.concat(char, F.substring(p, end + 1, F.length(p))), F.concat(F.lit("&"), p))
+
+    def whole(text: Column) -> Column:
+        pieces = F.split(text, "&", -1)
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), piece), ""))
+
+    rare = "&(?:" + "|".join(_RARE) + ");"
+    # The array binds the text, which is used more than once, so that it is made once.
+    bound = F.transform(F.array(usual), lambda text: F.when(F.rlike(text, F.lit(rare)), whole(text)).otherwise(text))
+    return F.replace(F.get(bound, F.lit(0)), F.lit("&amp;"), F.lit("&"))
+
+
 def html_to_text(c: Column) -> Column:
-    """Tags become spaces, entities their characters (the ampersand last), space is collapsed and trimmed."""
-    bare = F.regexp_replace(c, "<[^>]+>", " ")
-    plain = reduce(lambda e, pair: F.replace(e, F.lit(pair[0]), F.lit(pair[1])), [*ENTITIES, ("&amp;", "&")], bare)
+    """Tags become spaces, entities their characters, space is collapsed and trimmed."""
+    plain = decoded(F.regexp_replace(c, "<[^>]+>", " "))
     return trim_all(F.regexp_replace(plain, ASCII_SPACE + "+", " "))
 
 
