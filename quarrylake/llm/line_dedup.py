@@ -220,7 +220,8 @@ def without(content: DataFrame, lost: DataFrame, keep_text: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["_file", "_row", "n_dropped", "sha", "text"])
 
     texts = may_hold(content.select("_file", "_row", "text"), lost, "_file", "_row")
-    return texts.join(lost, ["_file", "_row"]).mapInArrow(cut, DROPPED)
+    # Sorted and merged at every size, so that cost follows the input; rows spill.
+    return texts.join(lost.hint("merge"), ["_file", "_row"]).mapInArrow(cut, DROPPED)
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", most_bits: int = MOST_BITS, keep_text: bool = False) -> DataFrame:
