@@ -67,11 +67,11 @@ def per_source(fact: DataFrame) -> DataFrame:
     return found.withColumn("description_fill", percent(F.col("with_description"), F.col("open_postings"))).orderBy(F.desc("open_postings"), "source")
 
 
-def daily_reads(runs: DataFrame, days: int = 21) -> DataFrame:
-    """GiB and jobs by day from the runner's own metrics (started_at, bytes_read)."""
-    recent = runs.where(F.col("started_at") >= F.current_timestamp() - F.make_dt_interval(F.lit(days)))
+def daily_reads(jobs: DataFrame, days: int = 21) -> DataFrame:
+    """GiB and jobs by day, from jobs with their start and bytes (``sources.eventlog.jobs``)."""
+    recent = jobs.where(F.col("started_at") >= F.current_timestamp() - F.make_dt_interval(F.lit(days)))
     return recent.groupBy(F.to_date("started_at").alias("day")).agg(gibibytes(F.sum("bytes_read")).alias("gb_read"), F.count(F.lit(1)).alias("jobs")).orderBy("day")
 
 
-def month_reads(runs: DataFrame) -> DataFrame:
-    return runs.where(F.to_date("started_at") >= F.trunc(F.current_date(), "MONTH")).agg(gibibytes(F.sum("bytes_read")).alias("gb"))
+def month_reads(jobs: DataFrame) -> DataFrame:
+    return jobs.where(F.to_date("started_at") >= F.trunc(F.current_date(), "MONTH")).agg(gibibytes(F.sum("bytes_read")).alias("gb"))

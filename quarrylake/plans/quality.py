@@ -95,20 +95,33 @@ def staging_checks(source: str, staged: DataFrame, seeds: dict[str, DataFrame])
     return checks
 
 
-def mart_checks(postings: DataFrame, countries: DataFrame, fact: DataFrame, remote: DataFrame) -> list[Check]:
+def union_checks(postings: DataFrame) -> list[Check]:
     return [
         Check("posting_key not null", lambda: not_null(postings, "posting_key")),
         Check("posting_key unique", lambda: unique(postings, "posting_key")),
         Check("workplace_type accepted", lambda: accepted(postings, "workplace_type", v.WORKPLACES)),
         Check("source accepted", lambda: accepted(postings, "source", v.SOURCES)),
+    ]
+
+
+def country_checks(countries: DataFrame) -> list[Check]:
+    return [
         Check("country unique", lambda: unique(countries, "country_code")),
         Check("business region accepted", lambda: accepted(countries, "business_region", v.BUSINESS_REGIONS)),
+    ]
+
+
+def fact_checks(fact: DataFrame, countries: DataFrame) -> list[Check]:
+    return [
         Check("country related", lambda: unrelated(fact, "country_key", countries, "country_code")),
         Check("is_open not null", lambda: not_null(fact, "is_open")),
-        Check("remote unique", lambda: unique(remote, "posting_key")),
     ]
 
 
+def remote_checks(remote: DataFrame) -> list[Check]:
+    return [Check("remote unique", lambda: unique(remote, "posting_key"))]
+
+
 def run_checks(checks: Iterable[Check]) -> dict[str, str]:
     """Results by name: pass, warn or error.  One violation is looked for, not all are counted."""
     results = {c.name: "pass" if c.violations().isEmpty() else c.severity for c in checks}

@@ -1,8 +1,7 @@
-"""Running the plans: a day's load of each source, then the models in order, with their tests.
+"""Running the plans: a day's load of each source, then the graph of models with their tests.
 
-Models are functions from DataFrames to DataFrames.  Staging and union stay lazy (views); only marts
-are written, each to a new folder that then becomes current, so a table is never read while it is
-overwritten.  A source that fails does not hold up the others or the models.
+Staging and union stay lazy (views); only marts are written, each as a new version of its table, so a table
+is never read while it is overwritten.  A source that fails does not hold up the others or the models.
 """
 
 from __future__ import annotations
@@ -11,10 +10,9 @@ import logging
 import time
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from ..functions.vocabulary import SOURCES
 from ..operators.merge import merge_postings
@@ -23,10 +21,12 @@ from ..sources.lake import Lake
 from ..sources.landing import boards, files_per_company, landed_files
 from ..sources.parsers import PARSERS
 from . import marts, quality
+from .graph import Model, Outcome, run_models
+from .staging import READS as STAGING_READS
 from .staging import STAGING
 
 log = logging.getLogger(__name__)
-RUNS = "run_id string, model string, started_at timestamp, seconds double, status string, bytes_read bigint"
+RUNS = "run_id string, model string, started_at timestamp, seconds double, status string"
 
 
 def load_day(lake: Lake, landing: str, source: str, date: str, exact_files: int | None = None, failed: set[str] | None = None) -> dict[str, str]:
@@ -55,32 +55,41 @@ def load_day(lake: Lake, landing: str, source: str, date: str, exact_files: int
     return landed | verdicts | {"freshness": quality.freshness(done.table, datetime.now(timezone.utc)).first()["status"]}
 
 
-@dataclass
-class Built:
-    staged: dict[str, DataFrame]
-    postings: DataFrame
-    countries: DataFrame
-    fact: DataFrame
-    remote: DataFrame
-    checks: dict[str, str] = field(default_factory=dict)
-
-
-def build(lake: Lake, seeds: dict[str, DataFrame], companies: DataFrame | None = None) -> Built:
-    """All models over the current state.  An error of a model's tests stops what follows it."""
+def model_graph(lake: Lake, seeds: dict[str, DataFrame]) -> list[Model]:
+    """All models: seeds, a staging model for each publisher, the union, the star and the serving table."""
+    tested = {c.name.removesuffix(" key"): c for c in quality.seed_checks(seeds)}
+    models = [Model(n, lambda f, df=df: df, checks=lambda f, n=n: [tested[n]] if n in tested else []) for n, df in seeds.items()]
+    for s in SOURCES:
+        models.append(Model(
+            f"stg_{s}", lambda f, s=s: STAGING[s](lake.read(f"{s}_postings", POSTINGS[s]), f), STAGING_READS[s],
+            lambda f, s=s: quality.staging_checks(s, f[f"stg_{s}"], f),
+        ))
+    return [
+        *models,
+        Model(
+            "postings_unioned", lambda f: marts.postings_unioned({s: f[f"stg_{s}"] for s in SOURCES}, f["companies"]),
+            (*(f"stg_{s}" for s in SOURCES), "companies"), lambda f: quality.union_checks(f["postings_unioned"]),
+        ),
+        Model("dim_country", lambda f: marts.dim_country(f["countries"]), ("countries",), lambda f: quality.country_checks(f["dim_country"]), stored=True),
+        Model(
+            "fct_job_postings", lambda f: marts.fct_job_postings(f["postings_unioned"]), ("postings_unioned", "dim_country"),
+            lambda f: quality.fact_checks(f["fct_job_postings"], f["dim_country"]), stored=True,
+        ),
+        Model(
+            "remote_jobs", lambda f: marts.remote_jobs(f["fct_job_postings"], f["dim_country"]), ("fct_job_postings", "dim_country"),
+            lambda f: quality.remote_checks(f["remote_jobs"]), stored=True,
+        ),
+    ]
+
+
+def build(lake: Lake, seeds: dict[str, DataFrame], companies: DataFrame | None = None) -> Outcome:
+    """All models over the current state that can be built; a failed test stops what reads the model, and is raised at the end."""
     companies = companies if companies is not None else lake.read("companies", COMPANIES)
-    checks = quality.run_checks(quality.seed_checks(seeds))
-    _stop_on_error(checks)
-    staged = {s: STAGING[s](lake.read(f"{s}_postings", POSTINGS[s]), seeds) for s in SOURCES}
-    for source, df in staged.items():
-        checks |= quality.run_checks(quality.staging_checks(source, df, seeds))
-    _stop_on_error(checks)
-    postings = marts.postings_unioned(staged, companies)
-    countries = lake.write("dim_country", marts.dim_country(seeds["countries"]))
-    fact = lake.write("fct_job_postings", marts.fct_job_postings(postings))
-    remote = lake.write("remote_jobs", marts.remote_jobs(fact, countries))
-    checks |= quality.run_checks(quality.mart_checks(postings, countries, fact, remote))
-    _stop_on_error(checks)
-    return Built(staged, postings, countries, fact, remote, checks)
+    out = run_models(lake, model_graph(lake, seeds), {"companies": companies})
+    if out.failed:
+        _stop_on_error(out.checks)
+        raise ValueError(f"failed models: {', '.join(out.failed)}")
+    return out
 
 
 def _stop_on_error(checks: dict[str, str]) -> None:
@@ -90,17 +99,25 @@ def _stop_on_error(checks: dict[str, str]) -> None:
 
 
 def run_all(lake: Lake, steps: dict[str, Callable[[], object]]) -> dict[str, str]:
-    """Run steps one by one; note how each went and go on.  Their metrics are appended to ``runs``."""
+    """Run steps one by one; note how each went and go on.  They are appended to ``runs``.
+
+    A step's Spark jobs carry ``run/step`` as their group, by which event logs tell what it has read.
+    """
     run, rows, results = uuid.uuid4().hex, [], {}
+    context = lake.spark.sparkContext
     for name, step in steps.items():
-        began, at, before = time.monotonic(), datetime.now(timezone.utc), bytes_read(lake.spark)
+        began, at = time.monotonic(), datetime.now(timezone.utc)
+        context.setJobGroup(f"{run}/{name}", name)
         try:
             step()
             results[name] = "pass"
         except Exception as fault:  # one source's fault must not hold up the rest
             log.exception("step %s failed", name)
             results[name] = f"error: {fault}"[:500]
-        rows.append((run, name, at, time.monotonic() - began, results[name][:5], bytes_read(lake.spark) - before))
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+            context.setLocalProperty("spark.job.description", None)
+        rows.append((run, name, at, time.monotonic() - began, results[name][:5]))
     lake.append("runs", lake.spark.createDataFrame(rows, RUNS))
     return results
 
@@ -113,10 +130,3 @@ def nightly(lake: Lake, landing: str, date: str, seeds: dict[str, DataFrame]) ->
 
 def _raise_on_error(verdicts: dict[str, str]) -> None:
     _stop_on_error(verdicts)
-
-
-def bytes_read(spark: SparkSession) -> int:
-    """Bytes that the session's executors have read from files so far."""
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
-    return sum(executors.apply(i).totalInputBytes() for i in range(executors.size()))

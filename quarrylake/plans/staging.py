@@ -131,3 +131,10 @@ def workable(raw: DataFrame, seeds: Seeds) -> DataFrame:
 STAGING = {
     "greenhouse": greenhouse, "lever": lever, "ashby": ashby, "recruitee": recruitee, "teamtailor": teamtailor, "workable": workable,
 }
+#: The seeds that each model reads.
+READS = {
+    "greenhouse": ("country_codes", "us_states"), "lever": ("workplace_type_map", "salary_interval_map"),
+    "ashby": ("workplace_type_map", "salary_interval_map", "employment_type_map", "country_codes"),
+    "recruitee": ("salary_interval_map", "employment_type_map", "country_codes"), "teamtailor": ("workplace_type_map", "country_codes"),
+    "workable": ("workplace_type_map", "salary_interval_map", "employment_type_map", "country_codes"),
+}

@@ -98,7 +98,7 @@ class Lake:
         place, files = self._at(folder)
         return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
 
-    def _delete(self, path: str) -> None:
+    def delete(self, path: str) -> None:
         place, files = self._at(path)
         files.delete(place, True)
 
@@ -151,9 +151,9 @@ class Lake:
         dead = {f for n in old for f in self._commit(table, n).files} - live
         folders = {f.split("/")[0] for f in live}
         for gone in {f if f.split("/")[0] in folders else f.split("/")[0] for f in dead}:
-            self._delete(f"{self._data(table)}/{gone}")
+            self.delete(f"{self._data(table)}/{gone}")
         for n in old:
-            self._delete(f"{self.root}/{table}/_log/{n:020d}.json")
+            self.delete(f"{self.root}/{table}/_log/{n:020d}.json")
 
     # Reading
 
@@ -237,7 +237,7 @@ class Lake:
                 self._tidy(table)
                 return Upserted(self._files(table, done.files, fields), self._files(table, made, fields), tuple(sorted(touched)), buckets)
             for folder in {f.split("/")[0] for f in made}:
-                self._delete(f"{self._data(table)}/{folder}")
+                self.delete(f"{self._data(table)}/{folder}")
         raise Conflict(table)
 
     def _join_history(self, table: str, base: Commit | None, made: tuple[str, ...], key: str, buckets: int, changed: tuple[int, ...] | None) -> Commit | None:

@@ -135,15 +135,54 @@ def recruitee(files: DataFrame) -> DataFrame:
     )
 
 
+#: One token of a feed: a section whose text is no markup, a comment, an instruction, a declaration, a tag, or text.
+FEED_TOKEN = (
+    r"(?s)(<!\[CDATA\[.*?\]\]>|<!--.*?-->|<\?.*?\?>|<![A-Za-z][^>]*>"
+    r"|</?[^!?/>\"'\s][^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*>|[^<]+|<)"
+)
+
+
+def feed_items(files: DataFrame) -> DataFrame:
+    """One row for each item of a channel, its text as ``raw``; a feed that is not whole stops the load.
+
+    The feed is read as tokens, so that markup inside a CDATA section or a comment is never a tag.  A fold
+    over the tags keeps the depth: an item is what lies right below a channel that lies right below the root.
+    """
+    tokens = files.select("company_slug", "landed_at", F.regexp_extract_all("content", F.lit(FEED_TOKEN), F.lit(1)).alias("token"))
+
+    def tag(t: Column, i: Column) -> Column:
+        step = F.when(t == "<", 9).when(~t.rlike("^<[^!?]"), 8).when(t.startswith("</"), -1).when(t.endswith("/>"), 0).otherwise(1)
+        return F.struct(i.alias("i"), step.alias("step"), F.regexp_extract(t, r"^</?([^\s/>]+)", 1).alias("name"))
+
+    tags = tokens.withColumn("tag", F.filter(F.transform("token", tag), lambda x: x["step"] != 8))
+    start = F.expr("named_struct('depth', 0, 'channel', false, 'channels', 0, 'from', 0, 'found', cast(array() AS array<struct<a:int,b:int>>))")
+
+    def step(acc: Column, x: Column) -> Column:
+        d, opens, ends = acc["depth"], x["step"] >= 0, x["step"] <= 0
+        below = F.when(x["step"] == -1, d - 1).otherwise(d)  # the depth at which the tag's element lies
+        channel = (below == 1) & (x["name"] == "channel")
+        item = (below == 2) & acc["channel"] & (x["name"] == "item")
+        begin = F.when(item & opens, x["i"]).otherwise(acc["from"])
+        found = F.when(item & ends, F.array_append(acc["found"], F.struct(begin.alias("a"), x["i"].alias("b")))).otherwise(acc["found"])
+        depth = F.when((d < 0) | (x["step"] == 9), F.lit(-1)).otherwise(d + x["step"])
+        inside = F.when(channel, x["step"] == 1).otherwise(acc["channel"])
+        return F.struct(
+            depth.alias("depth"), inside.alias("channel"), (acc["channels"] + F.when(channel & opens, 1).otherwise(0)).alias("channels"),
+            begin.alias("from"), found.alias("found"),
+        )
+
+    read = tags.withColumn("read", F.aggregate("tag", start, step))
+    whole = (F.col("read.depth") == 0) & (F.col("read.channels") > 0)
+    spans = F.when(F.coalesce(whole, F.lit(False)), F.col("read.found")).otherwise(F.raise_error(F.lit("the feed has no whole channel")))
+    item = lambda x: F.array_join(F.slice("token", x["a"] + 1, x["b"] - x["a"] + 1), "")
+    return read.withColumn("span", spans).select("company_slug", "landed_at", F.explode(F.transform("span", item)).alias("raw"))
+
+
 def teamtailor(files: DataFrame) -> DataFrame:
     """RSS: each item's own text keeps its prefixes; an empty element is null."""
-    whole = F.contains("content", F.lit("<channel")) & F.coalesce(F.rlike("content", F.lit(r"</channel>|<channel\s*/>")), F.lit(False))
-    channel = F.when(F.coalesce(whole, F.lit(False)), F.col("content")).otherwise(F.raise_error(F.lit("the feed has no whole channel")))
-    raw = files.withColumn("feed", channel).select(
-        "company_slug", "landed_at", F.explode(F.regexp_extract_all("feed", F.lit(r"(?s)(<item\b[^>]*>.*?</item>)"), F.lit(1))).alias("raw")
-    )
     # The parser needs no declared namespace for prefixed names.
-    rows = raw.withColumn("x", F.from_xml("raw", TEAMTAILOR, {"rowTag": "item"}))
+    options = {"rowTag": "item", "ignoreSurroundingSpaces": "false"}
+    rows = feed_items(files).withColumn("x", F.from_xml("raw", TEAMTAILOR, options))
     here = match_else_first(F.col("x")["tt:locations"]["tt:location"], lambda c: c["tt:country"].isin("Brazil", "Brasil"))
     rows = rows.withColumn("here", here)
 

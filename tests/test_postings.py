@@ -224,7 +224,7 @@ def test_a_missing_board_is_an_error_in_the_nightly_run(spark, lake, words, tmp_
     assert "files" in results["lever"] and results["lever"].startswith("error")
     assert load_day(tables, landed, "lever", "2026-10-06", failed={"gone", "lost"})["files"] == "warn"
     assert load_day(tables, landed, "ashby", "2026-10-06")["files"] == "pass"
-    assert spark.read.parquet(f"{tables.root}/runs").where("bytes_read > 0").count() > 0
+    assert spark.read.parquet(f"{tables.root}/runs").count() == len(PARSERS) + 1
 
 
 def test_a_failed_source_does_not_stop_the_rest(spark, lake, words):
@@ -233,8 +233,8 @@ def test_a_failed_source_does_not_stop_the_rest(spark, lake, words):
     assert all(r.startswith("error") for s, r in results.items() if s in PARSERS)
     done = run_all(tables, {"bad": lambda: 1 / 0, "good": lambda: None})
     assert done["good"] == "pass" and done["bad"].startswith("error")
-    runs = spark.read.parquet(f"{tables.root}/runs").withColumn("bytes_read", F.lit(1 << 30))
-    assert analytics.daily_reads(runs).first().gb_read >= 2.0 and analytics.month_reads(runs).first().gb >= 2.0
+    runs = spark.read.parquet(f"{tables.root}/runs")
+    assert {r.status for r in runs.where("model = 'good'").collect()} == {"pass"} and {r.status for r in runs.where("model = 'bad'").collect()} == {"error"}
 
 
 def test_open_means_seen_on_the_sources_last_day(spark):
