@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
@@ -15,6 +16,9 @@ from .functions import vocabulary as voc
 from .operators import lookups, profile
 from .operators.merge import latest_per_key, merge_current_state
 from .plans import analytics, quality
+from .plans.staging import STAGING
+from .sources import seeds
+from .sources.lake import Lake
 from .sources.landing import files_per_company, to_fetch
 from .sources.parsers import PARSERS
 
@@ -167,12 +171,14 @@ def assemble_sections(d):
 
 
 @query("""SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(user_id AS VARCHAR) AS nested,
-          CAST(NULL AS VARCHAR) AS an_object, CAST(NULL AS VARCHAR) AS absent FROM events""")
+          CASE WHEN event_id % 3 = 0 THEN CAST(event_id AS VARCHAR) END AS sometimes_object, CASE WHEN event_id % 5 = 0 THEN event_type END AS sometimes_absent FROM events""")
 def json_scalar(d):
     js = F.to_json(F.struct(F.struct(F.col("user_id").alias("b")).alias("a")))
+    mixed = F.when(F.col("event_id") % 3 == 0, F.to_json(named(a=F.col("event_id")))).otherwise(js)
+    absent = F.to_json(named(c=F.when(F.col("event_id") % 5 == 0, F.col("event_type"))))
     return d.events.select(
         "event_id", val.json_scalar(F.col("props"), "$.k").alias("k"), val.json_scalar(js, "$.a.b").alias("nested"),
-        val.json_scalar(js, "$.a").alias("an_object"), val.json_scalar(js, "$.c").alias("absent"),
+        val.json_scalar(mixed, "$.a").alias("sometimes_object"), val.json_scalar(absent, "$.c").alias("sometimes_absent"),
     )
 
 
@@ -555,14 +561,14 @@ def parse_bare_array(d):
 
 
 @query("""SELECT c_custkey AS id, c_name AS title, c_mktsegment AS location, CASE WHEN c_custkey % 2 = 0 THEN 'D' || c_nationkey END AS department,
-          '2026-01-' || lpad(CAST(1 + c_custkey % 28 AS VARCHAR), 2, '0') || ' 04:00' AS updated, length(c_name) > 0 AS has_raw FROM customer""")
+          '2026-01-' || lpad(CAST(1 + c_custkey % 28 AS VARCHAR), 2, '0') || ' 04:00' AS updated, c_name AS raw_title FROM customer""")
 def parse_wrapped_array(d):
     key = F.col("c_custkey")
     day = F.lpad((1 + key % 28).cast("string"), 2, "0")
     offices = F.when(key % 2 == 0, F.array(named(name=F.concat(F.lit("D"), F.col("c_nationkey").cast("string"))), named(name=F.lit("other")))).otherwise(F.array().cast("array<struct<name:string>>"))
     item = named(id=key, title=F.col("c_name"), location=named(name=F.col("c_mktsegment")), departments=offices, updated_at=F.concat(F.lit("2026-01-"), day, F.lit("T00:00:00-04:00")))
     rows = PARSERS["greenhouse"](payload_files(d, item, lambda items: F.to_json(named(jobs=items))))
-    return rows.select("id", "title", "location", "department", val.minute_text(F.col("updated_at")).alias("updated"), F.contains("raw", F.to_json(named(x=F.col("title"))).substr(6, 4)).alias("has_raw"))
+    return rows.select("id", "title", "location", "department", val.minute_text(F.col("updated_at")).alias("updated"), val.json_scalar(F.col("raw"), "$.title").alias("raw_title"))
 
 
 @query("""SELECT 'a' || c_custkey AS id, c_name AS title, CASE WHEN c_custkey % 4 = 1 THEN CAST(c_acctbal AS DECIMAL(38,9)) END AS salary_min,
@@ -593,15 +599,19 @@ def parse_translations(d):
 
 @query("""SELECT 't' || c_custkey AS id, c_name AS title, CASE WHEN c_custkey % 2 = 0 THEN 'B' || c_nationkey ELSE 'A' || c_nationkey END AS city,
           CASE WHEN c_custkey % 2 = 0 THEN 'Brasil' ELSE 'Portugal' END AS country, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS role,
-          '<b>' || c_mktsegment || '</b>' AS content, '2026-09-30 07:36' AS published FROM customer""")
+          '<b>' || c_mktsegment || CASE WHEN c_custkey % 5 = 0 THEN '</item><item>' ELSE '</b>' END AS content,
+          '2026-09-' || lpad(CAST(1 + c_custkey % 28 AS VARCHAR), 2, '0') || ' 07:36' AS published FROM customer""")
 def parse_feed(d):
     key = F.col("c_custkey")
     nation = F.col("c_nationkey").cast("string")
     place = lambda city, country: F.concat(F.lit("<tt:location><tt:city>"), city, F.lit("</tt:city><tt:country>"), F.lit(country), F.lit("</tt:country></tt:location>"))
     second = F.when(key % 2 == 0, place(F.concat(F.lit("B"), nation), "Brasil")).otherwise("")
     role = F.when(key % 3 > 0, F.concat(F.lit("<tt:role>"), "c_mktsegment", F.lit("</tt:role>"))).otherwise("<tt:role/>")
+    escaped = F.concat(F.lit("&lt;b&gt;"), "c_mktsegment", F.lit("&lt;/b&gt;"))
+    section = F.concat(F.lit("<![CDATA[<b>"), "c_mktsegment", F.lit("</item><item>]]>"))  # no tags, though they look like some
     item = F.concat(
-        F.lit("<item><title>"), "c_name", F.lit("</title><description>&lt;b&gt;"), "c_mktsegment", F.lit("&lt;/b&gt;</description><pubDate>Wed, 30 Sep 2026 09:36:12 +0200</pubDate><guid>t"),
+        F.lit("<item><title>"), "c_name", F.lit("</title><!-- </item> --><description>"), F.when(key % 5 == 0, section).otherwise(escaped),
+        F.lit("</description><pubDate>"), F.lpad((1 + key % 28).cast("string"), 2, "0"), F.lit(" Sep 2026 09:36:12 +0200</pubDate><guid>t"),
         key.cast("string"), F.lit("</guid><tt:locations>"), place(F.concat(F.lit("A"), nation), "Portugal"), second, F.lit("</tt:locations>"), role, F.lit("</item>"),
     )
     feed = lambda items: F.concat(F.lit("<?xml version='1.0'?><rss xmlns:tt='x'><channel>"), F.array_join(items, "\n"), F.lit("</channel></rss>"))
@@ -680,6 +690,178 @@ def parse_iso_times(d):
     return d.events.select("event_id", val.minute_text(val.from_iso(iso)).alias("from_iso"))
 
 
-@query("SELECT doc_id, CASE WHEN regexp_matches(lower(text), 'remote') THEN 'remote' ELSE 'unknown' END AS workplace FROM documents")
+@query("""SELECT c_custkey, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_custkey % 3 = 0 THEN 'remote' ELSE 'unknown' END AS workplace FROM customer""")
 def workplace_from_text(d):
-    return d.documents.select("doc_id", voc.workplace_from_text(F.col("text")).alias("workplace"))
+    word = F.when(F.col("c_mktsegment") == "BUILDING", " (REMOTE)").when(F.col("c_mktsegment") == "MACHINERY", ", fully remote").otherwise(" rem ote")
+    return d.customer.select("c_custkey", voc.workplace_from_text(F.concat("c_name", F.when(F.col("c_custkey") % 3 == 0, word).otherwise(""))).alias("workplace"))
+
+
+# Staging models: payloads that are made of the tables, parsed and translated
+
+STAGE_CODES = [("Portugal", "PT"), ("Brazil", "BR"), ("Anywhere", None)]
+
+
+def stage_seeds(d: Tables) -> dict[str, DataFrame]:
+    codes = d.rows(STAGE_CODES, "country_raw string, country_code string")
+    tables = {"workplace_type": voc.WORKPLACE_TYPES, "salary_interval": voc.SALARY_INTERVALS, "employment_type": voc.EMPLOYMENT_TYPES}
+    words = {f"{c}_map": voc.mapping(d.spark, rows, f"{c}_raw", c) for c, rows in tables.items()}
+    return words | {"country_codes": codes, "us_states": voc.us_states(d.spark)}
+
+
+def choice(key: Column, *values: str | None) -> Column:
+    """One of the values by the key, in turn."""
+    return F.get(F.array(*[F.lit(v) for v in values]), (key % len(values)).cast("int"))
+
+
+def choice_sql(*values: str | None) -> str:
+    return "CASE c_custkey % " + str(len(values)) + " " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values) if v is not None) + " END"
+
+
+@query(f"""SELECT 'c' || c_custkey AS source_job_id, {choice_sql("remote", "hybrid", "in_person", "unknown", None)} AS workplace_type, {choice_sql("year", "hour", None)} AS salary_interval,
+           {choice_sql("full_time", "internship", "contract", None)} AS employment_type,
+           '<b>' || c_name || '</b> & co' || chr(10) || chr(10) || 'Segment: ' || c_mktsegment
+           || CASE WHEN c_custkey % 2 = 0 THEN chr(10) || chr(10) || 'Nation: ' || c_nationkey ELSE '' END AS description_text FROM customer""")
+def stage_lever(d):
+    """Words of an interval and a workplace, free text about the commitment, and titled lists inside the payload."""
+    key = F.col("c_custkey")
+    section = lambda title, body: named(text=F.lit(title), content=F.concat(F.lit("<ul><li>"), body, F.lit("</li></ul>")))
+    lists = F.array_compact(F.array(section("Segment", F.col("c_mktsegment")), F.when(key % 2 == 0, section("Nation", F.col("c_nationkey").cast("string")))))
+    item = named(
+        id=F.concat(F.lit("c"), key.cast("string")), text=F.col("c_name"), workplaceType=choice(key, "remote", "hybrid", "onsite", "unspecified", "elsewhere"),
+        description=F.concat(F.lit("<p>&lt;b&gt;"), "c_name", F.lit("&lt;/b&gt;&nbsp;&amp; co</p>")), lists=lists,
+        categories=named(commitment=choice(key, "Full-Time", "Summer INTERN", "Freelance ", "")), salaryRange=named(interval=choice(key, "per-year-salary", "per-hour-wage", "per-moon")),
+    )
+    rows = STAGING["lever"](PARSERS["lever"](payload_files(d, item, F.to_json)), stage_seeds(d))
+    return rows.select("source_job_id", "workplace_type", "salary_interval", "employment_type", "description_text")
+
+
+@query(f"""SELECT 'c' || c_custkey AS source_job_id, {choice_sql("remote", "in_person", "unknown", None)} AS workplace_type, {choice_sql("one_time", "week", None)} AS salary_interval,
+           {choice_sql("full_time", "other", None)} IN ('full_time') AS full_time, {choice_sql("PT", "BR", None, None, None)} AS country_code, {choice_sql("Portugal", "Brazil", "Anywhere", "Atlantis", None)} AS country_raw FROM customer""")
+def stage_ashby(d):
+    """A silent workplace is unknown, a strange one null; a spelling that means no country is not a strange one."""
+    key = F.col("c_custkey")
+    item = named(
+        id=F.concat(F.lit("c"), key.cast("string")), title=F.col("c_name"), workplaceType=choice(key, "Remote", "OnSite", None, "moon"),
+        employmentType=choice(key, "FullTime", "Contract", "Strange"), address=named(postalAddress=named(addressCountry=choice(key, " Portugal", "Brazil ", "Anywhere", "Atlantis", " "))),
+        compensation=named(summaryComponents=F.array(named(compensationType=F.lit("Equity"), interval=F.lit("1 DAY")), named(compensationType=F.lit("Salary"), interval=choice(key, "1 TIME", "1 WEEK", "never")))),
+    )
+    rows = STAGING["ashby"](PARSERS["ashby"](payload_files(d, item, lambda items: F.to_json(named(jobs=items)))), stage_seeds(d))
+    return rows.select("source_job_id", "workplace_type", "salary_interval", (F.col("employment_type") == "full_time").alias("full_time"), "country_code", "country_raw")
+
+
+@query(f"""SELECT 'c' || c_custkey AS source_job_id,
+           CASE WHEN c_custkey % 5 IN (0, 1, 2) THEN {choice_sql("in_person", "hybrid", None, "", "")} WHEN c_custkey % 2 = 0 THEN 'remote' ELSE 'unknown' END AS workplace_type,
+           {choice_sql("full_time", "part_time", "other", None, None)} AS employment_type, CASE WHEN c_custkey % 5 < 3 THEN 'year' END AS salary_interval FROM customer""")
+def stage_workable(d):
+    """A word for the workplace comes from the details and counts before the flag; a word nobody knows stays null."""
+    key = F.col("c_custkey")
+    code = F.concat(F.lit("c"), key.cast("string"))
+    item = named(shortcode=code, title=F.col("c_name"), telecommuting=key % 2 == 0, employment_type=choice(key, "Full-time", "Part-time", "Other", "Strange", ""))
+    detail = F.to_json(named(workplace=choice(key, "on_site", "hybrid", "moon", None, None), salary_frequency=F.when(key % 5 < 3, "year")))
+
+    def body(items: Column) -> Column:
+        return F.to_json(named(account=named(jobs=F.transform(items, lambda x: x["item"])), details=F.map_from_entries(F.transform(items, lambda x: F.struct(x["item"]["shortcode"], F.from_json(x["detail"], "workplace string, salary_frequency string"))))))
+
+    rows = STAGING["workable"](PARSERS["workable"](payload_files(d, named(item=item, detail=detail), body)), stage_seeds(d))
+    return rows.select("source_job_id", "workplace_type", "employment_type", "salary_interval")
+
+
+@query(f"""SELECT CAST(c_custkey AS VARCHAR) AS source_job_id, {choice_sql("PT", "US", None, "US", None, "BR")} AS country_code, {choice_sql("unknown", "remote", "unknown", "unknown", "unknown", "remote")} AS workplace_type,
+           c_name || ' & sons' AS description_text FROM customer""")
+def stage_greenhouse(d):
+    """Country and workplace from a free-text location, whose last piece may be a state; HTML that is stored escaped."""
+    key = F.col("c_custkey")
+    places = choice(key, "Lisbon, Portugal", "Remote - CA", "Nowhere", "Austin - Texas", "PT", "Remote; Brazil")
+    item = named(id=key, title=F.col("c_name"), location=named(name=places), content=F.concat(F.lit("&lt;p&gt;"), "c_name", F.lit("&amp;nbsp;&amp;amp; sons&lt;/p&gt;")))
+    rows = STAGING["greenhouse"](PARSERS["greenhouse"](payload_files(d, item, lambda items: F.to_json(named(jobs=items)))), stage_seeds(d))
+    return rows.select("source_job_id", "country_code", "workplace_type", "description_text")
+
+
+# Questions and seeds
+
+FACT_SQL = """(SELECT o_orderkey AS posting_key, o_orderpriority AS source, CAST(o_custkey AS VARCHAR) AS company_slug, o_orderstatus = 'O' AS is_open,
+  CASE o_orderkey % 3 WHEN 0 THEN 'remote' WHEN 1 THEN 'hybrid' ELSE 'unknown' END AS workplace_type, CASE WHEN o_orderkey % 7 = 0 THEN 'ZZ' ELSE CAST(o_custkey % 25 AS VARCHAR) END AS country_key,
+  o_orderdate AS last_seen_at FROM orders)"""
+
+
+def fact_of_orders(d: Tables) -> DataFrame:
+    key = F.col("o_orderkey")
+    return d.orders.select(
+        key.alias("posting_key"), F.col("o_orderpriority").alias("source"), F.col("o_custkey").cast("string").alias("company_slug"), (F.col("o_orderstatus") == "O").alias("is_open"),
+        F.when(key % 3 == 0, "remote").when(key % 3 == 1, "hybrid").otherwise("unknown").alias("workplace_type"),
+        F.when(key % 7 == 0, voc.UNKNOWN_COUNTRY).otherwise((F.col("o_custkey") % 25).cast("string")).alias("country_key"), F.col("o_orderdate").alias("last_seen_at"),
+    )
+
+
+@query(f"""SELECT count(*) FILTER (is_open) AS open_postings, count(*) FILTER (is_open AND workplace_type = 'remote') AS open_remote,
+           count(DISTINCT CASE WHEN is_open THEN source || '/' || company_slug END) AS companies, count(DISTINCT CASE WHEN is_open AND country_key <> 'ZZ' THEN country_key END) AS countries,
+           strftime(max(last_seen_at), '%Y-%m-%d') AS as_of FROM {FACT_SQL}""")
+def question_kpi(d):
+    return analytics.kpi(fact_of_orders(d))
+
+
+@query(f"SELECT source, workplace_type, count(*) AS postings FROM {FACT_SQL} WHERE is_open GROUP BY ALL")
+def question_by_source(d):
+    return analytics.by_source(fact_of_orders(d))
+
+
+@query(f"SELECT country_name AS country, count(*) AS postings FROM {REMOTE_SQL} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 12")
+def question_by_country(d):
+    return analytics.by_country(remote_mart(d))
+
+
+@query("""SELECT strftime(o_orderdate, '%Y-%m-%d') AS published, CAST(o_orderkey AS VARCHAR) AS title, o_orderstatus AS company, o_orderpriority AS country, o_orderpriority AS region, 'full time' AS type,
+          CAST(o_orderkey AS VARCHAR) || 'u' AS job_url FROM orders WHERE o_orderkey % 5 > 0 ORDER BY o_orderdate DESC, o_orderkey LIMIT 1500""")
+def question_latest(d):
+    """The newest postings; a posting without a date is none of them."""
+    key, text = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    remote = d.orders.select(
+        key.alias("posting_key"), F.when(key % 5 > 0, F.col("o_orderdate")).alias("published_at"), text.alias("title"), F.col("o_orderstatus").alias("company_name"),
+        F.col("o_orderpriority").alias("country_name"), F.col("o_orderpriority").alias("business_region"), F.lit("full_time").alias("employment_type"),
+        *[F.lit(None).cast(k).alias(c) for c, k in (("salary_min", "decimal(38,9)"), ("salary_max", "decimal(38,9)"), ("salary_currency", "string"), ("salary_interval", "string"))],
+        F.concat(text, F.lit("u")).alias("job_url"),
+    )
+    return analytics.latest(remote).drop("pay")
+
+
+@query("""SELECT country_raw, CASE lower(country_raw) WHEN 'iran' THEN 'IR' WHEN 'russia' THEN 'RU' WHEN 'vietnam' THEN 'VN' WHEN 'united states' THEN 'US' WHEN 'united kingdom' THEN 'GB' ELSE code END AS country_code,
+          lower(country_raw) NOT IN ('iran', 'russia', 'vietnam', 'united states', 'united kingdom') AND code IS NULL AS nobody_knows FROM (
+          SELECT DISTINCT CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE lower(n_name) END AS country_raw, CASE WHEN n_nationkey % 3 > 0 THEN 'N' || n_nationkey END AS code
+          FROM nation JOIN customer ON c_nationkey = n_nationkey)""")
+def country_spellings(d):
+    """Spellings that customers use, by names that cover two thirds of the nations; aliases count before names."""
+    observed = d.customer.join(d.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.concat(F.lit(" "), F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).otherwise(F.lower("n_name"))).alias("country_raw")
+    )
+    names = d.nation.where("n_nationkey % 3 > 0").select(F.col("n_name").alias("name"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("country_code"), F.lit(1).alias("rank"))
+    known, unknown = seeds.country_spellings(observed, names)
+    return known.withColumn("nobody_knows", F.lit(False)).unionByName(unknown.select("country_raw", F.lit(None).cast("string").alias("country_code"), F.lit(True).alias("nobody_knows")))
+
+
+@query("""SELECT CAST(n_nationkey AS VARCHAR) AS country_code, n_name AS country_name, r_name AS region,
+          CASE r_name WHEN 'AFRICA' THEN 'Northern Africa' WHEN 'ASIA' THEN 'Central Asia' WHEN 'EUROPE' THEN 'Western Europe' WHEN 'AMERICA' THEN 'Northern America' END AS sub_region,
+          CASE r_name WHEN 'AFRICA' THEN 'EMEA' WHEN 'ASIA' THEN 'APAC' WHEN 'EUROPE' THEN 'EMEA' WHEN 'AMERICA' THEN 'NAMER' END AS business_region
+          FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT 'XK', 'Kosovo', 'Europe', 'Southern Europe', 'EMEA'""")
+def country_rows(d):
+    name = F.col("r_name")
+    sub = F.when(name == "AFRICA", "Northern Africa").when(name == "ASIA", "Central Asia").when(name == "EUROPE", "Western Europe").when(name == "AMERICA", "Northern America")
+    iso = d.nation.join(d.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_nationkey").cast("string").alias("code"), F.col("n_name").alias("name"), name.alias("region"), sub.alias("sub_region")
+    )
+    return seeds.country_rows(iso)
+
+
+# Upserts into a table of buckets
+
+LAKE_DDL = "id bigint, o_orderkey bigint, o_orderpriority string, first_seen_at date, last_seen_at date"
+
+
+@query(MERGE_SQL.format(t=ORDER_HALF.format(EVEN), s=ORDER_HALF.format(ODD), guard="true"))
+def merge_into_buckets(d):
+    """Two upserts into a table of the lake; the second rewrites the buckets that its keys fall into."""
+    base = d.spark.conf.get("spark.checkpoint.dir", None) or d.spark.conf.get("spark.sql.warehouse.dir")
+    lake = Lake(d.spark, f"{base.rstrip('/')}/lake-{uuid.uuid4().hex[:12]}", buckets=16)
+    columns = [c.split()[0] for c in LAKE_DDL.split(", ")]
+    for half in (EVEN, ODD):
+        lake.upsert("orders", LAKE_DDL, order_half(d, half).select(*columns), merge_current_state)
+    return lake.read("orders", LAKE_DDL)

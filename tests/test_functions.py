@@ -126,3 +126,18 @@ def test_flags(spark):
     df = spark.createDataFrame([(True, True, None), (None, True, True), (None, None, True), (None, False, None)], "a boolean, b boolean, c boolean")
     got = df.select(voc.workplace_from_flags(*map(F.col, "abc")), voc.flags_joined("-", remote=F.col("a"), hybrid=F.col("b"), on_site=F.col("c"))).collect()
     assert [tuple(r) for r in got] == [("remote", "remote-hybrid"), ("hybrid", "hybrid-on_site"), ("in_person", "on_site"), ("unknown", None)]
+
+
+def test_entities_in_one_pass_equal_one_replacement_after_the_other(spark):
+    from functools import reduce
+    from random import Random
+
+    from quarrylake.functions.text import ENTITIES, decoded
+
+    r = Random(5)
+    pieces = ["&", "amp;", "lt;", "&lt;", "&amp;", "zwj;", "&zwj;", "nbsp;", "&nb", "sp;", "&eacute;", "x", ";", "#39;", "&#39;", " ", "l", "t;", "&&", "&rsquo;", "&aacute", "é"]
+    texts = ["".join(r.choice(pieces) for _ in range(r.randrange(14))) for _ in range(3000)] + ["", None]
+    df = spark.createDataFrame([(x,) for x in texts], "c string")
+    got = [row.x for row in df.select(decoded(F.col("c")).alias("x")).collect()]
+    chain = lambda t: t if t is None else reduce(lambda s, pair: s.replace(*pair), [*ENTITIES, ("&amp;", "&")], t)
+    assert got == [chain(t) for t in texts]
