@@ -9,9 +9,9 @@ base-64 characters reach.  Windows over their thresholds are merged to spans of
 A window needs two letters.  One with fewer than two digits looks like written words: it must also
 mix lower and upper case as words do not (``MIXED`` of each, and as many changes between neighbours), or be
 of letters of one case and reach ``LETTERS`` bits, which a random one of 20 letters seldom does.
-Allow-listed forms (UUIDs, dates, addresses, paths, placeholders, ...) are cut out of a run before the
-windows slide over what is left, so they hide nothing beside them; spans of the fixed patterns are never
-suppressed, and no entropy span overlaps one.
+Allow-listed forms (UUIDs, dates, addresses, paths, placeholders, ...) and spans of the fixed patterns are cut
+out of a run before the windows slide over what is left, so they hide nothing beside them; spans of the fixed
+patterns are never suppressed, and no entropy span overlaps one.
 
 Positions count code points, ends are exclusive; a fixed pattern's span is its whole match.
 Rows: a null text counts as empty; texts without a span give zero counts and an empty ``spans``.
@@ -23,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -122,6 +122,18 @@ def outside(run: str, allowed: re.Pattern) -> Iterator[tuple[int, int]]:
     yield at, len(run)
 
 
+def between(start: int, end: int, starts: list[int], ends: list[int]) -> Iterator[tuple[int, int]]:
+    """The parts of a stretch that no base span (sorted, apart from each other) covers."""
+    k = bisect_right(ends, start)
+    while k < len(starts) and starts[k] < end:
+        if start < starts[k]:
+            yield start, starts[k]
+        start = ends[k]
+        k += 1
+    if start < end:
+        yield start, end
+
+
 def scan(text: str, allowed: re.Pattern) -> list[tuple[int, int, int]]:
     """All spans of a text as (start, kind's place in ``KINDS``, end), sorted."""
     found = []
@@ -140,11 +152,9 @@ def scan(text: str, allowed: re.Pattern) -> list[tuple[int, int, int]]:
             ends.append(b)
     for m in CANDIDATE.finditer(text):
         for start, end in outside(m[0], allowed):
-            for a, b in entropy_spans(m[0][start:end]):
-                a, b = a + m.start() + start, b + m.start() + start
-                before = bisect_left(starts, b) - 1
-                if before < 0 or ends[before] <= a:
-                    found.append((a, 3, b))
+            for a, b in between(m.start() + start, m.start() + end, starts, ends):
+                if b - a >= WINDOW:
+                    found += [(a + x, 3, a + y) for x, y in entropy_spans(text[a:b])]
     return sorted(found)
 
 
