@@ -117,6 +117,16 @@ def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Rows of a hash table that a task may hold: some hundred bytes each.
+TABLE_ROWS = 1_000_000
+
+
+def hashed(keys: DataFrame) -> DataFrame:
+    """``keys`` (cheap to count) with a hint to join by hash tables of it, if no task's share is too large to hold; else Spark sorts and may spill."""
+    tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return keys.hint("shuffle_hash") if keys.count() <= TABLE_ROWS * tasks else keys
+
+
 def strings(column: pa.Array) -> pa.Array:
     """The column as plain strings, nulls as empty texts."""
     if isinstance(column, pa.ChunkedArray):

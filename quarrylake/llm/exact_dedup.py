@@ -10,7 +10,9 @@ digest are grouped by all their bytes.  Digests under which different texts meet
 by text.
 
 With a ``state`` folder of the caller's the state outlives the call: each call is a delivery, whose
-rows are deduplicated against all earlier ones.  Earlier deliveries' files are read again where a
+rows are deduplicated against all earlier ones.  A delivery has a name, the caller's or one that follows
+from its files; one that has been delivered before, whole or until its driver died, is not counted again, and its
+results are those of the state as it is now.  Earlier deliveries' files are read again where a
 hit points to them, so they must still lie where they were.
 
 Rows: a null text counts as empty.  Of equal texts the smallest key stays, a null key only if
@@ -26,7 +28,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import may_hold, scratch, settings, store
+from .common import hashed, may_hold, scratch, settings, store
 
 #: The state is kept by RocksDB on disk; each batch commits its changes rather than whole files,
 #: and logs are not allocated ahead, which would cost each state partition megabytes.
@@ -72,9 +74,9 @@ def rows_at(docs: DataFrame) -> DataFrame:
 def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``docs`` (on files) at the locators in ``kept``.
 
-    The locators are hashed, so whole rows are dealt once and never sorted.
+    The locators are hashed where a task can hold its share, so whole rows are dealt once and not sorted.
     """
-    return rows_at(docs).join(kept.select("_file", "_row").hint("shuffle_hash"), ["_file", "_row"], "left_semi").select("row.*")
+    return rows_at(docs).join(hashed(kept.select("_file", "_row")), ["_file", "_row"], "left_semi").select("row.*")
 
 
 def fingerprints(content: DataFrame, key: str, text: str, digest_bytes: int) -> DataFrame:
@@ -106,6 +108,29 @@ def _run_stream(spark: SparkSession, home: str, schema, files: int | None) -> li
     return sorted(set(seen))
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _named(content: DataFrame) -> str:
+    """A delivery's name from its files' paths, sizes and times."""
+    files = content.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    return f"{files.select(F.xxhash64('*').alias('h')).agg(F.coalesce(F.bit_xor('h'), F.lit(0)).alias('h')).first()['h'] & (1 << 64) - 1:016x}"
+
+
+def _arrive(made: DataFrame, home: str, delivery: str) -> bool:
+    """Put a delivery's fingerprints where the stream looks, whole or not at all; False if they are there already."""
+    spark = made.sparkSession
+    there, files = _place(spark, f"{home}/arrivals/{delivery}")
+    if files.exists(there):
+        return False
+    made.write.mode("overwrite").parquet(f"{home}/arriving/{delivery}")
+    files.mkdirs(there.getParent())
+    files.rename(_place(spark, f"{home}/arriving/{delivery}")[0], there)
+    return True
+
+
 def _with_state(prints: DataFrame, seen: DataFrame) -> DataFrame:
     """``prints`` with their digest's ``rep`` and ``n``.
 
@@ -125,29 +150,34 @@ def exact_dedup(
     digest_bytes: int = 32,
     files_per_batch: int | None = None,
     state: str | None = None,
+    delivery: str | None = None,
 ) -> DataFrame:
     """Per row of ``docs``: id, _file, _row, sha, keep_id, group_size, kept.
 
     ``digest_bytes`` shortens the state's key; results stay the same because every hit is
     checked on full bytes.  ``files_per_batch`` bounds a micro-batch.  ``state`` is the folder in
     which the state is kept for later deliveries (same ``digest_bytes``); without it the state ends
-    with this call.  Groups then hold the rows of all deliveries so far.
+    with this call.  Groups then hold the rows of all deliveries so far.  ``delivery`` names this one.
     """
     spark = docs.sparkSession
     content = located(docs.select(docs[key], docs[text]))
-    home, delivery = state.rstrip("/") if state else scratch(spark, "dedup"), uuid.uuid4().hex
+    home = state.rstrip("/") if state else scratch(spark, "dedup")
+    delivery = (delivery or _named(content)) if state else uuid.uuid4().hex
     made = fingerprints(content, key, text, digest_bytes)
-    made.write.parquet(f"{home}/arrivals/{delivery}")
+    new = _arrive(made, home, delivery)
     prints = spark.read.schema(made.schema).parquet(f"{home}/arrivals/{delivery}")
     if prints.isEmpty():
         return prints.select("id", "_file", "_row", "sha", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
     if state:
-        content.select("_metadata.file_path", "_file").distinct().write.parquet(f"{home}/files/{delivery}")
+        content.select("_metadata.file_path", "_file").distinct().write.mode("overwrite").parquet(f"{home}/files/{delivery}")
     batches = _run_stream(spark, home, prints.schema, files_per_batch)
     kind = prints.schema["id"].dataType.simpleString()
     keyed = f"digest binary, rep struct<no_id:boolean,id:{kind},_file:bigint,_row:bigint>, n bigint"
-    seen = spark.read.schema(keyed).parquet(*[f"{home}/seen/batch={n}" for n in batches])
-    if len(batches) > 1:  # a later batch holds a key's newer state
+    if new:  # every key of the delivery has changed
+        seen = spark.read.schema(keyed).parquet(*[f"{home}/seen/batch={n}" for n in batches])
+    else:  # earlier runs may have made some or all of its batches
+        seen = spark.read.schema(keyed).parquet(f"{home}/seen/*").join(prints.select("digest").distinct(), "digest", "left_semi")
+    if len(batches) > 1 or not new:  # a later batch holds a key's newer state
         seen = seen.groupBy("digest").agg(F.min("rep").alias("rep"), F.max("n").alias("n"))
     groups = store(_with_state(prints, seen), "groups")
 
@@ -160,7 +190,7 @@ def exact_dedup(
         names = [r[0] for r in files.join(hits.select("_file").distinct(), "_file", "left_semi").select("file_path").distinct().collect()]
         content = located(spark.read.schema(docs.select(docs[key], docs[text]).schema).parquet(*names)) if names else content
     full = may_hold(content.select("_file", "_row", F.col(key).alias("id"), F.col(text).alias("bytes")), hits, "_file", "_row")
-    full = full.withColumn("bytes", normalised(F.col("bytes"))).join(hits.hint("shuffle_hash"), ["_file", "_row"])
+    full = full.withColumn("bytes", normalised(F.col("bytes"))).join(hashed(hits), ["_file", "_row"])
     classes = full.groupBy("digest", "bytes").agg(F.count(F.lit(1)).alias("copies"))
     clashes = classes.groupBy("digest").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("digest")
     clashes = store(clashes, "clashes")

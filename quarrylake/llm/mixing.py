@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import hashed, store
 from .components import components
 from .exact_dedup import located, on_files, rows_at
 
@@ -299,6 +299,6 @@ def take_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = on_files(docs)
     content = located(docs.select("doc_id", "text", "source"))
     mixed, _ = mix(content, F.array("source"), carry=("_file", "_row"))
-    copies = mixed.select("_file", "_row", F.size("routes").alias("copies")).where("copies > 0")
-    rows = rows_at(docs).join(copies.hint("shuffle_hash"), ["_file", "_row"])
+    copies = store(mixed.select("_file", "_row", F.size("routes").alias("copies")).where("copies > 0"), "copies")
+    rows = rows_at(docs).join(hashed(copies), ["_file", "_row"])
     return rows.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

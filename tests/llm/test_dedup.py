@@ -59,6 +59,37 @@ def test_a_second_delivery_is_held_against_the_first(spark, table, tmp_path, dig
     assert {(r.id, r.keep_id, r.group_size, r.kept) for r in again} == {(2, 2, 2, True), (40, 6, 5, False)}
 
 
+@pytest.mark.parametrize("dies", ["nowhere", "before the stream", "after the stream", "at the result"])
+@pytest.mark.parametrize("named", [False, True])
+def test_a_delivery_that_comes_again_counts_once(spark, table, tmp_path, monkeypatch, dies, named):
+    rows, state = [(1, "a"), (2, "b"), (3, "a"), (4, "a")], f"file://{tmp_path}/state"
+    folder = table(rows)
+
+    def deliver(path, name):
+        # A named one may be a table that is made anew, and so is copied to other files.
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string") if named and path == folder else spark.read.parquet(f"{path}/documents.parquet")
+        return {(r.id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(docs, files_per_batch=1, state=state, delivery=name if named else None).collect()}
+
+    want = {(1, 1, 3, True), (2, 2, 1, True), (3, 1, 3, False), (4, 1, 3, False)}
+    with monkeypatch.context() as m:
+        real = exact_dedup._run_stream
+        if dies == "before the stream":
+            m.setattr(exact_dedup, "_run_stream", lambda *a: 1 / 0)
+        elif dies == "after the stream":
+            m.setattr(exact_dedup, "_run_stream", lambda *a: real(*a)[:0] or 1 / 0)
+        elif dies == "at the result":
+            m.setattr(exact_dedup, "_with_state", lambda *a: 1 / 0)
+        if dies == "nowhere":
+            assert deliver(folder, "day 1") == want
+        else:
+            with pytest.raises(ZeroDivisionError):
+                deliver(folder, "day 1")
+    assert deliver(folder, "day 1") == want
+    assert deliver(folder, "day 1") == want
+    assert deliver(table([(0, "b"), (9, "z")]), "day 2") == {(0, 0, 2, True), (9, 9, 1, True)}
+    assert deliver(folder, "day 1") == {(1, 1, 3, True), (2, 0, 2, False), (3, 1, 3, False), (4, 1, 3, False)}  # as it is now
+
+
 def test_rows_of_csv_files_have_no_locators_and_are_copied(spark, tmp_path):
     (tmp_path / "x.csv").write_text("2,a\n1,a\n3,b\n")
     docs = spark.read.schema("doc_id bigint, text string").csv(f"file://{tmp_path}/x.csv")
