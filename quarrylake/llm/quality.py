@@ -4,9 +4,15 @@ Overlapping heuristic labellers vote good, bad or abstain on every text.  Expect
 over the counts of vote patterns (of all texts; there are at most 3**L patterns) estimates how each
 labeller votes on good and on bad texts, and with them each pattern's posterior.  Bad texts have
 different faults, on which different labellers speak, so the class "bad" is a mixture with one part
-for each labeller that knows one fault.  How the other labellers vote in a part is drawn half-way to how they vote on
-all bad texts, which tells a labeller's true hits from its false ones.  Posterior labels then train a linear scorer over hashed word shapes, which generalises to texts on which labellers
-abstain.  The scorer is fitted on a bounded sample (``SAMPLE_DOCS``) and scores every whole text.
+for each labeller that knows one fault: in its own part that labeller has rates of its own, while all other
+labellers' rates are shared by the parts, which tells a labeller's true hits from its false ones.  Rates have Dirichlet
+priors, and each round raises the posterior density of the rates (``weak_labels`` gives its course).  Labellers
+that know both sides say nothing about a text by their silence, so a text on which all are silent keeps the prior.
+Posterior labels then train a linear scorer over hashed word shapes and the votes, which generalises to texts on
+which labellers abstain.  The scorer is fitted on a bounded sample (``SAMPLE_DOCS``) and scores every whole text.
+
+Labellers and shapes know all scripts: letters are letters of any script with their marks, sentences end as
+they do in each, and runs of scripts that are written without spaces are cut into short words first.
 
 Rows: a null text or one without words scores 0 and is rejected.  Rows of one key each give a row.
 An empty table gives an empty result.  Columns other than key and text are not read.
@@ -32,10 +38,31 @@ SAMPLE_DOCS, DIMENSIONS, NEAR = 4000, 4096, 100
 GOOD, ABSTAIN, BAD = 2, 1, 0
 
 
+#: Letters of scripts that put no spaces between words; the first list's do not end sentences by a mark either.
+UNENDED = r"\p{Thai}\p{Lao}"
+UNSPACED = UNENDED + r"\p{Han}\p{Hiragana}\p{Katakana}\p{Khmer}\p{Myanmar}ー"
+#: Marks that end a sentence, other marks that follow a word, marks that open one, and those that close after an end.
+ENDS = ".?!。！？｡։؟۔।॥።፧…။។"
+FOLLOW = ",;:、，．：；､،؛፣፤၊·"
+OPEN, CLOSE = "\"'(\\[«“‘¿¡「『（《〈【", "\"')\\]»”’」』）》〉】"
+
+
+#: A word of letters and numbers between at most one opening mark and the marks that may follow one.
+PLAIN = rf"^[{OPEN}]?[\p{{L}}\p{{M}}\p{{N}}\x{{200C}}\x{{200D}}'’ー-]+(?:[{ENDS}{FOLLOW}{CLOSE}]|[{ENDS}][{CLOSE}]|[{CLOSE}][{ENDS}{FOLLOW}])?$"
+
+
+def spaced(texts: pa.Array) -> pa.Array:
+    """The texts with a space after every third letter, at most, of scripts that are written without any."""
+    if not pc.any(pc.match_substring_regex(texts, f"[{UNSPACED}]")).as_py():
+        return texts
+    return pc.replace_substring_regex(texts, f"([{UNSPACED}]{{1,3}}[{ENDS}{FOLLOW}{CLOSE}]*)", r"\1 ")
+
+
 class Facts:
     """Counts of each text of a batch, from which labellers vote."""
 
     def __init__(self, texts: pa.Array):
+        texts = spaced(texts)
         self.flat, self.offsets = words(texts)
         self.texts = len(texts)
         self.n = np.diff(self.offsets)
@@ -54,10 +81,11 @@ class Facts:
         self.bars = self.share(self.of_words(lambda v: pc.equal(v, "|")))
         self.shouts = self.share(self.of_words(lambda v: pc.match_substring_regex(v, r"!!$")))
         self.marked = self.share(self.of_words(lambda v: pc.match_substring_regex(v, r"[#$%&*+<=>@^_~{}\\]{2}")))
-        self.ends = self.share(self.of_words(lambda v: pc.match_substring_regex(v, r"[.?!]$"))) * self.n
+        self.ends = self.share(self.of_words(lambda v: pc.match_substring_regex(v, f"[{ENDS}][{CLOSE}]*$"))) * self.n
+        self.unended = self.share(self.of_words(lambda v: pc.match_substring_regex(v, f"[{UNENDED}]")))
         upper = self.of_words(lambda v: pc.and_(pc.utf8_is_upper(v), pc.greater(pc.utf8_length(v), 1)))
         self.upper = self.share(upper)
-        self.plain = self.share(self.of_words(lambda v: pc.match_substring_regex(v, r"^[\"'(]?[\p{L}\p{N}'’-]+[.,;:!?)\"']?$")) & ~same)
+        self.plain = self.share(self.of_words(lambda v: pc.match_substring_regex(v, PLAIN)) & ~same)
 
     def of_words(self, test: Callable[[pa.Array], pa.Array]) -> np.ndarray:
         found = test(self.vocabulary).to_numpy(zero_copy_only=False)
@@ -72,9 +100,9 @@ def _bad_above(value: np.ndarray, limit: float, n: np.ndarray, least: int = 1) -
 
 
 def _sentences(f: Facts) -> np.ndarray:
-    """Sentences of some words each are good; many words without an end are bad."""
+    """Sentences of some words each are good; many words without an end are bad, unless their script knows no end."""
     length = f.n / np.maximum(f.ends, 0.5)
-    return np.where((f.ends >= 1) & (length <= 40), GOOD, np.where((length > 150) & (f.n >= 60), BAD, ABSTAIN))
+    return np.where((f.ends >= 1) & (length <= 40), GOOD, np.where((length > 150) & (f.n >= 60) & (f.unended < 0.2), BAD, ABSTAIN))
 
 
 #: Name and vote of each labeller.  One kind of fault each votes bad or abstains; the last two know both sides.
@@ -86,7 +114,7 @@ LABELLERS: tuple[tuple[str, Callable[[Facts], np.ndarray]], ...] = (
     ("same word again", lambda f: _bad_above(f.repeats, 0.3, f.n, 5)),
     ("few distinct words", lambda f: _bad_above(f.near, 0.8, f.n, 20)),
     ("sentence lengths", _sentences),
-    ("plain words", lambda f: np.where(f.plain > 0.9, GOOD, np.where((f.plain < 0.4) & (f.n >= 5), BAD, ABSTAIN))),
+    ("plain words", lambda f: np.where(f.plain > 0.9, GOOD, np.where((f.plain < 0.75) & (f.n >= 5), BAD, ABSTAIN))),
 )
 #: Labellers of one fault; the others know both sides.
 FAULTS = 6
@@ -105,37 +133,68 @@ def digits(code: np.ndarray) -> np.ndarray:
     return code[:, None] // 3 ** np.arange(len(LABELLERS) - 1, -1, -1) % 3
 
 
-def weak_labels(code: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray, float]:
+#: Pseudo-counts (bad, abstain, good) of the rates' priors: of good texts, of a fault's own labeller, of the others on bad texts;
+#: and those of the parts' shares, good first.
+ON_GOOD, ON_OWN, ON_BAD, SHARES = (0.5, 4.0, 0.0), (4.0, 0.4, 0.0), (0.5, 2.0, 0.0), (4.0, 0.5)
+TWO_GOOD, TWO_BAD = (0.5, 0.0, 4.0), (2.0, 0.0, 1.0)
+
+
+def _priors(labellers: int) -> np.ndarray:
+    """Pseudo-counts of each (part, labeller, vote); rates that parts share have their prior once, in part 1 or 2."""
+    prior = np.zeros((FAULTS + 1, labellers, 3))
+    prior[0, :FAULTS], prior[0, FAULTS:] = ON_GOOD, TWO_GOOD
+    for k in range(labellers):
+        prior[2 if k == 0 else 1, k] = ON_BAD if k < FAULTS else TWO_BAD
+    for j in range(1, FAULTS + 1):
+        prior[j, j - 1] = ON_OWN
+    return prior
+
+
+def weak_labels(code: np.ndarray, counts: np.ndarray, rounds: int = 500, course: list[float] | None = None) -> tuple[np.ndarray, np.ndarray, float]:
     """Posterior of good for each pattern; P(vote | class) (2 x labellers x 3); the share of good.
 
-    Part 0 is good; part j > 0 is bad by fault j.  A fault's own labeller has its own table in that
-    part; every other labeller's is the mean of the part's and of all bad parts'.
+    Part 0 is good; part j > 0 is bad by fault j.  Silence of a labeller that knows both sides has rate one.
+    ``course`` gets the log of likelihood times priors before each round; it never falls, and when it no longer
+    rises the rounds end.
     """
-    vote, total = digits(code), counts.sum()
-    lab, part = np.arange(vote.shape[1]), np.arange(FAULTS + 1)
-    shares = np.r_[0.85, np.full(FAULTS, 0.15 / FAULTS)]
-    table = np.empty((FAULTS + 1, len(lab), 3))
-    table[:] = (0.05, 0.9, 0.05)
-    table[0, :FAULTS] = (0.02, 0.97, 0.01)
-    table[0, FAULTS:] = (0.05, 0.25, 0.7)
-    table[1:, FAULTS:] = (0.3, 0.5, 0.2)
-    table[part[1:], part[1:] - 1] = (0.9, 0.09, 0.01)
-    own = np.zeros((FAULTS + 1, len(lab)), bool)
-    own[part[1:], part[1:] - 1] = True
+    vote, parts = digits(code), FAULTS + 1
+    lab, two = np.arange(vote.shape[1]), np.arange(vote.shape[1]) >= FAULTS
+    own = np.zeros((parts, len(lab)), bool)
+    own[np.arange(1, parts), np.arange(FAULTS)] = True
+    prior, share_prior = _priors(len(lab)), np.r_[SHARES[0], np.full(FAULTS, SHARES[1])]
+
+    def rates(weight: np.ndarray) -> np.ndarray:
+        """The rates that fit weighted votes (parts x labellers x votes) and the priors best."""
+        seen = weight + prior
+        shared = np.where(own[1:, :, None], 0, seen[1:]).sum(axis=0)
+        seen[1:] = np.where(own[1:, :, None], seen[1:], shared)
+        seen[:, two, ABSTAIN] = 0
+        out = seen / np.maximum(seen.sum(axis=2, keepdims=True), 1e-300)
+        out[:, two, ABSTAIN] = 1
+        return np.maximum(out, 1e-12)
+
+    table, shares, last = rates(np.zeros_like(prior)), share_prior / share_prior.sum(), -np.inf
+    belongs = np.zeros((parts, len(code)))
     for _ in range(rounds):
         log = np.log(shares)[:, None] + np.log(table[:, lab, vote]).sum(axis=2)
-        belongs = np.exp(log - log.max(axis=0))
-        belongs *= counts / belongs.sum(axis=0)
-        shares = (belongs.sum(axis=1) + 0.5) / (total + 0.5 * len(part))
-        seen = np.stack([np.stack([np.bincount(vote[:, k], row, 3) for k in lab]) for row in belongs]) + 0.1
-        shared = np.where(own[1:, :, None], 0, seen[1:]).sum(axis=0) + 0.5
-        seen[1:] += np.where(own[1:, :, None], (2.0, 0.2, 0.0), 0)
-        table = seen / seen.sum(axis=2, keepdims=True)
-        alike = shared / shared.sum(axis=1, keepdims=True)
-        table[1:] = np.where(own[1:, :, None], table[1:], (table[1:] + alike) / 2)
+        top = log.max(axis=0)
+        belongs = np.exp(log - top)
+        whole = belongs.sum(axis=0)
+        reached = float((counts * (np.log(whole) + top)).sum() + (prior * np.log(table)).sum() + (share_prior * np.log(shares)).sum())
+        if course is not None:
+            course.append(reached)
+        if reached - last < 1e-9 * max(1.0, abs(reached)):
+            belongs *= counts / whole
+            break
+        last = reached
+        belongs *= counts / whole
+        weight = np.stack([np.stack([np.bincount(vote[:, k], row, 3) for k in lab]) for row in belongs])
+        shares = belongs.sum(axis=1) + share_prior
+        shares /= shares.sum()
+        table = rates(weight)
     posterior = belongs[0] / np.maximum(counts, 1e-12)
-    weight = shares[1:, None, None] / shares[1:].sum()
-    return posterior, np.stack([(table[1:] * weight).sum(axis=0), table[0]]), float(shares[0])
+    of_bad = shares[1:, None, None] / shares[1:].sum()
+    return posterior, np.stack([(table[1:] * of_bad).sum(axis=0), table[0]]), float(shares[0])
 
 
 def precisions(code: np.ndarray, counts: np.ndarray, posterior: np.ndarray) -> dict[str, float]:
@@ -148,13 +207,8 @@ def precisions(code: np.ndarray, counts: np.ndarray, posterior: np.ndarray) -> d
 _RUNS = re.compile(r"(.)\1+")
 
 
-def _ranges(test: Callable[[str], bool]) -> str:
-    """A class of the characters below U+0250 that pass a test."""
-    return "[" + "".join(re.escape(chr(c)) for c in range(0x250) if test(chr(c))) + "]+"
-
-
 #: What becomes one letter of a shape, in this order.
-_CLASSES = ((_ranges(lambda c: c.isalpha() and c.isupper()), "A"), (_ranges(lambda c: c.isalpha() and not c.isupper()), "a"), (r"[0-9]+", "0"))
+_CLASSES = ((r"[\p{Ll}\p{Lm}\p{Lo}\p{M}]+", "a"), (r"[\p{Lu}\p{Lt}]+", "A"), (r"\p{N}+", "0"))
 
 
 def shapes_of(vocabulary: pa.Array) -> pa.DictionaryArray:
@@ -171,30 +225,40 @@ def trust(n: np.ndarray) -> np.ndarray:
     return n / (n + 3.0)
 
 
+#: The first dimensions: repeated words, and each labeller's votes.
+VOTES = 1 + 3 * len(LABELLERS)
+
+
 def dimensions(facts: Facts) -> np.ndarray:
-    """Two hashed dimensions of each word of the vocabulary: its shape's and its end's; 0 is for repeated words."""
+    """Two hashed dimensions of each word of the vocabulary: its shape's and its end's."""
     shapes = shapes_of(facts.vocabulary)
-    each = [
-        (1 + zlib.crc32(short.encode()) % (DIMENSIONS - 1), 1 + zlib.crc32(b"end" + short[-2:].encode()) % (DIMENSIONS - 1))
-        for short in shapes.dictionary.to_pylist()
-    ]
+    place = lambda name: VOTES + zlib.crc32(name) % (DIMENSIONS - VOTES)
+    each = [(place(short.encode()), place(b"end" + short[-2:].encode())) for short in shapes.dictionary.to_pylist()]
     table = np.array(each, np.int64).reshape(-1, 2)
     return table[shapes.indices.to_numpy()] if len(shapes) else table
 
 
+def vote_dimensions(facts: Facts) -> np.ndarray:
+    """A dimension for each vote (texts x labellers); abstentions have weight 0 below."""
+    vote = digits(votes_of(facts))
+    return np.where(vote == ABSTAIN, -1, 1 + 3 * np.arange(vote.shape[1]) + vote)
+
+
 def sums(facts: Facts, weights: np.ndarray) -> np.ndarray:
-    by_word = weights[dimensions(facts)].sum(axis=1)
-    return (facts.share(by_word[facts.code] if len(facts.code) else np.empty(0)) + weights[0] * facts.repeats) * trust(facts.n)
+    by_word, spoken = weights[dimensions(facts)].sum(axis=1), vote_dimensions(facts)
+    shapes = (facts.share(by_word[facts.code] if len(facts.code) else np.empty(0)) + weights[0] * facts.repeats) * trust(facts.n)
+    return shapes + np.where(spoken < 0, 0, weights[spoken]).sum(axis=1)
 
 
 def sparse(facts: Facts) -> list[tuple[list[int], list[float]]]:
-    """Hashed features of texts: shares of word shapes, of ends of words, and of repeated words."""
-    table, out = dimensions(facts), []
+    """Features of texts: shares of hashed word shapes, of ends of words, and of repeated words; votes."""
+    table, spoken, out = dimensions(facts), vote_dimensions(facts), []
     for i in range(facts.texts):
         own = table[facts.code[facts.offsets[i] : facts.offsets[i + 1]]].ravel()
         where, n = np.unique(own, return_counts=True)
         share = n / max(1, facts.n[i]) * trust(facts.n[i])
-        out.append(([0, *where.tolist()], [float(facts.repeats[i] * trust(facts.n[i])), *share.tolist()]))
+        said = spoken[i][spoken[i] >= 0].tolist()
+        out.append(([0, *said, *where.tolist()], [float(facts.repeats[i] * trust(facts.n[i])), *[1.0] * len(said), *share.tolist()]))
     return out
 
 
