@@ -4,7 +4,9 @@ The network (two gated recurrent units, one for each direction, and a linear lay
 numpy by backpropagation through time on windows of a bounded sample of labelled documents.  It
 labels every byte of every text; a document's language is the one with the largest mean
 probability over its bytes.  Texts run through it in segments of ``SEGMENT`` bytes, many side by
-side, so a very long text costs no more memory than a short one.
+side, so a very long text costs no more memory than a short one.  A segment also reads ``WARM`` bytes of its
+text on either side, whose labels are left to its neighbours: as many as training windows have, so no
+byte is labelled without what stands around it.
 
 Rows: a null text or one without a letter is ``und`` with score 0.  Rows of one key each give a
 row.  An empty table, or one without any label, gives ``und`` for all.  Other columns are not read.
@@ -21,13 +23,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, small, strings
+from .common import ragged, slices, small, strings
 
 #: Bound of the training sample: labelled documents for each language; parts of each, drawn from the whole text, and their characters.
 SAMPLE_DOCS, PARTS, PART_CHARS = 150, 24, 80
 HIDDEN, WINDOW, BATCH, STEPS = 8, 64, 64, 300
-#: Bytes after which the recurrence starts anew, and segments that run side by side.
-SEGMENT, SIDE_BY_SIDE = 256, 1024
+#: Bytes that a segment labels, bytes before and after it over which its states warm up, and segments that run side by side.
+SEGMENT, WARM, SIDE_BY_SIDE = 384, 64, 1024
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
@@ -197,16 +199,20 @@ def label_texts(net: Network, texts: pa.Array, spans: bool = False) -> tuple[np.
     parts = -(-sizes // SEGMENT)
     owner = np.repeat(np.arange(len(sizes)), parts)
     offset = (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)) * SEGMENT
-    starts, lengths = (np.cumsum(sizes) - sizes)[owner] + offset, np.minimum(SEGMENT, sizes[owner] - offset)
+    # Each segment labels its own bytes; ``before`` and ``after`` count those that it only reads.
+    own = np.minimum(SEGMENT, sizes[owner] - offset)
+    before, after = np.minimum(WARM, offset), np.minimum(WARM, sizes[owner] - offset - own)
+    starts, lengths = (np.cumsum(sizes) - sizes)[owner] + offset - before, before + own + after
     order = np.argsort(-lengths, kind="stable")  # whole segments run without padding
     total, runs = np.zeros((len(sizes), len(net.languages))), [[] for _ in sizes]
-    whole = int((lengths == SEGMENT).sum())
+    whole = int((lengths == SEGMENT + 2 * WARM).sum())
     cuts = [*range(0, whole, SIDE_BY_SIDE), *range(whole, len(order), SIDE_BY_SIDE)]
     for a, b in zip(cuts, [*cuts[1:], len(order)]):
         these = order[a:b]
-        n = lengths[these]
+        n = own[these]
+        read = np.cumsum(lengths[these]) - lengths[these]
+        p = net.label(data, starts[these], lengths[these])[:, ragged(read + before[these], n)]
         first = np.cumsum(n) - n
-        p = net.label(data, starts[these], n)
         np.add.at(total, owner[these], np.add.reduceat(p, first, axis=1).T)
         if spans:
             best = p.argmax(axis=0)

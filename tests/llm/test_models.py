@@ -50,6 +50,20 @@ def test_segments_and_batches_change_nothing(monkeypatch):
         assert [a for a, _, _ in own] == [0, *[b for _, b, _ in own[:-1]]][: len(own)] and (not own or own[-1][1] == len(text))
 
 
+def test_segments_label_much_as_one_run_over_the_whole_text(monkeypatch):
+    net = language_id.train([b"the hello there and this " * 20, "ça va très bien où été ".encode() * 20], ["en", "fr"], steps=60)
+    rng = np.random.default_rng(8)
+    words = ["the hello there and this".split(), "ça va très bien où été".split()]
+    texts = pa.array([" ".join(words[i // 40 % 2][k % 5] for i, k in enumerate(rng.integers(0, 5, n))) for n in (1, 60, 150, 900)])
+    spread = lambda found: np.array([x for own in found for a, b, x in own for _ in range(a, b)])
+    labels = {}
+    for name, segment, warm in (("used", language_id.SEGMENT, language_id.WARM), ("cold", language_id.SEGMENT, 0), ("whole", 1 << 20, 0)):
+        monkeypatch.setattr(language_id, "SEGMENT", segment)
+        monkeypatch.setattr(language_id, "WARM", warm)
+        labels[name] = spread(language_id.label_texts(net, texts, spans=True)[1])
+    assert (labels["used"] == labels["whole"]).mean() >= max(0.97, (labels["cold"] == labels["whole"]).mean())
+
+
 def test_states_are_those_of_a_plain_loop():
     """The forward pass against the equations of a gated recurrent unit, one byte at a time."""
     rng = np.random.default_rng(2)
