@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.vocabulary import UNKNOWN_COUNTRY
 from ..operators.lookups import small
 from ..operators.profile import open_on_last_day
-from ..schemas import OPTIONAL, UNIONED
+from ..schemas import FACT_TYPES, OPTIONAL, UNIONED
 
 
 def _aligned(source: str, staged: DataFrame) -> DataFrame:
@@ -35,14 +35,44 @@ def dim_country(countries: DataFrame) -> DataFrame:
     return countries.unionByName(unknown)
 
 
+FACT = tuple(FACT_TYPES)
+
+
+def _as_fact(postings: DataFrame) -> DataFrame:
+    return postings.withColumn("country_key", F.coalesce("country_code", F.lit(UNKNOWN_COUNTRY))).select(*FACT)
+
+
 def fct_job_postings(postings: DataFrame) -> DataFrame:
     """A posting is open if it was seen on the last day on which its source was seen."""
-    fact = open_on_last_day(postings, "source", "last_seen_at")
-    return fact.select(
-        "posting_key", "source", "title", F.coalesce("country_code", F.lit(UNKNOWN_COUNTRY)).alias("country_key"), "source_job_id", "company_slug",
-        "company_name", "job_url", "workplace_type", "employment_type", "department", "language", "location_raw", "salary_min", "salary_max",
-        "salary_currency", "salary_interval", "description_text", "published_at", "updated_at", "first_seen_at", "last_seen_at", "is_open",
-    )
+    return _as_fact(open_on_last_day(postings, "source", "last_seen_at"))
+
+
+def last_days(postings: DataFrame) -> DataFrame:
+    """(source, last_day), one row a source: kept as a table, it saves reading the fact for it."""
+    return postings.groupBy("source").agg(F.max(F.to_date("last_seen_at")).alias("last_day"))
+
+
+def later_days(days: DataFrame, more: DataFrame) -> DataFrame:
+    return days.unionByName(more).groupBy("source").agg(F.max("last_day").alias("last_day"))
+
+
+def fact_patch(fact: DataFrame, days: DataFrame, changed: DataFrame) -> DataFrame:
+    """The rows by which the fact follows a load, without being built anew.
+
+    ``changed`` are the postings (as in the union) that the load has written, ``days`` the last days before
+    it.  Besides the changed rows themselves, these are the rows that close: open ones of a source whose
+    last day has moved on.  Replacing rows by these gives what a full build gives.
+    """
+    after = small(later_days(days, last_days(changed)))
+    opened = changed.join(after, "source", "left").withColumn("is_open", F.coalesce(F.to_date("last_seen_at") == F.col("last_day"), F.lit(False)))
+    moved = small(after.join(days.withColumnRenamed("last_day", "before"), "source").where("before < last_day").select("source"))
+    closed = fact.where("is_open").join(moved, "source", "left_semi").join(changed.select("posting_key"), "posting_key", "left_anti")
+    return _as_fact(opened).unionByName(closed.withColumn("is_open", F.lit(False)).select(*FACT))
+
+
+def replaced(fact: DataFrame, patch: DataFrame) -> DataFrame:
+    """The fact (or the buckets of it that the patch touches) with the patch's rows in place of its own."""
+    return fact.join(patch.select("posting_key"), "posting_key", "left_anti").select(*fact.columns).unionByName(patch.select(*fact.columns))
 
 
 def remote_jobs(fact: DataFrame, countries: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.vocabulary import SOURCES
 from ..operators.merge import merge_postings
-from ..schemas import COMPANIES, POSTINGS, struct
+from ..schemas import COMPANIES, FACT_TYPES, POSTINGS
 from ..sources.lake import Lake
 from ..sources.landing import boards, files_per_company, landed_files
 from ..sources.parsers import PARSERS
@@ -29,10 +29,10 @@ log = logging.getLogger(__name__)
 RUNS = "run_id string, model string, started_at timestamp, seconds double, status string"
 
 
-def load_day(lake: Lake, landing: str, source: str, date: str, exact_files: int | None = None, failed: set[str] | None = None) -> dict[str, str]:
+def load_day(lake: Lake, landing: str, source: str, date: str, exact_files: int | None = None, failed: set[str] | None = None, written: dict[str, DataFrame] | None = None) -> dict[str, str]:
     """Check that the registered boards have landed, parse a day's files, replace the incoming table, merge it, and check both.
 
-    ``failed``: the boards that the extract reports as failed.  Without a registered board of the
+    ``failed``: the boards that the extract reports as failed; ``written`` gets the rows of the buckets that the merge wrote, for ``follow``.  Without a registered board of the
     source there is nothing to hold the files against.
     """
     files = landed_files(lake.spark, landing, source, date)
@@ -48,6 +48,8 @@ def load_day(lake: Lake, landing: str, source: str, date: str, exact_files: int
             return landed
     incoming_ = lake.write(f"{source}_postings_incoming", PARSERS[source](files))
     done = lake.upsert(f"{source}_postings", POSTINGS[source], incoming_, lambda target, rows: merge_postings(source, target, rows))
+    if written is not None:
+        written[source] = done.written
     # Keys of other buckets cannot be the day's, so the rewritten buckets tell whether the merge was applied.
     verdicts = quality.load_verdicts(incoming_, done.written, exact_files if exact_files is not None else files.count(), exact_files is not None)
     for r in quality.posting_fill_rates(done.table).collect():  # one row a column
@@ -89,9 +91,39 @@ def build(lake: Lake, seeds: dict[str, DataFrame], companies: DataFrame | None =
     if out.failed:
         _stop_on_error(out.checks)
         raise ValueError(f"failed models: {', '.join(out.failed)}")
+    lake.write("source_days", marts.last_days(out.frames["fct_job_postings"]))  # where ``follow`` goes on
     return out
 
 
+FACT = ", ".join(f"{c} {kind}" for c, kind in FACT_TYPES.items())
+DAYS = "source string, last_day date"
+
+
+def follow(lake: Lake, seeds: dict[str, DataFrame], written: dict[str, DataFrame], companies: DataFrame | None = None) -> dict[str, str]:
+    """Let the fact follow loads (rows by source, as ``load_day`` gives them) without building it anew; results of tests.
+
+    Only the fact's buckets that hold changed or closing postings are written.  ``build`` makes the same fact from
+    everything; it is also what starts one, and what a change of seeds or of the registry needs.
+    """
+    companies = companies if companies is not None else lake.read("companies", COMPANIES)
+    staged = {s: STAGING[s](rows, seeds) for s, rows in written.items()}
+    checks: dict[str, str] = {}
+    for s, df in staged.items():
+        checks |= quality.run_checks(quality.staging_checks(s, df, seeds))
+    _stop_on_error(checks)
+    if not staged:
+        return checks
+    changed, days = marts.postings_unioned(staged, companies), lake.read("source_days", DAYS)
+    patch = lake.write("fct_job_postings_patch", marts.fact_patch(lake.read("fct_job_postings", FACT), days, changed))
+    done = lake.upsert("fct_job_postings", FACT, patch, marts.replaced, key="posting_key")
+    lake.write("source_days", marts.later_days(days, marts.last_days(patch)))
+    countries = lake.write("dim_country", marts.dim_country(seeds["countries"]))
+    remote = lake.write("remote_jobs", marts.remote_jobs(done.table, countries))
+    checks |= quality.run_checks([*quality.country_checks(countries), *quality.fact_checks(done.written, countries), *quality.remote_checks(remote)])
+    _stop_on_error(checks)
+    return checks
+
+
 def _stop_on_error(checks: dict[str, str]) -> None:
     failed = sorted(name for name, result in checks.items() if result == quality.ERROR)
     if failed:

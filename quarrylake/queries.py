@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from .functions import text as t
 from .functions import values as val
 from .functions import vocabulary as voc
-from .operators import lookups, profile
+from .operators import distinct, lookups, profile
 from .operators.merge import latest_per_key, merge_current_state
-from .plans import analytics, quality
+from .plans import analytics, marts, quality
 from .plans.staging import STAGING
 from .sources import seeds
+from .sources.extract import details_to_fetch
 from .sources.lake import Lake
 from .sources.landing import files_per_company, to_fetch
 from .sources.parsers import PARSERS
@@ -865,3 +866,41 @@ def merge_into_buckets(d):
     for half in (EVEN, ODD):
         lake.upsert("orders", LAKE_DDL, order_half(d, half).select(*columns), merge_current_state)
     return lake.read("orders", LAKE_DDL)
+
+
+# Distinct counts that add up, one budget for all boards
+
+
+@query("""SELECT coalesce(CAST(month AS VARCHAR), 'all') AS month, status, customers FROM (SELECT month(o_orderdate) AS month, o_orderstatus AS status, count(DISTINCT o_custkey) AS customers
+          FROM orders GROUP BY GROUPING SETS ((month(o_orderdate), o_orderstatus), (o_orderstatus)))""")
+def distinct_by_bitmaps(d):
+    """Sets of customers by day of order become counts by month and over all days, without another look at the orders."""
+    rows = d.orders.select(F.to_date("o_orderdate").alias("day"), F.col("o_orderstatus").alias("status"), "o_custkey")
+    sets = distinct.bitmaps(rows, "o_custkey", distinct.dictionary(d.customer, "c_custkey"), "day", "status")
+    months = distinct.sizes(sets.withColumn("month", F.month("day").cast("string")), "month", "status", name="customers")
+    return months.unionByName(distinct.sizes(sets, "status", name="customers").withColumn("month", F.lit("all")))
+
+
+@query("""WITH wanted AS (SELECT o_orderpriority AS board, o_custkey AS id, min(o_orderkey) AS pos FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) GROUP BY ALL)
+          SELECT board, id, pos, row_number() OVER (ORDER BY board, pos, id) AS place, row_number() OVER (ORDER BY board, pos, id) <= (SELECT count(*) // 10 FROM orders) AS chosen FROM wanted""")
+def shared_budget(d):
+    """Details of five boards, a tenth as many as there are orders, in the order of the boards."""
+    wanted = d.orders.select(F.col("o_orderpriority").alias("board"), F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("pos"))
+    known = d.customer.where("c_acctbal < 0").select(F.col("c_custkey").alias("id"))
+    return details_to_fetch(wanted, known, d.orders.count() // 10)
+
+
+@query("""SELECT posting_key, source, is_open, title FROM (SELECT CAST(o_custkey AS VARCHAR) AS posting_key, o_orderpriority AS source, max(o_orderdate) AS seen, CAST(max(o_orderkey) AS VARCHAR) AS title,
+          CAST(max(o_orderdate) AS DATE) = max(CAST(max(o_orderdate) AS DATE)) OVER (PARTITION BY o_orderpriority) AS is_open FROM orders GROUP BY 1, 2)""")
+def fact_by_patches(d):
+    """A fact over the orders of the first half year, patched by those of the second, is the fact over all."""
+    def postings(rows: DataFrame) -> DataFrame:
+        made = rows.groupBy(F.col("o_custkey").cast("string").alias("source_job_id"), F.col("o_orderpriority").alias("source")).agg(
+            F.max("o_orderdate").cast("timestamp").alias("last_seen_at"), F.max("o_orderkey").cast("string").alias("title"))
+        lacks = {c: F.lit(None).cast("string") for c in ("country_code", *marts.FACT) if c not in (*made.columns, "country_key", "is_open")}
+        return made.withColumns(lacks).withColumn("posting_key", F.concat_ws("/", "source_job_id", "source"))
+
+    early, late = postings(d.orders.where("month(o_orderdate) <= 6")), postings(d.orders)
+    fact = marts.fct_job_postings(early)
+    patch = marts.fact_patch(fact, marts.last_days(early), late)
+    return marts.replaced(fact, patch).select(F.col("source_job_id").alias("posting_key"), "source", "is_open", "title")

@@ -49,6 +49,16 @@ OPTIONAL = {
     "salary_interval": "string", "language": "string", "updated_at": "timestamp", "employment_type": "string",
 }
 
+#: The fact's columns with their types.
+FACT_TYPES = {
+    c: OPTIONAL.get(c, "timestamp" if c.endswith("_at") else "boolean" if c == "is_open" else "string")
+    for c in (
+        "posting_key", "source", "title", "country_key", "source_job_id", "company_slug", "company_name", "job_url", "workplace_type", "employment_type",
+        "department", "language", "location_raw", "salary_min", "salary_max", "salary_currency", "salary_interval", "description_text", "published_at",
+        "updated_at", "first_seen_at", "last_seen_at", "is_open",
+    )
+}
+
 SEEDS = {
     "country_codes": "country_raw string, country_code string",
     "countries": "country_code string, country_name string, region string, sub_region string, business_region string",

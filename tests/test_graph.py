@@ -1,6 +1,7 @@
 """The graph of models: order, tests, and what a failure stops."""
 
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarrylake.plans import quality
 from quarrylake.plans.graph import Model, descendants, ordered, run_models
-from quarrylake.plans.runner import build, load_day, model_graph
+from quarrylake.plans.runner import FACT, build, follow, load_day, model_graph
 from quarrylake.schemas import SEEDS
 from quarrylake.sources import landing
 from quarrylake.sources.lake import Lake
@@ -89,3 +90,30 @@ def test_a_whole_build(spark, words, tmp_path):  # noqa: F811
     assert not out.failed and set(out.models.values()) <= {"pass", "warn"}
     assert out.frames["fct_job_postings"].where(F.col("is_open")).count() == 3 and out.frames["remote_jobs"].count() == 3
     assert set(SEEDS) <= set(out.models) and seed_tables
+
+
+def test_a_fact_that_follows_loads_is_the_one_that_is_built(spark, words, tmp_path):  # noqa: F811
+    """Two days of two publishers: postings go, come and change; one publisher has no second day."""
+    root = f"file://{tmp_path}"
+
+    def land(source, day, body):
+        path = landing.landed_path(source, f"2026-10-{day:02d}", "acme", datetime(2026, 10, day))
+        landing.write_bytes(spark, f"{root}/landing/{path}", json.dumps(body).encode())
+        os.utime(f"{tmp_path}/landing/{path}", (datetime(2026, 10, day, 12).timestamp(),) * 2)
+
+    posting = lambda k, title: {"id": f"l{k}", "text": title, "hostedUrl": "u", "workplaceType": "remote", "country": "BR"}
+    land("lever", 6, [posting(k, "old") for k in range(6)])
+    land("ashby", 6, {"jobs": [{"id": "a1", "title": "Dev", "jobUrl": "u", "workplaceType": "Remote"}]})
+    land("lever", 7, [posting(k, "new") for k in (1, 2, 9)])
+    lake = Lake(spark, f"{root}/t", buckets=4)
+    for source in ("lever", "ashby"):
+        load_day(lake, f"{root}/landing", source, "2026-10-06")
+    build(lake, words)
+    written = {}
+    load_day(lake, f"{root}/landing", "lever", "2026-10-07", written=written)
+    assert set(follow(lake, words, written).values()) <= {"pass", "warn"} and follow(lake, words, {}) == {}
+    followed = sorted(map(tuple, lake.read("fct_job_postings", FACT).collect()))
+    assert {r[0]: r[-1] for r in followed} == {f"lever/l{k}": k in (1, 2, 9) for k in (0, 1, 2, 3, 4, 5, 9)} | {"ashby/a1": True}
+    remote = lake.read("remote_jobs", "posting_key string").count()
+    out = build(lake, words)
+    assert sorted(map(tuple, out.frames["fct_job_postings"].collect())) == followed and out.frames["remote_jobs"].count() == remote

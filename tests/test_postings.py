@@ -281,17 +281,7 @@ def test_seed_checks_find_duplicates(spark, words):
     assert quality.run_checks(quality.seed_checks(twice))["us_states key"] == "error"
 
 
-def test_extract(spark, tmp_path):
-    registry = spark.createDataFrame([("A", "a", "lever"), ("B", "b", "lever"), ("C", "c", "ashby")], "name string, external_id string, ats string")
-    answers = {"a": b"[]"}
-    got = landing.extract(spark, f"file://{tmp_path}", "lever", "2026-10-06", registry, answers.get)
-    assert got == {"total": 2, "landed": 1, "failed": ["b"]}
-    files_ = landing.landed_files(spark, f"file://{tmp_path}", "lever", "2026-10-06")
-    assert [tuple(r) for r in files_.select("company_slug", "content").collect()] == [("a", "[]")] and landing.files_per_company(files_).first().files == 1
-    with pytest.raises(ValueError):
-        landing.extract(spark, f"file://{tmp_path}", "lever", "2026-10-06", registry, {}.get)
-    with pytest.raises(ValueError):
-        landing.extract(spark, f"file://{tmp_path}", "workable", "2026-10-06", registry, {}.get)
+def test_retries_and_truncated_pages():
     tries = []
 
     def flaky(slug):
