@@ -291,6 +291,31 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"))
 
 
+def sources_of_copies(docs: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
+    """``docs`` with ``members``: the sources of all rows with an equal text (null: empty), its own among them.
+
+    Sources are counted once a text before texts meet, so a text that most rows share costs each task a few rows.
+    """
+    rows = docs.withColumn("_digest", F.unhex(F.sha2(F.coalesce(docs[text], F.lit("")), 256)))
+    held = rows.select("_digest", F.col(source).alias("_source")).distinct()
+    several = held.groupBy("_digest").agg(F.collect_set(F.struct("_source")).alias("_all")).where("size(_all) > 1")  # no more than there are sources
+    members = F.coalesce(F.transform("_all", lambda x: x["_source"]), F.array(rows[source]))
+    return rows.join(several, "_digest", "left").withColumn("members", members).drop("_digest", "_all")
+
+
+def mixing_by_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mix in which a document belongs to every source that holds its text, so that the flow decides which quota it fills.
+
+    Per row: doc_id, source, members (how many sources), size, taken, and the sources that its copies count for.
+    """
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
+    mixed, _ = mix(sources_of_copies(docs), F.col("members"), carry=("source",))
+    routes = F.array_join("routes", ",", "")
+    return mixed.select(
+        F.col("id").alias("doc_id"), "source", F.size("members").alias("members"), "size", (F.col("size") * F.size("routes")).cast("long").alias("taken"), routes.alias("routes"),
+    )
+
+
 def take_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: each document as often as the mix takes it, with all its columns.
 

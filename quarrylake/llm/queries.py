@@ -8,7 +8,7 @@ from .filter_audit import OP11_SQL, op11_filter_audit
 from .language_id import op2_language_id
 from .line_dedup import OP13_SQL, op13_line_dedup
 from .matroska import op8_matroska
-from .mixing import op3_mixing
+from .mixing import mixing_by_copies, op3_mixing
 from .near_dedup import op7_near_dedup
 from .packing import op4_packing
 from .quality import op9_quality
@@ -30,6 +30,7 @@ QUERIES = {
     "op11_filter_audit": op11_filter_audit,
     "op12_source_divergence": op12_source_divergence,
     "op13_line_dedup": op13_line_dedup,
+    "mixing_by_copies": mixing_by_copies,
 }
 
 SQL = {

@@ -238,6 +238,38 @@ def test_overlapping_sources(spark, table):
     assert routed == {"a": 600, "b": 500} and all(set(r.routes) <= set(r.members) for r in mixed.collect())
 
 
+def test_mixing_by_copies_routes_texts_of_several_sources(spark, table, odd, empty):
+    """Texts that several sources hold fill the quota that lacks them: as much flows as all sources in one network allow."""
+    rows = [(i, f"shared {i % 40} text of four", "en", "abc"[i % 3]) for i in range(240)] + [(1000 + i, f"own {i} one two", "en", "a") for i in range(30)] + [(2000 + i, f"lone {i} x", "en", None) for i in range(9)]
+    folder = table(rows)
+    got = {r.doc_id: r for r in QUERIES["mixing_by_copies"](spark, folder).collect()}
+    held = {}
+    for i, t, _, s in rows:
+        held.setdefault(t, set()).add(s)
+    sizes, tokens = Counter(), Counter()
+    for i, t, _, s in rows:
+        members = tuple(mixing.ordered(held[t]))
+        tokens[members] += len(words(t))
+        for m in members:
+            sizes[m] += len(words(t))
+    target = mixing.shared_targets(dict(sizes))
+    flow = mixing.route(dict(tokens), {s: round(t) for s, t in target.items()}, 2)
+    want = Counter()
+    for levels in flow.values():
+        for level in levels:
+            for s, n in level.items():
+                want[s] += n
+    taken = Counter()
+    for i, t, _, s in rows:
+        r = got[i]
+        routes = r.routes.split(",") if r.taken else []
+        assert r.members == len(held[t]) and r.size == len(words(t)) and r.taken in (0, r.size, 2 * r.size) and {x or None for x in routes} <= held[t]
+        for x in routes:
+            taken[x or None] += r.size
+    assert all(abs(taken[s] - want[s]) <= 2 * 5 for s in want) and any(r.taken and set(r.routes.split(",")) != {r.source} for r in got.values())
+    assert QUERIES["mixing_by_copies"](spark, odd).count() == len(ODD) and QUERIES["mixing_by_copies"](spark, empty).count() == 0
+
+
 def drawn_by_hand(spark, folder, rows, copies=2, seed=3):
     """Words taken of each document (one row an id) with one flow for all sources, and targets by source."""
     from pyspark.sql import functions as F
