@@ -59,8 +59,7 @@ def test_a_second_delivery_is_held_against_the_first(spark, table, tmp_path, dig
     assert {(r.id, r.keep_id, r.group_size, r.kept) for r in again} == {(2, 2, 2, True), (40, 6, 5, False)}
 
 
-@pytest.mark.parametrize("dies", ["nowhere", "before the stream", "after the stream", "at the result"])
-@pytest.mark.parametrize("named", [False, True])
+@pytest.mark.parametrize("dies, named", [("nowhere", True), ("before the stream", False), ("after the stream", True), ("at the result", False)])
 def test_a_delivery_that_comes_again_counts_once(spark, table, tmp_path, monkeypatch, dies, named):
     rows, state = [(1, "a"), (2, "b"), (3, "a"), (4, "a")], f"file://{tmp_path}/state"
     folder = table(rows)
