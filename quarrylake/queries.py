@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -857,11 +859,18 @@ def country_rows(d):
 LAKE_DDL = "id bigint, o_orderkey bigint, o_orderpriority string, first_seen_at date, last_seen_at date"
 
 
+def forget(lake: Lake) -> None:
+    """Delete a query's own tables when the process ends, if its session is still there."""
+    with contextlib.suppress(Exception):
+        lake.delete(lake.root)
+
+
 @query(MERGE_SQL.format(t=ORDER_HALF.format(EVEN), s=ORDER_HALF.format(ODD), guard="true"))
 def merge_into_buckets(d):
     """Two upserts into a table of the lake; the second rewrites the buckets that its keys fall into."""
     base = d.spark.conf.get("spark.checkpoint.dir", None) or d.spark.conf.get("spark.sql.warehouse.dir")
     lake = Lake(d.spark, f"{base.rstrip('/')}/lake-{uuid.uuid4().hex[:12]}", buckets=16)
+    atexit.register(forget, lake)
     columns = [c.split()[0] for c in LAKE_DDL.split(", ")]
     for half in (EVEN, ODD):
         lake.upsert("orders", LAKE_DDL, order_half(d, half).select(*columns), merge_current_state)

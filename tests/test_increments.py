@@ -15,7 +15,7 @@ ROWS = "day int, source string, company string"
 
 
 @given(st.lists(st.tuples(st.integers(1, 4), st.sampled_from(["a", "b"]), st.one_of(st.none(), st.integers(0, 40).map(str))), max_size=60))
-@settings(max_examples=6, deadline=None)
+@settings(max_examples=3, deadline=None)
 def test_distinct_counts_of_any_span_of_days(spark, rows):
     ids, sets = None, None
     for day in range(1, 5):  # the dictionary grows by the day; a day's sets are made once
@@ -57,7 +57,7 @@ load = st.tuples(st.sampled_from(["a", "b"]), st.integers(1, 9), st.lists(st.int
 
 
 @given(st.lists(load, min_size=1, max_size=4))
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 def test_patches_equal_a_full_build(spark, tmp_path_factory, loads):
     """After any loads, late days and repeated ones too."""
     lake = Lake(spark, f"file://{tmp_path_factory.mktemp('f')}/t", buckets=4)

@@ -189,7 +189,7 @@ def test_a_writer_that_always_loses_says_so(spark, lake, monkeypatch):
 
 
 @given(st.lists(st.tuples(st.integers(1, 9), st.lists(st.integers(0, 12), min_size=1, max_size=5, unique=True)), min_size=1, max_size=4))
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 def test_buckets_equal_one_merge_of_the_whole(spark, tmp_path_factory, days):
     lake = Lake(spark, f"file://{tmp_path_factory.mktemp('p')}/t", buckets=4)
     whole = day(spark, 1, []).limit(0)
